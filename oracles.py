@@ -519,13 +519,13 @@ def queries() -> dict[str, str]:
       SELECT m.tree_id, coalesce(s.fingerprint, sha256('')) AS fingerprint, CASE WHEN part THEN 'partial-content' ELSE 'content' END AS fingerprint_kind,
         '.' AS fingerprint_scope, NOT part AS complete, CASE WHEN part THEN 'maxBytesPerFile' ELSE '' END AS truncation_reasons
       FROM m LEFT JOIN s USING (tree_id)"""
-    sql["snapshot_compare"] = f"""WITH {LATER}, a AS (SELECT tree_id, {fingerprint(CONTENT)} AS before_fingerprint FROM kept GROUP BY tree_id),
-      b AS (SELECT tree_id, {fingerprint(CONTENT)} AS after_fingerprint FROM later GROUP BY tree_id)
-      SELECT tree_id, before_fingerprint, after_fingerprint, before_fingerprint IS DISTINCT FROM after_fingerprint AS changed FROM a FULL JOIN b USING (tree_id)"""
-    sql["snapshot_diff"] = f"""WITH {LATER}, a AS (SELECT tree_id, path, sha256(content) AS before_sha256 FROM kept),
-      b AS (SELECT tree_id, path, sha256(content) AS after_sha256 FROM later)
+    sql["snapshot_compare"] = f"""WITH {LATER}, older AS (SELECT tree_id, {fingerprint(CONTENT)} AS before_fingerprint FROM kept GROUP BY tree_id),
+      newer AS (SELECT tree_id, {fingerprint(CONTENT)} AS after_fingerprint FROM later GROUP BY tree_id)
+      SELECT tree_id, before_fingerprint, after_fingerprint, before_fingerprint IS DISTINCT FROM after_fingerprint AS changed FROM older FULL JOIN newer USING (tree_id)"""
+    sql["snapshot_diff"] = f"""WITH {LATER}, older AS (SELECT tree_id, path, sha256(content) AS before_sha256 FROM kept),
+      newer AS (SELECT tree_id, path, sha256(content) AS after_sha256 FROM later)
       SELECT tree_id, path, before_sha256, after_sha256, CASE WHEN before_sha256 IS NULL THEN 'added' WHEN after_sha256 IS NULL THEN 'removed'
-        WHEN before_sha256 <> after_sha256 THEN 'modified' ELSE 'same' END AS status FROM a FULL JOIN b USING (tree_id, path)"""
+        WHEN before_sha256 <> after_sha256 THEN 'modified' ELSE 'same' END AS status FROM older FULL JOIN newer USING (tree_id, path)"""
     read_per = f"""WITH {KEPT}, {WALK}, per AS (SELECT t.tree_id,
         (SELECT count(*) FROM kept k WHERE k.tree_id = t.tree_id) AS candidate_files,
         (SELECT count(*) FROM kept k WHERE k.tree_id = t.tree_id AND size <= 5000) AS scanned_files,

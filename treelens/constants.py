@@ -56,7 +56,8 @@ CONFIG_NAMES = (
 CI_NAMES = (".gitlab-ci.yml", "azure-pipelines.yml", "bitbucket-pipelines.yml")
 CI_PREFIX = ".github/workflows/"
 TEST_SEGMENTS = ("__tests__", "spec", "specs", "test", "tests")
-TEST_NAME_REGEXES = (r"(?:^|[._-])(?:test|spec)(?:[._-]|\z)", r"test\.[a-z0-9]+\z")
+# Over a lower-cased path; both can only match inside the basename.
+TEST_NAME_REGEXES = (r"(?:^|[/._-])(?:test|spec)(?:[._-][^/]*)?\z", r"test\.[a-z0-9]+\z")
 TEST_STEM_SUFFIX = r"(?:\.test|\.spec|test|spec)\z"
 GUIDANCE_PATHS = (
     "AGENTS.md",

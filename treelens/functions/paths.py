@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 
 from pyspark.sql import Column, functions as F
 
@@ -39,24 +40,17 @@ def basename(path) -> Column:
 
 
 def dirname(path) -> Column:
-    path = _col(path)
-    head = F.length(path) - F.length(basename(path)) - 1
-    return F.when(head > 0, F.substr(path, F.lit(1), head)).otherwise(F.lit("."))
-
-
-def _extension_of_name(name: Column) -> Column:
-    dot = F.length(name) - F.length(F.substring_index(name, ".", -1))
-    return F.when(dot > 1, F.substr(name, dot)).otherwise(F.lit(""))
+    head = F.regexp_extract(_col(path), r"(?s)\A(.*)/[^/]*\z", 1)
+    return F.when(head == "", ".").otherwise(head)
 
 
 def extension(path) -> Column:
     """From the last dot of the basename; a leading dot alone is no extension."""
-    return _extension_of_name(basename(path))
+    return F.regexp_extract(_col(path), r"[^/](\.[^./]*)\z", 1)
 
 
 def stem(path) -> Column:
-    name = basename(path)
-    return F.substr(name, F.lit(1), F.length(name) - F.length(_extension_of_name(name)))
+    return F.regexp_replace(basename(path), r"(?s)(?<=.)\.[^./]*\z", "")
 
 
 def test_stem(path) -> Column:
@@ -64,31 +58,45 @@ def test_stem(path) -> Column:
     return F.regexp_replace(F.lower(stem(path)), K.TEST_STEM_SUFFIX, "")
 
 
+def alternatives(words) -> str:
+    return "(?:" + "|".join(re.escape(w) for w in words) + ")"
+
+
+def _named(names) -> str:
+    """Pattern over a path: the basename is one of ``names``."""
+    return rf"(?:^|/){alternatives(names)}\z"
+
+
+def _with_extension(extensions) -> str:
+    """Pattern over a path: the extension is one of ``extensions``."""
+    return rf"[^/]{alternatives(extensions)}\z"
+
+
 def language(path) -> Column:
-    name = F.lower(basename(path))
-    ext = _extension_of_name(name)
-    out = F.when(name == "dockerfile", F.lit("dockerfile"))
-    for lang in sorted(set(K.LANGUAGE_BY_EXTENSION.values())):
-        exts = [e for e, l in K.LANGUAGE_BY_EXTENSION.items() if l == lang]
-        out = out.when(ext.isin(exts), F.lit(lang))
-    return out.otherwise(F.lit("unknown"))
+    low = F.lower(_col(path))
+    table = F.str_to_map(F.lit(",".join(f"{e}:{l}" for e, l in K.LANGUAGE_BY_EXTENSION.items())))
+    known = F.coalesce(F.try_element_at(table, extension(low)), F.lit("unknown"))
+    return F.when(basename(low) == "dockerfile", "dockerfile").otherwise(known)
 
 
 def role(path) -> Column:
-    """First hit of ci, manifest, test, doc, config, source, other."""
+    """First hit of ci, manifest, test, doc, config, source, other.
+
+    Each test is one pattern over the lower-cased path, so no arrays are built.
+    """
     low = F.lower(_col(path))
-    name = basename(low)
-    ext = _extension_of_name(name)
-    in_test_dir = F.arrays_overlap(F.split(low, "/", -1), F.array(*map(F.lit, K.TEST_SEGMENTS)))
-    return (
-        F.when(F.startswith(low, F.lit(K.CI_PREFIX)) | name.isin(*K.CI_NAMES), "ci")
-        .when(name.isin(*K.MANIFEST_NAMES), "manifest")
-        .when(in_test_dir | any_of(*(name.rlike(p) for p in K.TEST_NAME_REGEXES)), "test")
-        .when(ext.isin(*K.DOC_EXTENSIONS) | F.startswith(low, F.lit("docs/")), "doc")
-        .when(name.isin(*K.CONFIG_NAMES) | ext.isin(*K.CONFIG_EXTENSIONS), "config")
-        .when(language(path) != "unknown", "source")
-        .otherwise("other")
-    )
+    rules = {
+        "ci": "^" + re.escape(K.CI_PREFIX) + "|" + _named(K.CI_NAMES),
+        "manifest": _named(K.MANIFEST_NAMES),
+        "test": "|".join([rf"(?:^|/){alternatives(K.TEST_SEGMENTS)}(?:/|\z)", *K.TEST_NAME_REGEXES]),
+        "doc": "^docs/|" + _with_extension(K.DOC_EXTENSIONS),
+        "config": _named(K.CONFIG_NAMES) + "|" + _with_extension(K.CONFIG_EXTENSIONS),
+        "source": _with_extension(K.LANGUAGE_BY_EXTENSION),
+    }
+    out = F
+    for name, pattern in rules.items():
+        out = out.when(low.rlike(pattern), name)
+    return out.otherwise("other")
 
 
 def normalize_extensions(extensions) -> list[str]:

@@ -8,17 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, functions as F
 
 from treelens import constants as K
-from treelens.functions.paths import any_of, normalize_extensions, segments
+from treelens.functions.paths import alternatives, any_of, normalize_extensions, segments
 
 
 def _words(values) -> tuple[str, ...]:
     return tuple(sorted({v.strip() for v in values if v.strip()}))
 
 
-def _alternatives(words) -> str:
-    return "(?:" + "|".join(re.escape(w) for w in words) + ")"
-
-
 @dataclass(frozen=True)
 class Policy:
     """Built-in rules plus additions; callers can only add, never remove."""
@@ -41,9 +37,9 @@ class Policy:
         exts = [*K.SECRET_EXTENSIONS, *normalize_extensions(self.secret_extensions)]
         segment = "|".join(
             [
-                _alternatives(sorted({n for n in names if "/" not in n})),
+                alternatives(sorted({n for n in names if "/" not in n})),
                 re.escape(K.ENV_PREFIX) + rf"(?!{K.ENV_ALLOWED}(?:/|\z))[^/]*",
-                "[^/]+" + _alternatives(sorted({e for e in exts if "/" not in e and e.count(".") == 1})),
+                "[^/]+" + alternatives(sorted({e for e in exts if "/" not in e and e.count(".") == 1})),
             ]
         )
         parts = [p.lower() for p in _words(self.secret_path_parts)]
@@ -57,7 +53,7 @@ class Policy:
         """Some directory segment (never the basename) is a generated directory."""
         path = F.col(path) if isinstance(path, str) else path
         dirs = sorted({d.lower() for d in (*K.GENERATED_DIRS, *_words(self.ignore_dirs))})
-        return F.lower(path).rlike(rf"(?:^|/){_alternatives(dirs)}/")
+        return F.lower(path).rlike(rf"(?:^|/){alternatives(dirs)}/")
 
     def classify(self, path) -> Column:
         """'secret', 'generated' or null; secret wins."""

@@ -57,16 +57,23 @@ def resolution_index(files: DataFrame) -> DataFrame:
     Where several files answer, the order of the extensions decides.
     """
     path = F.col("path")
-    answers = [F.struct(path.alias("import_path"), F.lit(0).alias("rank"))]
-    for i, ext in enumerate(K.RESOLVE_EXTENSIONS):
-        bare = F.substr(path, F.lit(1), F.length(path) - len(ext))
-        answers.append(
-            F.struct(F.when(F.endswith(path, F.lit(ext)) & (bare != ""), bare).alias("import_path"), F.lit(1 + i).alias("rank"))
-        )
-        index_rank = F.lit(1 + len(K.RESOLVE_EXTENSIONS) + i)
-        directory = F.when(P.basename(path) == f"index{ext}", P.dirname(path))
-        for answer in (directory, F.concat(directory, F.lit("/"))):
-            answers.append(F.struct(answer.alias("import_path"), index_rank.alias("rank")))
+    names = [e[1:] for e in K.RESOLVE_EXTENSIONS]
+    ending = rf"\.({'|'.join(names)})\z"
+    bare = F.regexp_extract(path, rf"(?s)\A(.+){ending}", 1)
+    position = F.array_position(F.split(F.lit(",".join(names)), ","), F.regexp_extract(path, ending, 1))
+    # index files answer for their directory, written with or without a final '/'
+    folder = F.when(path.rlike(rf"(?:^|/)index{ending}"), P.dirname(path))
+    index_rank = position + len(names)
+
+    def answer(import_path, rank):
+        return F.struct(import_path.alias("import_path"), rank.alias("rank"))
+
+    answers = [
+        answer(path, F.lit(0).cast("bigint")),
+        answer(F.when(bare != "", bare), position),
+        answer(folder, index_rank),
+        answer(F.concat(folder, F.lit("/")), index_rank),
+    ]
     exploded = files.select("tree_id", "path", F.inline(F.array(*answers))).filter(F.col("import_path").isNotNull())
     return exploded.groupBy("tree_id", "import_path").agg(F.min_by("path", "rank").alias("to_path"))
 

@@ -82,11 +82,11 @@ def walk_cut(
     events = []
     if max_files is not None:
         files = inventory(c, policy, **filters).select("tree_id", "path")
-        events.append(_nth(files, "path", max_files, "max_files"))
+        events.append(_nth(files, "path", max_files, "maxFiles"))
     if max_directories is not None:
         walked = c.filter(P.in_scope("path", filters.get("path")))
         dirs = directories(walked, policy).filter(P.in_scope("directory", filters.get("path")))
-        events.append(_nth(dirs, "directory", max_directories, "max_directories"))
+        events.append(_nth(dirs, "directory", max_directories, "maxDirectories"))
     if not events:
         return inventory(c).select("tree_id").limit(0).select(
             "tree_id", F.array().cast("array<string>").alias("cut"), F.lit("").alias("reason")

@@ -16,8 +16,9 @@ from treelens.plans.ordered import top_per_group
 
 def _listed(rows: DataFrame, name: str, *fields: str) -> DataFrame:
     """Bounded lists: ``rows`` were cut to a few per tree and carry a ``rank``."""
-    item = F.struct("rank", *fields)
-    listed = F.transform(F.array_sort(F.collect_list(item)), lambda x: F.struct(*(x[f].alias(f) for f in fields)))
+    items = F.collect_list(F.struct("rank", *fields))
+    ordered = F.array_sort(items, lambda a, b: (a["rank"] - b["rank"]).cast("int"))
+    listed = F.transform(ordered, lambda x: F.struct(*(x[f].alias(f) for f in fields)))
     return rows.groupBy("tree_id").agg(listed.alias(name))
 
 

@@ -50,62 +50,41 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Shape of the derived code files, by n % 10 with n = doc_id div 20.
+_CODE_PATH = """CASE n % 10
+  WHEN 0 THEN concat('src/mod', n, '.ts')
+  WHEN 1 THEN concat('src/mod', n - 1, '.test.ts')
+  WHEN 2 THEN concat('lib/util', n, '.js')
+  WHEN 3 THEN concat('tools/job', n, '.py')
+  WHEN 4 THEN concat('app/Main', n, '.java')
+  WHEN 5 THEN concat('docs/mod', n - 5, '.md')
+  WHEN 6 THEN concat('node_modules/pkg', n, '/index.js')
+  WHEN 7 THEN concat('conf/env', n, '/.env')
+  WHEN 8 THEN concat('.github/workflows/ci', n, '.yml')
+  ELSE concat('pkg', n, '/package.json') END"""
+_CODE_HEAD = """CASE n % 10
+  WHEN 0 THEN concat('import { u } from "../lib/util', n + 2, '"\\nexport const mod', n, ' = 1\\nexport class Mod', n, ' {}\\n')
+  WHEN 1 THEN concat('import { m } from "./mod', n - 1, '"\\n')
+  WHEN 2 THEN concat('export function util', n, '(a) {\\n')
+  WHEN 3 THEN concat('class Job', n, ':\\n    def run(self):\\n')
+  WHEN 4 THEN concat('public class Main', n, ' {\\n  public void start() {}\\n')
+  ELSE '' END"""
+
+
 def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code-shaped files derived from every row of ``documents``.
 
     Ten kinds of files take turns within each source: TypeScript, its tests,
     JavaScript, Python, Java, docs, generated and secret files, CI and manifests.
     """
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    n = F.expr("doc_id div 20")
-    kind = (n % 10).cast("int")
-
-    def num(offset=0):
-        return (n + offset).cast("string")
-
-    def lines(*parts):
-        return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
-
-    def pick(choices, default):
-        out = F
-        for value, expr in choices.items():
-            out = out.when(kind == value, expr)
-        return out.otherwise(default)
-
-    path = pick(
-        {
-            0: lines("src/mod", num(), ".ts"),
-            1: lines("src/mod", num(-1), ".test.ts"),
-            2: lines("lib/util", num(), ".js"),
-            3: lines("tools/job", num(), ".py"),
-            4: lines("app/Main", num(), ".java"),
-            5: lines("docs/mod", num(-5), ".md"),
-            6: lines("node_modules/pkg", num(), "/index.js"),
-            7: lines("conf/env", num(), "/.env"),
-            8: lines(".github/workflows/ci", num(), ".yml"),
-        },
-        lines("pkg", num(), "/package.json"),
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
+        "doc_id", "source AS tree_id", "doc_id div 20 AS n", "text"
     )
-    head = pick(
-        {
-            0: lines(
-                'import { u } from "../lib/util', num(2), '"\nexport const mod', num(),
-                " = 1\nexport class Mod", num(), " {}\n",
-            ),
-            1: lines('import { m } from "./mod', num(-1), '"\n'),
-            2: lines("export function util", num(), "(a) {\n"),
-            3: lines("class Job", num(), ":\n    def run(self):\n"),
-            4: lines("public class Main", num(), " {\n  public void start() {}\n"),
-        },
-        F.lit(""),
-    )
-    rows = docs.select(
-        "doc_id",
-        F.col("source").alias("tree_id"),
-        path.alias("path"),
-        F.concat(head, "text").alias("content"),
-    )
-    return corpus(rows, "tree_id", "path", "content", "doc_id")
+    # The one-element explode keeps path a plain column, as in a stored corpus;
+    # otherwise every path predicate would repeat the whole CASE above.
+    rows = docs.selectExpr("*", f"explode(array({_CODE_PATH})) AS path")
+    rows = rows.selectExpr("doc_id", "tree_id", "path", f"concat({_CODE_HEAD}, text) AS content")
+    return rows.selectExpr("tree_id", "path", "content", "cast(octet_length(content) AS bigint) AS size", "doc_id")
 
 
 def moderated_code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
