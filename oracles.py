@@ -461,7 +461,7 @@ def queries() -> dict[str, str]:
       free AS (SELECT DISTINCT tree_id, path, regexp_replace(st, '(\\.test|\\.spec|test|spec)$', '') AS tested_stem FROM t UNION SELECT * FROM ends)
       SELECT tree_id, path, tested_stem, CAST(NULL AS VARCHAR) AS tested_ext FROM free
       UNION ALL SELECT tree_id, path, left(st, length(st) - 4), lower({extension('path')}) FROM t
-        WHERE ends_with(st, 'test') AND left(st, length(st) - 4) <> regexp_replace(st, '(\\.test|\\.spec|test|spec)$', '')"""
+        WHERE ends_with(st, 'test') AND length(st) > 4 AND NOT EXISTS (SELECT 1 FROM free f WHERE f.tree_id = t.tree_id AND f.path = t.path AND f.tested_stem = left(st, length(st) - 4))"""
     # roll-ups
     sql["language_counts"] = f"{keep} SELECT tree_id, {language('path')} AS language, count(*) AS files FROM kept GROUP BY ALL"
     sql["role_counts"] = f"{keep} SELECT tree_id, {role('path')} AS role, count(*) AS files FROM kept GROUP BY ALL"

@@ -7,6 +7,8 @@ hot keys (one directory, one file name) with its skew join.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from treelens import constants as K
@@ -17,108 +19,138 @@ from treelens.operators.inventory import KEY, kept
 from treelens.plans.ordered import top_per_group
 
 COLUMNS = ["tree_id", "target_path", "path", "relationship", "evidence", "confidence", "language", "source_sha256"]
-_CONFIDENCE = {"direct-import": "high", "imported-by": "high", "likely-test": "medium", "same-basename": "low", "sibling": "low"}
-
-
-def _relation(rows: DataFrame, path: str, kind: str, evidence: Column, sha: Column | None = None) -> DataFrame:
-    return rows.select(
-        "tree_id",
-        "target_path",
-        F.col(path).alias("path"),
-        F.lit(kind).alias("relationship"),
-        evidence.alias("evidence"),
-        F.lit(_CONFIDENCE[kind]).alias("confidence"),
-        P.language(path).alias("language"),
-        (F.lit(None).cast("string") if sha is None else sha).alias("source_sha256"),
-    )
 
 
 def _targets(targets: DataFrame, *columns: Column) -> DataFrame:
     return targets.select("tree_id", F.col("path").alias("target_path"), *columns)
 
 
-def direct_imports(edges: DataFrame, targets: DataFrame) -> DataFrame:
-    """Files a target imports."""
-    found = edges.filter(F.col("to_path").isNotNull())
-    wanted = _targets(targets, F.col("path").alias("from_path"))
-    rows = found.join(wanted, ["tree_id", "from_path"])
-    return _relation(rows, "to_path", "direct-import", F.col("specifier"), F.col("source_sha256"))
+def _confidence() -> Column:
+    kind = F.col("relationship")
+    return F.when(kind.isin("direct-import", "imported-by"), "high").when(kind == "likely-test", "medium").otherwise("low")
 
 
-def imported_by(edges: DataFrame, targets: DataFrame) -> DataFrame:
-    """Files that import a target."""
-    wanted = _targets(targets, F.col("path").alias("to_path"))
-    rows = edges.join(wanted, ["tree_id", "to_path"]).filter(F.col("from_path") != F.col("target_path"))
-    return _relation(rows, "from_path", "imported-by", F.col("specifier"), F.col("source_sha256"))
+def _import_relations(edges: DataFrame, targets: DataFrame, kinds) -> DataFrame:
+    """Both directions in one pass: an edge answers for its importer and its import."""
+    ends = {"direct-import": ("from_path", "to_path"), "imported-by": ("to_path", "from_path")}
+    views = [
+        F.struct(F.lit(k).alias("relationship"), F.col(asked).alias("target_path"), F.col(found).alias("path"))
+        for k, (asked, found) in ends.items() if k in kinds
+    ]
+    rows = edges.filter(F.col("to_path").isNotNull()).select(
+        "tree_id", F.inline(F.array(*views)), F.col("specifier").alias("evidence"), "source_sha256"
+    )
+    # A file that imports itself is no importer of the target.
+    rows = rows.filter((F.col("relationship") == "direct-import") | (F.col("path") != F.col("target_path")))
+    rows = rows.join(_targets(targets), ["tree_id", "target_path"], "left_semi")
+    return rows.withColumn("confidence", _confidence()).withColumn("language", P.language("path")).select(*COLUMNS)
 
 
-def tested_stems(files: DataFrame) -> DataFrame:
-    """``(tree_id, path, tested_stem, tested_ext)``: names each test file may test.
+def _tested(name: Column, stem: Column, ext: Column) -> Column:
+    """Array of (key, ext): the file stems a test name points at.
 
     A test answers to its own stem without the test marker and to every ending of
     the text before a '.test' or '.spec' in its name. Listing these endings turns
-    the substring rule into an equality. ``tested_ext`` is set where the tested
-    file must also share the extension.
+    the substring rule into an equality. ``ext`` is set where the tested file must
+    also share the extension. Keys are distinct per test.
     """
-    tests = files.filter(P.role("path") == "test").select(*KEY)
-    name = F.lower(P.basename("path"))
-    stem = F.lower(P.stem("path"))
 
     def heads(marker):
-        # Text before each occurrence of the marker, then all its non-empty endings.
-        parts = F.split("name", rf"\{marker}", -1)
-        count = F.size(parts)
+        parts = F.split(name, re.escape(marker), -1)
         before = F.transform(
-            F.slice(F.sequence(F.lit(0), count), 2, count - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), marker)
+            F.slice(F.sequence(F.lit(0), F.size(parts)), F.lit(2), F.size(parts) - 1),
+            lambda i: F.array_join(F.slice(parts, F.lit(1), i), marker),
         )
         before = F.filter(before, lambda h: h != "")
-        return F.flatten(
-            F.transform(before, lambda h: F.transform(F.sequence(F.lit(1), F.length(h)), lambda i: F.substr(h, i)))
-        )
-
-    bare = F.when(F.endswith(stem, F.lit("test")), F.substr(stem, F.lit(1), F.length(stem) - 4))
-    any_ext = F.lit(None).cast("string")
-    keyed = tests.select(
-        *KEY,
-        name.alias("name"),
-        P.test_stem("path").alias("marked"),
-        bare.alias("bare"),
-        F.lower(P.extension("path")).alias("ext"),
+        return F.flatten(F.transform(before, lambda h: F.transform(F.sequence(F.lit(1), F.length(h)), lambda i: F.substr(h, i))))
+
+    unmarked = F.regexp_replace(stem, K.TEST_STEM_SUFFIX, "")
+    stems = F.array_distinct(F.concat(F.array(unmarked), heads(".test"), heads(".spec")))
+    free = F.transform(stems, lambda k: F.struct(k.alias("key"), F.lit(None).cast("string").alias("ext")))
+    bare = F.regexp_extract(stem, r"(?s)\A(.*)test\z", 1)
+    bound = F.array(F.struct(bare.alias("key"), ext.alias("ext")))
+    return F.when((bare != "") & ~F.array_contains(stems, bare), F.concat(free, bound)).otherwise(free)
+
+
+def _file_keys(files: DataFrame, kinds) -> DataFrame:
+    """Files with the keys under which each relation finds them."""
+    lower = [F.lower(P.basename("path")), F.lower(P.stem("path")), F.lower(P.extension("path"))]
+    rows = files.select(
+        *KEY, P.dirname("path").alias("_dir"), *(c.alias(n) for c, n in zip(lower, ("_name", "_stem", "_ext"))),
+        P.role("path").alias("_role"),
     )
-    stems = F.array_distinct(F.concat(F.array("marked"), heads(".test"), heads(".spec")))
-    free = keyed.select(*KEY, F.explode(stems).alias("tested_stem"), any_ext.alias("tested_ext"))
-    same_ext = keyed.filter(F.col("bare").isNotNull() & (F.col("bare") != F.col("marked"))).select(
-        *KEY, F.col("bare").alias("tested_stem"), F.col("ext").alias("tested_ext")
+    no_ext = F.lit(None).cast("string")
+
+    def plain(kind, column):
+        return F.array(F.struct(F.lit(kind).alias("relationship"), F.col(column).alias("key"), no_ext.alias("ext")))
+
+    tests = F.transform(
+        _tested(F.col("_name"), F.col("_stem"), F.col("_ext")),
+        lambda t: F.struct(F.lit("likely-test").alias("relationship"), t["key"].alias("key"), t["ext"].alias("ext")),
     )
-    return free.unionByName(same_ext)
+    nothing = F.array().cast("array<struct<relationship:string,key:string,ext:string>>")
+    parts = {
+        "likely-test": F.when(F.col("_role") == "test", tests).otherwise(nothing),
+        "same-basename": plain("same-basename", "_stem"),
+        "sibling": plain("sibling", "_dir"),
+    }
+    return rows.select(*KEY, F.inline(F.concat(*(v for k, v in parts.items() if k in kinds))))
 
 
-def likely_tests(files: DataFrame, targets: DataFrame) -> DataFrame:
-    """Tests whose name points at a target."""
-    wanted = _targets(
-        targets, F.lower(P.stem("path")).alias("tested_stem"), F.lower(P.extension("path")).alias("target_ext")
+def _name_relations(files: DataFrame, targets: DataFrame, kinds) -> DataFrame:
+    """Relations by names: one join on (tree, relation, key) for all of them."""
+    stem = F.lower(P.stem("path"))
+    keys = {"likely-test": stem, "same-basename": stem, "sibling": P.dirname("path")}
+    wanted = F.array(*(F.struct(F.lit(k).alias("relationship"), v.alias("key")) for k, v in keys.items() if k in kinds))
+    asked = _targets(targets, F.lower(P.extension("path")).alias("target_ext"), F.inline(wanted))
+    rows = _file_keys(files, kinds).join(asked, ["tree_id", "relationship", "key"])
+    rows = rows.filter(F.col("ext").isNull() | (F.col("ext") == F.col("target_ext")))
+    rows = rows.filter(F.col("path") != F.col("target_path"))
+    kind = F.col("relationship")
+    evidence = (
+        F.when(kind == "likely-test", K.TEST_EVIDENCE)
+        .when(kind == "same-basename", F.concat(F.lit("same basename as "), P.basename("target_path")))
+        .otherwise(F.concat(F.lit("same directory "), P.dirname("target_path")))
     )
-    rows = tested_stems(files).join(wanted, ["tree_id", "tested_stem"])
-    rows = rows.filter(F.col("tested_ext").isNull() | (F.col("tested_ext") == F.col("target_ext")))
-    rows = rows.filter(F.col("path") != F.col("target_path")).select("tree_id", "target_path", "path").distinct()
-    return _relation(rows, "path", "likely-test", F.lit(K.TEST_EVIDENCE))
+    return rows.select(
+        "tree_id", "target_path", "path", "relationship", evidence.alias("evidence"), _confidence().alias("confidence"),
+        P.language("path").alias("language"), F.lit(None).cast("string").alias("source_sha256"),
+    )
+
 
+def direct_imports(edges: DataFrame, targets: DataFrame) -> DataFrame:
+    """Files a target imports."""
+    return _import_relations(edges, targets, ["direct-import"])
 
-def _same_key(files: DataFrame, targets: DataFrame, key: Column) -> DataFrame:
-    rows = files.select(*KEY, key.alias("_key")).join(_targets(targets, key.alias("_key")), ["tree_id", "_key"])
-    return rows.filter(F.col("path") != F.col("target_path"))
+
+def imported_by(edges: DataFrame, targets: DataFrame) -> DataFrame:
+    """Files that import a target."""
+    return _import_relations(edges, targets, ["imported-by"])
+
+
+def likely_tests(files: DataFrame, targets: DataFrame) -> DataFrame:
+    """Tests whose name points at a target."""
+    return _name_relations(files, targets, ["likely-test"])
 
 
 def same_basename(files: DataFrame, targets: DataFrame) -> DataFrame:
     """Files with the stem of a target, in any directory and with any extension."""
-    rows = _same_key(files, targets, F.lower(P.stem("path")))
-    return _relation(rows, "path", "same-basename", F.concat(F.lit("same basename as "), P.basename("target_path")))
+    return _name_relations(files, targets, ["same-basename"])
 
 
 def siblings(files: DataFrame, targets: DataFrame) -> DataFrame:
     """Files in the directory of a target."""
-    rows = _same_key(files, targets, P.dirname("path"))
-    return _relation(rows, "path", "sibling", F.concat(F.lit("same directory "), P.dirname("target_path")))
+    return _name_relations(files, targets, ["sibling"])
+
+
+def tested_stems(files: DataFrame) -> DataFrame:
+    """``(tree_id, path, tested_stem, tested_ext)``: names each test file may test.
+
+    The corpus-wide form of ``likely_tests``: it grows with the tests, not with
+    the pairs of tests and tested files.
+    """
+    rows = _file_keys(files, ["likely-test"])
+    return rows.select(*KEY, F.col("key").alias("tested_stem"), F.col("ext").alias("tested_ext"))
 
 
 def filter_related(r: DataFrame, kinds=None, path_prefix=None, extensions=None, include_low: bool = True) -> DataFrame:
@@ -152,24 +184,22 @@ def related(
     unknown = set(kinds or ()) - set(K.RELATIONSHIPS)
     if unknown:
         raise ValueError(f"unknown relationship kinds: {sorted(unknown)}")
-    wanted_kinds = [k for k in K.RELATIONSHIPS if (kinds is None or k in kinds) and (include_low or _CONFIDENCE[k] != "low")]
-    trees = targets.select("tree_id").distinct()
-    files = kept(c, policy).select(*KEY).join(trees, "tree_id", "left_semi")
-    if edges is None and {"direct-import", "imported-by"} & set(wanted_kinds):
-        edges = import_edges(c.join(trees, "tree_id", "left_semi"), policy)
-    build = {
-        "direct-import": lambda: direct_imports(edges, targets),
-        "imported-by": lambda: imported_by(edges, targets),
-        "likely-test": lambda: likely_tests(files, targets),
-        "same-basename": lambda: same_basename(files, targets),
-        "sibling": lambda: siblings(files, targets),
-    }
-    parts = [build[k]() for k in wanted_kinds]
-    if not parts:
+    low = ("same-basename", "sibling")
+    wanted = [k for k in K.RELATIONSHIPS if (kinds is None or k in kinds) and (include_low or k not in low)]
+    if not wanted:
         raise ValueError("no relationship kind left to look for")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+    by_import = [k for k in wanted if k in ("direct-import", "imported-by")]
+    by_name = [k for k in wanted if k not in by_import]
+    trees = targets.select("tree_id").distinct()
+    parts = []
+    if by_import:
+        if edges is None:
+            edges = import_edges(c.join(trees, "tree_id", "left_semi"), policy)
+        parts.append(_import_relations(edges, targets, by_import))
+    if by_name:
+        files = kept(c, policy).select(*KEY).join(trees, "tree_id", "left_semi")
+        parts.append(_name_relations(files, targets, by_name))
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     # The builders emit distinct (relationship, path, evidence) per target.
     rows = filter_related(rows, path_prefix=path_prefix, extensions=extensions)
     if max_per_target is None:
