@@ -69,7 +69,6 @@ GUIDANCE_PATHS = (
 )
 
 # ---- text -----------------------------------------------------------------
-LINE_BREAK = r"\r?\n"
 CLIP_CHARS = 320
 DEFAULT_RANGE_LINES, MAX_RANGE_LINES = 160, 500
 MAX_CONTEXT_LINES = 3
@@ -103,6 +102,8 @@ IMPORT_PATTERNS = (
     r"""\brequire\(\s*["'](\.{1,2}/[^"']+)["']\s*\)""",
     r"""\bimport\(\s*["'](\.{1,2}/[^"']+)["']\s*\)""",
 )
+# What a text must contain for the pattern of the same position to match at all.
+IMPORT_NEEDS = (r"import\s", r"""from\s+["']\.{1,2}/""", r"require\(", r"import\(")
 RESOLVE_EXTENSIONS = (".ts", ".tsx", ".js", ".jsx", ".mjs", ".cjs", ".json")
 
 # ---- related files --------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from treelens import constants as K
+from treelens.functions.regex import one_of
 
 BOM = "\ufeff"
 _CONTROL = "".join(chr(c) for c in range(1, 32) if c not in (9, 10, 13))
@@ -24,19 +25,22 @@ def content_sha256(content) -> Column:
 
 
 def refusal(content, binary: bool) -> Column:
-    """Why content is no readable text: null content, NUL, control bytes, bad UTF-8."""
+    """Why content is no readable text: null content, NUL, control bytes, bad UTF-8.
+
+    One scan for any suspicious character settles nearly all files.
+    """
     content = F.col(content) if isinstance(content, str) else content
     text = content.cast("string")
-    nul = F.locate("\x00", text) > 0
-    # Control characters are single bytes, so removing them shortens the text by their count.
-    control = F.octet_length(text) - F.octet_length(F.translate(text, _CONTROL, ""))
+    # Control characters are single bytes, so their count is a number of bytes.
+    control = F.regexp_count(text, F.lit(one_of(_CONTROL)))
     heavy = (control > K.CONTROL_MIN_COUNT) & (
         control / F.greatest(F.lit(1), F.octet_length(text)) > K.CONTROL_MAX_SHARE
     )
+    suspicious = text.rlike(one_of("\x00" + _CONTROL))
     out = (
         F.when(content.isNull(), "not-readable")
-        .when(nul, "binary")
-        .when(heavy, "control-heavy")
+        .when(suspicious & F.contains(text, F.lit("\x00")), "binary")
+        .when(suspicious & heavy, "control-heavy")
     )
     return out.when(~F.is_valid_utf8(text), "malformed-utf8") if binary else out
 
@@ -57,13 +61,13 @@ def decoded(content) -> Column:
 
 def split_lines(text) -> Column:
     """CRLF or LF ends a line; a lone CR is data; a trailing break adds an empty line."""
-    return F.split(text, K.LINE_BREAK, -1)
+    return F.split(F.replace(text, F.lit("\r\n"), F.lit("\n")), "\n", -1)
 
 
 def line_count(text) -> Column:
     """Number of lines without building them: line feeds plus one."""
     text = F.col(text) if isinstance(text, str) else text
-    feeds = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
+    feeds = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit("")))
     return (feeds + 1).cast("bigint")
 
 

@@ -24,9 +24,14 @@ def relative_imports(c: DataFrame, policy: Policy = DEFAULT_POLICY, granted: str
         text = F.array_join(head, "\n")
     else:
         text = F.replace(F.col("text"), F.lit("\r\n"), F.lit("\n"))
-    found = F.array_distinct(
-        F.concat(*(F.regexp_extract_all("text", F.lit(jvm(p)), F.lit(1)) for p in K.IMPORT_PATTERNS))
-    )
+    nothing = F.array().cast("array<string>")
+
+    def matches(pattern, needed):
+        found = F.regexp_extract_all("text", F.lit(jvm(pattern)), F.lit(1))
+        return F.when(F.col("text").rlike(jvm(needed)), found).otherwise(nothing)
+
+    # Each pattern runs only on texts that hold the short literal part it needs.
+    found = F.array_distinct(F.concat(*(matches(p, n) for p, n in zip(K.IMPORT_PATTERNS, K.IMPORT_NEEDS))))
     return files.withColumn("text", text).select(
         "tree_id",
         F.col("path").alias("from_path"),
@@ -36,17 +41,20 @@ def relative_imports(c: DataFrame, policy: Policy = DEFAULT_POLICY, granted: str
     )
 
 
-def import_target(from_path, specifier):
-    """Specifier joined to the importer's directory; null when it leaves the tree.
+def with_import_path(imports: DataFrame) -> DataFrame:
+    """Adds ``import_path``: the specifier joined to the importer's directory.
 
-    A trailing '/' is kept: such a specifier can only name an index file.
+    It is null when the specifier leaves the tree. A trailing '/' is kept: such a
+    specifier can only name an index file.
     """
-    directory = P.dirname(from_path)
-    joined = F.concat_ws("/", F.when(directory != ".", directory), specifier)
-    segs = P.normalized_segments(joined)
+    directory = P.dirname("from_path")
+    joined = F.concat_ws("/", F.when(directory != ".", directory), "specifier")
+    rows = imports.withColumn("_segments", P.normalized_segments(joined))
+    segs = F.col("_segments")
     base = F.when(F.size(segs) == 0, F.lit(".")).otherwise(F.array_join(segs, "/"))
-    tail = F.when(F.endswith(F.col(specifier) if isinstance(specifier, str) else specifier, F.lit("/")), "/").otherwise("")
-    return F.when(F.coalesce(F.get(segs, F.lit(0)), F.lit("")) != "..", F.concat(base, tail))
+    tail = F.when(F.endswith(F.col("specifier"), F.lit("/")), "/").otherwise("")
+    inside = F.coalesce(F.get(segs, F.lit(0)), F.lit("")) != ".."
+    return rows.withColumn("import_path", F.when(inside, F.concat(base, tail))).drop("_segments")
 
 
 def resolution_index(files: DataFrame) -> DataFrame:
@@ -80,8 +88,7 @@ def resolution_index(files: DataFrame) -> DataFrame:
 
 def resolve_imports(imports: DataFrame, files: DataFrame) -> DataFrame:
     """Adds ``to_path`` (null when nothing in the tree answers)."""
-    targets = imports.withColumn("import_path", import_target("from_path", "specifier"))
-    return targets.join(resolution_index(files), ["tree_id", "import_path"], "left").drop("import_path")
+    return with_import_path(imports).join(resolution_index(files), ["tree_id", "import_path"], "left").drop("import_path")
 
 
 def import_edges(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:

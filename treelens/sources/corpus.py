@@ -62,7 +62,7 @@ _CODE_PATH = """CASE n % 10
   WHEN 7 THEN concat('conf/env', n, '/.env')
   WHEN 8 THEN concat('.github/workflows/ci', n, '.yml')
   ELSE concat('pkg', n, '/package.json') END"""
-_CODE_HEAD = """CASE n % 10
+_CODE_HEAD = """CASE kind
   WHEN 0 THEN concat('import { u } from "../lib/util', n + 2, '"\\nexport const mod', n, ' = 1\\nexport class Mod', n, ' {}\\n')
   WHEN 1 THEN concat('import { m } from "./mod', n - 1, '"\\n')
   WHEN 2 THEN concat('export function util', n, '(a) {\\n')
@@ -80,9 +80,9 @@ def code_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr(
         "doc_id", "source AS tree_id", "doc_id div 20 AS n", "text"
     )
-    # The one-element explode keeps path a plain column, as in a stored corpus;
-    # otherwise every path predicate would repeat the whole CASE above.
-    rows = docs.selectExpr("*", f"explode(array({_CODE_PATH})) AS path")
+    # The one-element inline keeps path a plain column, as in a stored corpus:
+    # path predicates do not repeat the CASE, and run before any content predicate.
+    rows = docs.selectExpr("*", f"inline(array(struct({_CODE_PATH} AS path, n % 10 AS kind)))")
     rows = rows.selectExpr("doc_id", "tree_id", "path", f"concat({_CODE_HEAD}, text) AS content")
     return rows.selectExpr("tree_id", "path", "content", "cast(octet_length(content) AS bigint) AS size", "doc_id")
 
