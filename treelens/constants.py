@@ -108,6 +108,7 @@ RESOLVE_EXTENSIONS = (".ts", ".tsx", ".js", ".jsx", ".mjs", ".cjs", ".json")
 
 # ---- related files --------------------------------------------------------
 RELATIONSHIPS = ("direct-import", "imported-by", "likely-test", "same-basename", "sibling")
+MAX_RELATIONSHIPS = 300
 TEST_EVIDENCE = "test naming convention"
 
 # ---- report sizes ---------------------------------------------------------

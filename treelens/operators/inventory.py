@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from treelens.functions import paths as P
 from treelens.functions.policy import DEFAULT_POLICY, Policy
+from treelens.plans.materialize import small_side
 from treelens.plans.ordered import top_per_group
 
 KEY = ["tree_id", "path"]
@@ -112,7 +113,7 @@ def before_cut(files: DataFrame, cuts: DataFrame, through: bool = False) -> Data
 
     ``cuts`` holds at most one row per tree.
     """
-    joined = files.join(cuts.select("tree_id", "cut"), "tree_id", "left")
+    joined = files.join(small_side(cuts.select("tree_id", "cut")), "tree_id", "left")
     key = P.walk_key("path")
     inside = (key <= F.col("cut")) if through else (key < F.col("cut"))
     return joined.filter(F.col("cut").isNull() | inside).drop("cut")

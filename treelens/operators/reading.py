@@ -8,6 +8,7 @@ from treelens import constants as K
 from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.inventory import KEY, kept
+from treelens.plans.materialize import small_side
 from treelens.plans.ordered import top_per_group
 
 
@@ -140,8 +141,8 @@ def read_batch(
 def _range_rows(c, requests, policy, max_bytes_per_file):
     """Requests with the facts and the selected lines of their files.
 
-    Requests are the small side of the join; the optimizer broadcasts them when
-    their size allows. Only the selected lines travel on, never whole files.
+    Requests are the small side of the join and broadcast when their size allows.
+    Only the selected lines travel on, never whole files.
     """
     types = {"start_line": "bigint", "max_lines": "bigint", "expected_sha256": "string"}
     for name, kind in types.items():
@@ -155,7 +156,7 @@ def _range_rows(c, requests, policy, max_bytes_per_file):
     asked = req.filter(F.col("path_error").isNull()).select("request_id", "tree_id", "clean", "start_line", "wanted")
     small = F.lit(True) if max_bytes_per_file is None else F.col("size") <= max_bytes_per_file
     refusal = T.refusal("content", T.is_binary(c))
-    found = files.join(asked, ["tree_id", "clean"]).select(
+    found = files.join(small_side(asked), ["tree_id", "clean"]).select(
         "request_id", "size", "wanted", "start_line",
         small.alias("small"),
         F.when(small, T.content_sha256(F.col("content"))).alias("sha256"),

@@ -16,6 +16,7 @@ from treelens.functions import paths as P
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.imports import import_edges
 from treelens.operators.inventory import KEY, kept
+from treelens.plans.materialize import materialize, small_side
 from treelens.plans.ordered import top_per_group
 
 COLUMNS = ["tree_id", "target_path", "path", "relationship", "evidence", "confidence", "language", "source_sha256"]
@@ -42,7 +43,7 @@ def _import_relations(edges: DataFrame, targets: DataFrame, kinds) -> DataFrame:
     )
     # A file that imports itself is no importer of the target.
     rows = rows.filter((F.col("relationship") == "direct-import") | (F.col("path") != F.col("target_path")))
-    rows = rows.join(_targets(targets), ["tree_id", "target_path"], "left_semi")
+    rows = rows.join(small_side(_targets(targets)), ["tree_id", "target_path"], "left_semi")
     return rows.withColumn("confidence", _confidence()).withColumn("language", P.language("path")).select(*COLUMNS)
 
 
@@ -103,7 +104,7 @@ def _name_relations(files: DataFrame, targets: DataFrame, kinds) -> DataFrame:
     keys = {"likely-test": stem, "same-basename": stem, "sibling": P.dirname("path")}
     wanted = F.array(*(F.struct(F.lit(k).alias("relationship"), v.alias("key")) for k, v in keys.items() if k in kinds))
     asked = _targets(targets, F.lower(P.extension("path")).alias("target_ext"), F.inline(wanted))
-    rows = _file_keys(files, kinds).join(asked, ["tree_id", "relationship", "key"])
+    rows = _file_keys(files, kinds).join(small_side(asked), ["tree_id", "relationship", "key"])
     rows = rows.filter(F.col("ext").isNull() | (F.col("ext") == F.col("target_ext")))
     rows = rows.filter(F.col("path") != F.col("target_path"))
     kind = F.col("relationship")
@@ -190,7 +191,8 @@ def related(
         raise ValueError("no relationship kind left to look for")
     by_import = [k for k in wanted if k in ("direct-import", "imported-by")]
     by_name = [k for k in wanted if k not in by_import]
-    trees = targets.select("tree_id").distinct()
+    targets = materialize(targets.select(*KEY))
+    trees = small_side(targets.select("tree_id").distinct())
     parts = []
     if by_import:
         if edges is None:
@@ -213,14 +215,16 @@ def related(
     )
 
 
-def grouped_related(r: DataFrame) -> DataFrame:
-    """Number of relations and the paths per relationship kind of each target.
+def grouped_related(r: DataFrame, max_paths: int = K.MAX_RELATIONSHIPS) -> DataFrame:
+    """Relations per kind of each target: their number and the first paths.
 
-    One row per target and kind with a sorted path list; meant for capped results.
+    The count covers all relations; the list is a report of at most ``max_paths``.
     """
-    return r.groupBy("tree_id", "target_path", "relationship").agg(
-        F.count("*").alias("relations"), F.array_sort(F.collect_set("path")).alias("paths")
-    )
+    group = ["tree_id", "target_path", "relationship"]
+    counts = r.groupBy(*group).agg(F.count("*").alias("relations"))
+    listed = top_per_group(r.select(*group, "path").distinct(), group, [F.col("path")], max_paths, ["path"])
+    paths = listed.groupBy(*group).agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return counts.join(paths, group)
 
 
 def name_groups(files: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.inventory import KEY, before_cut, path_filter, walk_cut
 from treelens.operators.reading import readable
-from treelens.plans.materialize import materialize
+from treelens.plans.materialize import materialize, small_side
 from treelens.plans.ordered import running_totals, top_per_group
 
 
@@ -105,7 +105,7 @@ def search(
     files = readable(files, policy, max_bytes_per_file)
     if expected is not None:
         agreed = expected.join(fingerprints, ["tree_id", "fingerprint"]).select("tree_id")
-        files = files.join(agreed, "tree_id", "left_semi")
+        files = files.join(small_side(agreed), "tree_id", "left_semi")
     files = files.select(*KEY, "text", "size", T.content_sha256(F.col("content")).alias("file_sha256"))
     matches = _match_rows(files, query, case_sensitive, context)
     if max_matches is None:
@@ -206,7 +206,7 @@ def budgeted_search(c: DataFrame, query: str, plan: DataFrame, case_sensitive: b
     context = max(0, min(K.MAX_CONTEXT_LINES, context))
     scanned = plan.filter(F.col("scanned") & (F.col("granted_lines") > 0)).select(*KEY, "granted_lines", F.col("sha256").alias("file_sha256"))
     hit_files = c.filter(_has(F.col("content").cast("string"), query, case_sensitive)).select(*KEY, "content", "size")
-    files = hit_files.join(scanned, KEY).withColumn("text", T.decoded("content"))
+    files = hit_files.join(small_side(scanned), KEY).withColumn("text", T.decoded("content"))
     matches = _match_rows(files, query, case_sensitive, context, "granted_lines")
     if max_matches is None:
         return matches

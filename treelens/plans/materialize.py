@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+BROADCAST_BYTES = 32 << 20
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -27,3 +29,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A narrow join side: broadcast when its measured size allows.
+
+    Spark estimates the size of derived frames from their input, so a table of one
+    row per tree would make it shuffle the file contents it is joined with. Here
+    the rows are written and measured first. Larger sides come back without a hint
+    and take the shuffle join, whose hot keys adaptive execution splits.
+    """
+    pinned = materialize(df)
+    text = F.concat_ws("", *(F.col(c).cast("string") for c in pinned.columns))
+    measured = pinned.agg(F.coalesce(F.sum(F.octet_length(text) + 16 * len(pinned.columns)), F.lit(0))).first()[0]
+    return F.broadcast(pinned) if measured <= max_bytes else pinned
