@@ -558,7 +558,7 @@ def queries() -> dict[str, str]:
     cls = f"cls AS (SELECT tree_id, path, size, {language('path')} AS language, {role('path')} AS role FROM kept)"
     item = "concat(path, ':', size, ':', language, ':', role)"
     lists = ", ".join(
-        f"""(SELECT string_agg({item}, ',' ORDER BY path) FROM (SELECT *, row_number() OVER (ORDER BY path) AS rn FROM cls c WHERE c.tree_id = t.tree_id{cond}) WHERE rn <= {n}) AS {name}"""
+        f"""(SELECT coalesce(string_agg({item}, ',' ORDER BY path), '') FROM (SELECT *, row_number() OVER (ORDER BY path) AS rn FROM cls c WHERE c.tree_id = t.tree_id{cond}) WHERE rn <= {n}) AS {name}"""
         for name, cond, n in (("files", "", K.MAP_FILES), *((name, f" AND role = '{r}'", K.MAP_ROLE_LIST) for r, name in
                               (("manifest", "manifests"), ("ci", "ci"), ("doc", "docs"), ("test", "tests"))))
     )

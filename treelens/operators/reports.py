@@ -9,17 +9,23 @@ from treelens.functions import paths as P
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.fingerprints import metadata_fingerprint
 from treelens.operators.inventory import before_cut, classify_files, inventory, walk_cut
-from treelens.operators.rollup import dir_rollup, first_files, guidance, language_counts, role_counts, role_top_n
+from treelens.operators.rollup import dir_rollup_of, first_files, guidance
 from treelens.operators.symbols import ORDER, symbols
+from treelens.plans.materialize import materialize
 from treelens.plans.ordered import top_per_group
 
 
+def _ranked_list(fields, condition=None):
+    """Aggregate: the rows of a group by ``rank`` as structs of ``fields``."""
+    item = F.struct("rank", *fields)
+    items = F.collect_list(item if condition is None else F.when(condition, item))
+    ordered = F.array_sort(items, lambda a, b: (a["rank"] - b["rank"]).cast("int"))
+    return F.transform(ordered, lambda x: F.struct(*(x[f].alias(f) for f in fields)))
+
+
 def _listed(rows: DataFrame, name: str, *fields: str) -> DataFrame:
     """Bounded lists: ``rows`` were cut to a few per tree and carry a ``rank``."""
-    items = F.collect_list(F.struct("rank", *fields))
-    ordered = F.array_sort(items, lambda a, b: (a["rank"] - b["rank"]).cast("int"))
-    listed = F.transform(ordered, lambda x: F.struct(*(x[f].alias(f) for f in fields)))
-    return rows.groupBy("tree_id").agg(listed.alias(name))
+    return rows.groupBy("tree_id").agg(_ranked_list(fields).alias(name))
 
 
 def _counted(rows: DataFrame, key: str, name: str) -> DataFrame:
@@ -66,24 +72,30 @@ def corpus_map(
     scoped = c.filter(P.in_scope("path", path))
     if max_files is not None:
         scoped = before_cut(scoped, walk_cut(scoped, policy, max_files))
-    classified = classify_files(inventory(scoped, policy))
+    # One pass over the metadata: every part below starts from these narrow rows.
+    files = materialize(classify_files(inventory(scoped, policy)))
     fields = ("path", "size", "language", "role")
-    dirs = dir_rollup(scoped, depth, policy)
+    by_path = [P.locale_key("path"), F.col("path")]
+
+    dirs = dir_rollup_of(files, depth)
     dirs = top_per_group(dirs, ["tree_id"], [P.locale_key("directory"), F.col("directory")], K.MAP_DIRECTORIES, ["directory"])
+    named = {"manifest": "manifests", "ci": "ci", "doc": "docs", "test": "tests"}
+    by_role = top_per_group(files.filter(F.col("role").isin(*named)), ["tree_id", "role"], by_path, K.MAP_ROLE_LIST, ["path"])
+    role_lists = by_role.groupBy("tree_id").agg(
+        *(_ranked_list(fields, F.col("role") == role).alias(name) for role, name in named.items())
+    )
     parts = [
         _guidance_list(c, policy),
-        _listed(first_files(classified, K.MAP_FILES), "files", *fields),
+        _listed(first_files(files, K.MAP_FILES), "files", *fields),
         _listed(dirs, "directories", "directory", "files", "roles"),
-        _counted(role_counts(scoped, policy), "role", "roles"),
+        _counted(files.groupBy("tree_id", "role").agg(F.count("*").alias("files")), "role", "roles"),
+        role_lists,
     ]
-    lists = role_top_n(scoped, K.MAP_ROLE_LIST, policy=policy)
-    named = {"manifest": "manifests", "ci": "ci", "doc": "docs", "test": "tests"}
-    for role, name in named.items():
-        parts.append(_listed(lists.filter(F.col("role") == role), name, *fields))
     if include_symbols:
         order_fields = ("path", *ORDER, "signature")
         parts.append(_listed(symbols(scoped, max_per_tree=K.MAP_SYMBOLS, policy=policy), "symbols", *order_fields))
-    rows = _counted(language_counts(scoped, policy), "language", "languages")
+    rows = _counted(files.groupBy("tree_id", "language").agg(F.count("*").alias("files")), "language", "languages")
     for part in parts:
         rows = rows.join(part, "tree_id", "left")
-    return rows
+    lists = {f.name: f.dataType for f in rows.schema if f.dataType.typeName() == "array"}
+    return rows.withColumns({n: F.coalesce(n, F.array().cast(t)) for n, t in lists.items()})

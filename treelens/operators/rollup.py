@@ -21,20 +21,33 @@ def role_counts(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     return files.groupBy("tree_id", "role").agg(F.count("*").alias("files"))
 
 
+def _dir_roles_of(files: DataFrame, depth: int) -> DataFrame:
+    parent = F.substring_index(P.dirname("path"), "/", max(1, min(5, depth)))
+    rows = files.select("tree_id", parent.alias("directory"), "role").filter(F.col("directory") != ".")
+    return rows.groupBy("tree_id", "directory", "role").agg(F.count("*").alias("files"))
+
+
+def dir_rollup_of(files: DataFrame, depth: int) -> DataFrame:
+    """Directory roll-up of rows that already carry their ``role``."""
+    per_role = F.map_from_entries(F.array_sort(F.collect_list(F.struct("role", "files"))))  # at most 7 roles
+    return _dir_roles_of(files, depth).groupBy("tree_id", "directory").agg(F.sum("files").alias("files"), per_role.alias("roles"))
+
+
+def _with_role(c: DataFrame, policy: Policy) -> DataFrame:
+    return kept(c, policy).select("tree_id", "path", P.role("path").alias("role"))
+
+
 def dir_roles(c: DataFrame, depth: int = 2, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """Files per directory and role; each file counts once, at ``depth`` or above.
 
     Files at the root of a tree belong to no directory.
     """
-    parent = F.substring_index(P.dirname("path"), "/", max(1, min(5, depth)))
-    files = kept(c, policy).select("tree_id", parent.alias("directory"), P.role("path").alias("role"))
-    return files.filter(F.col("directory") != ".").groupBy("tree_id", "directory", "role").agg(F.count("*").alias("files"))
+    return _dir_roles_of(_with_role(c, policy), depth)
 
 
 def dir_rollup(c: DataFrame, depth: int = 2, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """One row per directory with its file count and a map role -> count."""
-    per_role = F.map_from_entries(F.array_sort(F.collect_list(F.struct("role", "files"))))  # at most 7 roles
-    return dir_roles(c, depth, policy).groupBy("tree_id", "directory").agg(F.sum("files").alias("files"), per_role.alias("roles"))
+    return dir_rollup_of(_with_role(c, policy), depth)
 
 
 def role_top_n(c: DataFrame, n: int = K.MAP_ROLE_LIST, roles=("manifest", "ci", "doc", "test"), policy: Policy = DEFAULT_POLICY) -> DataFrame:
