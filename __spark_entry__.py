@@ -181,6 +181,14 @@ def _snapshot_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.compare_snapshots(tl.content_fingerprint(before), tl.content_fingerprint(after))
 
 
+def _snapshot_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, second = _later_hashes(spark, sf_dir)
+    before, after = (tl.metadata_fingerprint(tl.inventory(c)) for c in (first, second))
+    snapshots = tl.snapshot(before, tl.files_coverage(first), "metadata")
+    rows = tl.verify_snapshot(snapshots, before, after, require_stable=True)
+    return rows.withColumn("truncation_reasons", _joined("truncation_reasons"))
+
+
 def _snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _later_hashes(spark, sf_dir)
     return tl.diff_files(tl.content_hashes(before), tl.content_hashes(after))
@@ -268,6 +276,7 @@ def queries() -> dict[str, Query]:
         "symbols": _on_code(tl.symbols),
         "symbols_filtered": _on_code(lambda c: tl.symbols(c, kind="Class", query="MOD")),
         "symbols_topk": _on_code(lambda c: tl.symbols(c, max_per_tree=12)),
+        "symbols_budgeted": _on_code(lambda c: tl.budgeted_symbols(c, max_total_bytes=20000, max_total_lines=60)),
         "unsupported_languages": _on_code(tl.unsupported_languages),
         # imports and relations
         "import_edges": _on_code(tl.import_edges),
@@ -302,6 +311,7 @@ def queries() -> dict[str, Query]:
         "range_fingerprint": _on_code(_range_prints),
         "snapshot": _on_code(_snapshot),
         "snapshot_compare": _snapshot_compare,
+        "snapshot_verify": _snapshot_verify,
         "snapshot_diff": _snapshot_diff,
         "files_coverage": _on_code(lambda c: _with_reasons(tl.files_coverage(c, max_files=15, max_directories=7))),
         "read_coverage": _on_code(lambda c: _with_reasons(tl.read_coverage(c, max_bytes_per_file=COVERAGE_LIMIT))),

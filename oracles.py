@@ -128,11 +128,11 @@ TALKS = """docs AS (SELECT CAST(conv_id AS VARCHAR) AS tree_id, concat(role, '/'
 NUMBERED = "string_split_regex(content, '\r?\n')"
 
 
-def lines_of(table, columns="tree_id, path", alias="x"):
+def lines_of(table, columns="tree_id, path", alias="x", lines=NUMBERED):
     """One row per line of ``table``."""
     return f"""{alias} AS (SELECT {columns}, line_no, ls[line_no] AS line, ls FROM
       (SELECT {columns}, ls, unnest(range(1, len(ls) + 1)) AS line_no FROM
-        (SELECT *, {NUMBERED} AS ls FROM {table})))"""
+        (SELECT *, {lines} AS ls FROM {table})))"""
 
 
 def clip(e):
@@ -179,7 +179,7 @@ JAVA_T = r"(?:public\s+|protected\s+|private\s+|abstract\s+|final\s+|static\s+)*
 JAVA_M = r"(?:public|protected|private|static|final|synchronized|abstract|\s)+[\w<>\[\], ?]+\s+([A-Za-z_]\w*)\s*\("
 
 
-def symbols() -> str:
+def symbols(before=KEPT, table="kept", lines=NUMBERED) -> str:
     parts = []
     for langs, rules in ((("javascript", "typescript"), SCRIPT), (("python",), PYTHON)):
         for kind, pattern in rules:
@@ -195,7 +195,7 @@ def symbols() -> str:
         FROM gate WHERE language = 'java' AND NOT regexp_matches(t, {regex(JAVA_T)})"""
     )
     union = " UNION ALL ".join(parts)
-    return f"""{KEPT}, {lines_of('kept', 'tree_id, path, content')},
+    return f"""{before}, {lines_of(table, 'tree_id, path, content', lines=lines)},
       gate AS (SELECT tree_id, path, line_no AS line, {language('path')} AS language, trim(line, {SPACES}) AS t, sha256(content) AS source_sha256
         FROM x WHERE trim(line, {SPACES}) <> '' AND NOT starts_with(trim(line, {SPACES}), '//') AND NOT starts_with(trim(line, {SPACES}), '#')),
       found AS ({union}),
@@ -434,6 +434,16 @@ def queries() -> dict[str, str]:
       SELECT {SYMBOL}, rank, symbol_limit_reached FROM ranked WHERE rank <= 12"""
     sql["unsupported_languages"] = f"""{keep} SELECT tree_id, {language('path')} AS language, count(*) AS files FROM kept
       WHERE {language('path')} NOT IN ({quoted(K.SYMBOL_LANGUAGES)}) GROUP BY ALL"""
+    allowed = f"""RECURSIVE {KEPT},
+      o AS (SELECT tree_id, path, content, size, len({NUMBERED}) AS n_lines, row_number() OVER (PARTITION BY tree_id ORDER BY path) AS rn
+        FROM kept WHERE {language('path')} IN ({quoted(K.SYMBOL_LANGUAGES)})),
+      run AS (SELECT tree_id, CAST(0 AS BIGINT) AS rn, CAST(20000 AS BIGINT) AS room, false AS taken FROM (SELECT DISTINCT tree_id FROM o)
+        UNION ALL SELECT o.tree_id, o.rn, CASE WHEN o.size <= r.room THEN r.room - o.size ELSE r.room END, o.size <= r.room
+        FROM run r JOIN o ON o.tree_id = r.tree_id AND o.rn = r.rn + 1),
+      taken AS (SELECT o.*, sum(n_lines) OVER (PARTITION BY o.tree_id ORDER BY o.rn ROWS UNBOUNDED PRECEDING) - n_lines AS lines_before
+        FROM o JOIN run r ON r.tree_id = o.tree_id AND r.rn = o.rn WHERE r.taken),
+      granted AS (SELECT *, 60 - lines_before AS n FROM taken WHERE lines_before < 60)"""
+    sql["symbols_budgeted"] = f"WITH {symbols(allowed, 'granted', NUMBERED + '[1:n]')} SELECT {SYMBOL} FROM symbols"
     # imports and relations
     sql["import_edges"] = f"WITH {edges()} SELECT tree_id, from_path, specifier, language, source_sha256, to_path FROM edges"
     every = f"WITH {edges()}, {source_targets()}, {relations()} SELECT {RELATION} FROM rel WHERE relationship = "
@@ -522,6 +532,14 @@ def queries() -> dict[str, str]:
     sql["snapshot_compare"] = f"""WITH {LATER}, older AS (SELECT tree_id, {fingerprint(CONTENT)} AS before_fingerprint FROM kept GROUP BY tree_id),
       newer AS (SELECT tree_id, {fingerprint(CONTENT)} AS after_fingerprint FROM later GROUP BY tree_id)
       SELECT tree_id, before_fingerprint, after_fingerprint, before_fingerprint IS DISTINCT FROM after_fingerprint AS changed FROM older FULL JOIN newer USING (tree_id)"""
+    sql["snapshot_verify"] = f"""WITH {LATER}, older AS (SELECT tree_id, {fingerprint(META)} AS before_fingerprint FROM kept GROUP BY tree_id),
+      newer AS (SELECT tree_id, {fingerprint(META)} AS after_fingerprint FROM later GROUP BY tree_id)
+      SELECT tree_id, before_fingerprint AS fingerprint, 'metadata' AS fingerprint_kind, '.' AS fingerprint_scope, true AS complete,
+        CASE WHEN before_fingerprint IS DISTINCT FROM after_fingerprint THEN 'snapshotChanged' ELSE '' END AS truncation_reasons,
+        before_fingerprint, after_fingerprint, before_fingerprint IS DISTINCT FROM after_fingerprint AS changed,
+        before_fingerprint IS NOT DISTINCT FROM after_fingerprint AS stable,
+        CASE WHEN before_fingerprint IS DISTINCT FROM after_fingerprint THEN 'stale-snapshot' ELSE 'ok' END AS status
+      FROM older LEFT JOIN newer USING (tree_id)"""
     sql["snapshot_diff"] = f"""WITH {LATER}, older AS (SELECT tree_id, path, sha256(content) AS before_sha256 FROM kept),
       newer AS (SELECT tree_id, path, sha256(content) AS after_sha256 FROM later)
       SELECT tree_id, path, before_sha256, after_sha256, CASE WHEN before_sha256 IS NULL THEN 'added' WHEN after_sha256 IS NULL THEN 'removed'

@@ -187,3 +187,27 @@ def test_granted_lines_limit_symbols_and_imports(spark):
     limited = c.join(granted, ["tree_id", "path"])
     assert rows(tl.symbols(limited, granted="granted_lines"), "name") == [("a",), ("b",)]
     assert rows(tl.relative_imports(limited, granted="granted_lines"), "specifier") == [("./a",)]
+
+
+def test_tight_line_budget_keeps_the_imports_of_the_target(spark):
+    c = corpus(spark, {
+        "a/before.ts": "import '../z/helper'\nconst again = 2\n", "z/helper.ts": "export const helper = 1\n",
+        "z/target.ts": "import { helper } from \"./helper\"\nexport const value = helper\n",
+    })
+    target = spark.createDataFrame([("t", "z/target.ts")], "tree_id string, path string")
+    edges = tl.budgeted_imports(c, target, max_total_lines=1)
+    assert rows(edges, "from_path", "to_path") == [("z/target.ts", "z/helper.ts")]
+    assert rows(tl.related(c, target, kinds=["direct-import"], edges=edges), "path", "evidence") == [("z/helper.ts", "./helper")]
+    assert tl.budgeted_imports(c, target, max_total_bytes=10_000).count() == 2
+
+
+def test_budgeted_symbols_skip_large_files(spark):
+    c = corpus(spark, {"a.py": "class A:\n" + "x" * 50, "b.py": "class B:\nclass C:", "c.py": "class D:", "d.css": "y" * 900})
+    assert rows(tl.budgeted_symbols(c, max_total_bytes=30), "name") == [("B",), ("C",), ("D",)]
+    assert rows(tl.budgeted_symbols(c, max_total_bytes=30, max_total_lines=1), "name") == [("B",)]
+
+
+def test_display_order_is_locale_order(spark):
+    paths = ["_x", "a-b", "a.ts", "A.ts", "a/b", "ab", "B"]
+    shown = tl.display_order(corpus(spark, {p: "" for p in reversed(paths)}), "path")
+    assert [r.path for r in shown.collect()] == paths

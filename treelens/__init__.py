@@ -5,10 +5,10 @@ all trees in one job.
 """
 
 from treelens.functions.policy import DEFAULT_POLICY, Policy
-from treelens.operators.budgets import byte_greedy, byte_prefix, line_prefix, scan_budget
+from treelens.operators.budgets import budgeted_imports, budgeted_symbols, byte_greedy, byte_prefix, line_prefix, scan_budget
 from treelens.operators.coverage import files_coverage, merge_coverage, read_coverage, search_coverage, with_unsupported
 from treelens.operators.fingerprints import (
-    compare_snapshots, content_fingerprint, diff_files, fingerprint_of_hashes, metadata_fingerprint, snapshot,
+    compare_snapshots, content_fingerprint, diff_files, fingerprint_of_hashes, metadata_fingerprint, snapshot, verify_snapshot,
 )
 from treelens.operators.imports import import_edges, relative_imports, resolve_imports
 from treelens.operators.inventory import (
@@ -24,5 +24,6 @@ from treelens.operators.reports import corpus_map, outline
 from treelens.operators.rollup import dir_roles, dir_rollup, first_files, guidance, language_counts, role_counts, role_top_n
 from treelens.operators.search import budgeted_search, matched_files, scan_plan, search, snapshot_check
 from treelens.operators.symbols import filter_symbols, symbols, unsupported_languages
+from treelens.plans.ordered import display_order
 from treelens.sources.corpus import corpus, read_corpus
 from treelens.sources.tree import list_tree, load_content, read_tree, write_table

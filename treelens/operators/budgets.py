@@ -2,24 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from treelens import constants as K
 from treelens.functions import paths as P
-from treelens.operators.inventory import KEY
+from treelens.functions.policy import DEFAULT_POLICY, Policy
+from treelens.operators.imports import relative_imports, resolve_imports
+from treelens.operators.inventory import KEY, kept
+from treelens.operators.reading import file_facts
+from treelens.operators.symbols import symbols
+from treelens.plans.materialize import small_side
 from treelens.plans.ordered import greedy_fill, running_totals
 
-PATH_ORDER = (lambda: [P.locale_key("path"), F.col("path")])
+
+
+def _order(files: DataFrame) -> list[Column]:
+    """Path order; files marked ``first`` come before all others."""
+    by_path = [P.locale_key("path"), F.col("path")]
+    return [~F.col("first"), *by_path] if "first" in files.columns else by_path
+
+
+def _keys(files: DataFrame) -> list[str]:
+    return [*KEY, "first"] if "first" in files.columns else KEY
 
 
 def byte_prefix(files: DataFrame, budget: int) -> DataFrame:
     """Files before the first one that would exceed the bytes of its tree."""
-    rows = files.select(*KEY, "size")
-    return running_totals(rows, ["tree_id"], PATH_ORDER(), {"bytes_upto": F.col("size")}).filter(F.col("bytes_upto") <= budget)
+    rows = files.select(*_keys(files), "size")
+    upto = running_totals(rows, ["tree_id"], _order(files), {"bytes_upto": F.col("size")})
+    return upto.filter(F.col("bytes_upto") <= budget)
 
 
 def byte_greedy(files: DataFrame, budget: int, **options) -> DataFrame:
     """Files taken in path order; one that does not fit is skipped, later ones may fit."""
-    return greedy_fill(files.select(*KEY, "size"), "tree_id", PATH_ORDER(), "size", budget, **options)
+    return greedy_fill(files.select(*_keys(files), "size"), "tree_id", _order(files), "size", budget, **options)
 
 
 def line_prefix(files: DataFrame, budget: int) -> DataFrame:
@@ -27,8 +43,8 @@ def line_prefix(files: DataFrame, budget: int) -> DataFrame:
 
     The last file may be cut; files after it get nothing and no row.
     """
-    rows = files.select(*KEY, "total_lines")
-    upto = running_totals(rows, ["tree_id"], PATH_ORDER(), {"lines_upto": F.col("total_lines")})
+    rows = files.select(*_keys(files), "total_lines")
+    upto = running_totals(rows, ["tree_id"], _order(files), {"lines_upto": F.col("total_lines")})
     before = F.col("lines_upto") - F.col("total_lines")
     return upto.filter(before < budget).select(
         *KEY, "total_lines", F.least(F.col("total_lines"), F.lit(budget) - before).alias("granted_lines")
@@ -39,10 +55,47 @@ def scan_budget(facts: DataFrame, max_total_bytes: int | None = None, max_total_
     """Files and leading lines a budgeted scan of ``file_facts`` reads.
 
     Bytes are spent by every file that is read, refused ones included; lines only
-    by readable files.
+    by readable files. A boolean column ``first`` marks files to read before the
+    others, so that a tight budget is not spent elsewhere.
     """
     taken = facts if max_total_bytes is None else byte_greedy(facts, max_total_bytes).select(*KEY).join(facts, KEY)
     readable = taken.filter(F.col("refusal").isNull())
     if max_total_lines is None:
         return readable.select(*KEY, "total_lines", F.col("total_lines").alias("granted_lines"))
     return line_prefix(readable, max_total_lines)
+
+
+def budgeted_symbols(
+    c: DataFrame,
+    max_total_bytes: int | None = None,
+    max_total_lines: int | None = None,
+    policy: Policy = DEFAULT_POLICY,
+    **options,
+) -> DataFrame:
+    """Symbols of the files and lines that the budgets of each tree allow."""
+    files = c.filter(P.language("path").isin(*K.SYMBOL_LANGUAGES))
+    granted = scan_budget(file_facts(files, policy), max_total_bytes, max_total_lines)
+    return symbols(_with_grants(files, granted), policy=policy, granted="granted_lines", **options)
+
+
+def budgeted_imports(
+    c: DataFrame,
+    targets: DataFrame,
+    max_total_bytes: int | None = None,
+    max_total_lines: int | None = None,
+    policy: Policy = DEFAULT_POLICY,
+) -> DataFrame:
+    """Resolved imports under budgets, reading the target of each tree first.
+
+    ``targets`` holds one file per tree; its imports survive the tightest budget.
+    """
+    files = c.filter(P.language("path").isin(*K.IMPORT_LANGUAGES))
+    wanted = small_side(targets.select(*KEY, F.lit(True).alias("first")))
+    facts = file_facts(files, policy).join(wanted, KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    granted = scan_budget(facts, max_total_bytes, max_total_lines)
+    found = relative_imports(_with_grants(files, granted), policy, granted="granted_lines")
+    return resolve_imports(found, kept(c, policy).select(*KEY))
+
+
+def _with_grants(files: DataFrame, granted: DataFrame) -> DataFrame:
+    return files.join(small_side(granted.select(*KEY, "granted_lines")), KEY)

@@ -132,6 +132,26 @@ def compare_snapshots(before: DataFrame, after: DataFrame) -> DataFrame:
     return rows.withColumn("changed", ~F.col("before_fingerprint").eqNullSafe(F.col("after_fingerprint")))
 
 
+def verify_snapshot(snapshots: DataFrame, before: DataFrame, after: DataFrame, require_stable: bool = False) -> DataFrame:
+    """Snapshots with the outcome of a second look at the metadata.
+
+    ``before`` and ``after`` are fingerprints of the inventory around the work. A
+    change is a reason for partial results; with ``require_stable`` it also turns
+    ``status`` into 'stale-snapshot'.
+    """
+    changes = compare_snapshots(before, after)
+    changed = F.coalesce("changed", F.lit(False))
+    reasons = F.concat("truncation_reasons", F.when(changed, F.array(F.lit("snapshotChanged"))).otherwise(F.array().cast("array<string>")))
+    stale = changed & F.lit(require_stable)
+    return (
+        snapshots.join(changes, "tree_id", "left")
+        .withColumn("stable", ~changed)
+        .withColumn("changed", changed)
+        .withColumn("truncation_reasons", F.array_sort(F.array_distinct(reasons)))
+        .withColumn("status", F.when(stale, "stale-snapshot").otherwise("ok"))
+    )
+
+
 def diff_files(before: DataFrame, after: DataFrame) -> DataFrame:
     """Per file of two ``(tree_id, path, sha256)`` frames: added, removed, modified or same."""
     a = before.select(*KEY, F.col("sha256").alias("before_sha256"))

@@ -24,6 +24,13 @@ TOP_LIMIT = 100_000  # larger k goes through running_totals
 GREEDY_GROUP_ROWS = 100_000  # groups up to this size finish in one grouped fold
 
 
+def display_order(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows sorted for reading: by tree, then text columns in locale order, numbers as numbers."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema}
+    keys = [F.collate(c, "UNICODE") if kinds[c] == "string" else F.col(c) for c in columns]
+    return df.orderBy("tree_id", *keys)
+
+
 def _ranked(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank: str) -> DataFrame:
     window = Window.partitionBy(*by).orderBy(*order)
     # The filter must see the bare row_number: then each task keeps only k rows before the shuffle.
