@@ -308,6 +308,7 @@ def queries() -> dict[str, Query]:
         "metadata_fingerprint": _on_code(lambda c: tl.metadata_fingerprint(tl.inventory(c))),
         "metadata_fingerprint_with_directories": _on_code(lambda c: tl.metadata_fingerprint(tl.inventory(c), with_directories=True)),
         "content_fingerprint": _on_code(tl.content_fingerprint),
+        "layered_fingerprint": _on_code(lambda c: tl.layered_fingerprint(tl.content_hashes(c))),
         "range_fingerprint": _on_code(_range_prints),
         "snapshot": _on_code(_snapshot),
         "snapshot_compare": _snapshot_compare,

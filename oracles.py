@@ -521,6 +521,12 @@ def queries() -> dict[str, str]:
       e AS (SELECT tree_id, {META} AS entry FROM kept UNION ALL SELECT tree_id, concat(directory, chr(9), 'directory', chr(9), '0', chr(9), chr(9), chr(9)) FROM d)
       SELECT tree_id, {fingerprint('entry')} AS fingerprint, count(*) AS entries FROM e GROUP BY tree_id"""
     sql["content_fingerprint"] = f"{keep} SELECT tree_id, {fingerprint(CONTENT)} AS fingerprint, count(*) AS entries FROM kept GROUP BY tree_id"
+    sql["layered_fingerprint"] = f"""{keep}, e AS (SELECT tree_id, left(sha256(path), 5) AS bucket, {CONTENT} AS entry FROM kept),
+      l1 AS (SELECT tree_id, bucket, {fingerprint('entry')} AS d, count(*) AS n FROM e GROUP BY ALL),
+      l2e AS (SELECT tree_id, left(bucket, 3) AS grp, concat(bucket, chr(9), d) AS entry, n FROM l1),
+      l2 AS (SELECT tree_id, grp, {fingerprint('entry')} AS d, sum(n) AS n FROM l2e GROUP BY ALL),
+      l3e AS (SELECT tree_id, concat(grp, chr(9), d) AS entry, n FROM l2)
+      SELECT tree_id, {fingerprint('entry')} AS fingerprint, CAST(sum(n) AS BIGINT) AS entries FROM l3e GROUP BY tree_id"""
     sql["range_fingerprint"] = f"""{page}, {ranges('CAST(NULL AS VARCHAR)')}, e AS (SELECT tree_id,
         concat(path, chr(9), sha256(content), chr(9), st, '-', least(n, st + wanted - 1)) AS entry FROM judged WHERE status = 'ok')
       SELECT tree_id, {fingerprint('entry')} AS fingerprint, count(*) AS entries FROM e GROUP BY tree_id"""

@@ -100,6 +100,16 @@ def test_fingerprints_equal_hashlib(spark):
     assert with_time.fingerprint == _print(f"{p}\tfile\t{len(t)}\t1700000000123.456\t7\t" for p, t in files.items())
 
 
+def test_layered_fingerprint_sees_every_change(spark):
+    files = {f"d{i % 5}/f{i}.txt": str(i) for i in range(300)}
+    hashes = tl.content_hashes(corpus(spark, files))
+    base = tl.layered_fingerprint(hashes).first()
+    assert base.entries == 300
+    assert tl.layered_fingerprint(hashes.repartition(9)).first() == base
+    for change in ({**files, "new": ""}, {**files, "d0/f0.txt": "x"}, {k: v for k, v in files.items() if k != "d1/f1.txt"}):
+        assert tl.layered_fingerprint(tl.content_hashes(corpus(spark, change))).first().fingerprint != base.fingerprint
+
+
 def test_trees_are_isolated(spark):
     one, two = {"a.ts": "import './b'\nconst x = 1", "b.ts": "hit"}, {"a.ts": "hit", "c.ts": "class C {}"}
     both = corpus(spark, one, "p").unionByName(corpus(spark, two, "q"))

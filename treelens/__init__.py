@@ -8,7 +8,7 @@ from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.budgets import budgeted_imports, budgeted_symbols, byte_greedy, byte_prefix, line_prefix, scan_budget
 from treelens.operators.coverage import files_coverage, merge_coverage, read_coverage, search_coverage, with_unsupported
 from treelens.operators.fingerprints import (
-    compare_snapshots, content_fingerprint, diff_files, fingerprint_of_hashes, metadata_fingerprint, snapshot, verify_snapshot,
+    compare_snapshots, content_fingerprint, diff_files, fingerprint_of_hashes, layered_fingerprint, metadata_fingerprint, snapshot, verify_snapshot,
 )
 from treelens.operators.imports import import_edges, relative_imports, resolve_imports
 from treelens.operators.inventory import (

@@ -11,7 +11,7 @@ from treelens.operators.imports import relative_imports, resolve_imports
 from treelens.operators.inventory import KEY, kept
 from treelens.operators.reading import file_facts
 from treelens.operators.symbols import symbols
-from treelens.plans.materialize import small_side
+from treelens.plans.materialize import materialize, small_side
 from treelens.plans.ordered import greedy_fill, running_totals
 
 
@@ -43,7 +43,8 @@ def line_prefix(files: DataFrame, budget: int) -> DataFrame:
 
     The last file may be cut; files after it get nothing and no row.
     """
-    rows = files.select(*_keys(files), "total_lines")
+    # Line counts come from the content: write them once, the range sort samples its input.
+    rows = materialize(files.select(*_keys(files), "total_lines"))
     upto = running_totals(rows, ["tree_id"], _order(files), {"lines_upto": F.col("total_lines")})
     before = F.col("lines_upto") - F.col("total_lines")
     return upto.filter(before < budget).select(
@@ -74,7 +75,7 @@ def budgeted_symbols(
 ) -> DataFrame:
     """Symbols of the files and lines that the budgets of each tree allow."""
     files = c.filter(P.language("path").isin(*K.SYMBOL_LANGUAGES))
-    granted = scan_budget(file_facts(files, policy), max_total_bytes, max_total_lines)
+    granted = scan_budget(materialize(file_facts(files, policy)), max_total_bytes, max_total_lines)
     return symbols(_with_grants(files, granted), policy=policy, granted="granted_lines", **options)
 
 
@@ -91,7 +92,7 @@ def budgeted_imports(
     """
     files = c.filter(P.language("path").isin(*K.IMPORT_LANGUAGES))
     wanted = small_side(targets.select(*KEY, F.lit(True).alias("first")))
-    facts = file_facts(files, policy).join(wanted, KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    facts = materialize(file_facts(files, policy)).join(wanted, KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
     granted = scan_budget(facts, max_total_bytes, max_total_lines)
     found = relative_imports(_with_grants(files, granted), policy, granted="granted_lines")
     return resolve_imports(found, kept(c, policy).select(*KEY))

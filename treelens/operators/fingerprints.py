@@ -93,18 +93,40 @@ def metadata_fingerprint(files: DataFrame, with_directories: bool = False) -> Da
 
 
 def fingerprint_of_hashes(hashes: DataFrame) -> DataFrame:
-    """Fingerprint of ``(tree_id, path, sha256[, range])`` rows."""
+    """Fingerprint of ``(tree_id, path, sha256[, range])`` rows.
+
+    The hashes are written first: the range sort samples its input, which must not
+    read and hash all content a second time.
+    """
     part = F.coalesce("range", F.lit("")) if "range" in hashes.columns else F.lit("")
-    return _fingerprint(hashes.select("tree_id", F.concat_ws("\t", "path", "sha256", part).alias("entry")))
+    return _fingerprint(materialize(hashes.select("tree_id", F.concat_ws("\t", "path", "sha256", part).alias("entry"))))
 
 
-def content_fingerprint(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
-    """Fingerprint over the content hashes of readable files.
+def layered_fingerprint(hashes: DataFrame) -> DataFrame:
+    """Fingerprint of ``(tree_id, path, sha256[, range])`` rows without a serial pass.
 
-    The hashes are written first: the range sort samples its input, which must not
-    read and hash all content a second time.
+    Its value differs from ``fingerprint_of_hashes``; use it to compare snapshots of
+    trees too large to stream through one hash. Entries are hashed in 2^20 buckets
+    by the hash of their path, buckets in 4096 groups, groups per tree, so a row of
+    any level joins a small share of the tree.
     """
-    return fingerprint_of_hashes(materialize(content_hashes(c, policy).select(*KEY, "sha256")))
+    part = F.coalesce("range", F.lit("")) if "range" in hashes.columns else F.lit("")
+    bucket = F.substr(F.sha2("path", 256), F.lit(1), F.lit(5))
+    rows = hashes.select("tree_id", bucket.alias("bucket"), F.concat_ws("\t", "path", "sha256", part).alias("entry"), F.lit(1).alias("n"))
+    levels = [["tree_id", "bucket"], ["tree_id", "bucket"], ["tree_id"]]
+    for depth, keys in enumerate(levels):
+        if depth == 1:
+            rows = rows.withColumn("entry", F.concat_ws("\t", "bucket", "entry")).withColumn("bucket", F.substr("bucket", F.lit(1), F.lit(3)))
+        elif depth == 2:
+            rows = rows.withColumn("entry", F.concat_ws("\t", "bucket", "entry"))
+        closed = F.transform(F.array_sort(F.collect_list("entry")), lambda e: F.concat(e, F.lit("\0")))
+        rows = rows.groupBy(*keys).agg(F.sha2(F.array_join(closed, ""), 256).alias("entry"), F.sum("n").alias("n"))
+    return rows.select("tree_id", F.col("entry").alias("fingerprint"), F.col("n").alias("entries"))
+
+
+def content_fingerprint(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
+    """Fingerprint over the content hashes of readable files."""
+    return fingerprint_of_hashes(content_hashes(c, policy).select(*KEY, "sha256"))
 
 
 def snapshot(fingerprints: DataFrame, coverage: DataFrame, kind: str, scope: str = ".") -> DataFrame:

@@ -109,8 +109,10 @@ def greedy_fill(
     The room left only shrinks. While it lies in [2^e, 2^(e+1)), rows smaller than
     2^e always fit and at most one larger row can; so the first event that moves
     the room below 2^e follows from a running sum, and every pass at least halves
-    the room. Groups with few rows left skip the passes and finish in one fold
-    over at most ``group_rows`` rows.
+    the room. When all rows left are smaller than that, the pass goes on until the
+    largest of them might not fit, which covers a large budget in one pass. Groups
+    with few rows left skip the passes and finish in one fold over at most
+    ``group_rows`` rows.
     """
     rows = df.filter(F.col(size) <= budget)
     rows = materialize(running_totals(rows, [by], order, {"_pos": F.lit(1)}))
@@ -120,15 +122,15 @@ def greedy_fill(
     accepted: list[DataFrame] = []
     while True:
         todo = rows.join(state, by).filter((F.col("_pos") > F.col("_done")) & (F.col(size) <= F.col("_room")))
-        counts = todo.groupBy(by).agg(F.count("*").alias("_left"))
-        large = counts.filter(F.col("_left") > group_rows).select(by)
-        if large.isEmpty():
-            accepted.append(_fold_groups(todo.drop("_done"), by, size))
-            break
-        # One pass for large groups, the fold for the others.
+        counts = todo.groupBy(by).agg(F.count("*").alias("_left"), F.max(size).alias("_top"))
+        large = counts.filter(F.col("_left") > group_rows).select(by, "_top")
         large = materialize(large)
         accepted.append(_fold_groups(todo.join(large, by, "left_anti").drop("_done"), by, size))
-        part = todo.join(large, by, "left_semi").withColumn("_half", _power_of_two_below("_room"))
+        if large.isEmpty():
+            break
+        # One pass for the large groups; the others are done by the fold.
+        half = F.least(_power_of_two_below("_room"), F.col("_top") + 1)
+        part = todo.join(large, by).withColumn("_half", half).drop("_top")
         small = (F.col(size) == 0) | (F.col(size) < F.col("_half"))
         part = running_totals(part, [by], [F.col("_pos")], {"_sum": F.when(small, F.col(size)).otherwise(0)})
         part = materialize(part)
