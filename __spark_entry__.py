@@ -17,6 +17,29 @@ from treelens.sources.corpus import code_files, conversations, documents, modera
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+
+def _llm() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data package and its pipeline, if they are there."""
+    found, sql = {}, {}
+    try:
+        from treelens.llm.queries import ORACLES, QUERIES
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("treelens.llm", "treelens.llm.queries"):
+            raise
+        return found, sql
+    found |= QUERIES
+    sql |= ORACLES
+    try:
+        import corpus_pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name != "corpus_pipeline":
+            raise
+        return found, sql
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
 MATCH = ["tree_id", "path", "line", "text", "text_truncated", "file_sha256", "bytes"]
 SYMBOL = ["tree_id", "path", "line", "language", "kind", "name", "signature", "confidence", "extractor", "source_sha256"]
 SEARCH_LIMITS = dict(max_bytes_per_file=3000, max_total_bytes=20000, max_total_lines=200, max_matches=60)
@@ -320,8 +343,8 @@ def queries() -> dict[str, Query]:
         # reports
         "outline": _on_code(_outline),
         "corpus_map": _on_code(_map),
-    }
+    } | _llm()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.queries()
+    return oracles.queries() | _llm()[1]

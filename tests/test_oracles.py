@@ -8,7 +8,8 @@ import __spark_entry__ as entry
 from harness import connect, integers_are_long, oracle_rows, spark_rows
 
 SF_DIR = os.environ.get("TREELENS_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+LLM = entry._llm()[0]  # tested in their own folder
+QUERIES, ORACLES = ({k: v for k, v in found.items() if k not in LLM} for found in (entry.queries(), entry.oracle_sql()))
 
 
 @pytest.fixture(scope="module")
