@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from treelens.llm import substrings
+from treelens.llm import decontamination, simhash, substrings
 
 QUERIES = {
     "op2_substring_dedup": substrings.op2_substring_dedup,
+    "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,
+    "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
 }
 
 ORACLES = {
     "op2_substring_dedup": substrings.OP2_SQL,
+    "op7_benchmark_decontamination": decontamination.OP7_SQL,
 }
