@@ -111,9 +111,13 @@ def _range_sums(values: np.ndarray):
     return hashes
 
 
+def range_hasher(data: np.ndarray):
+    """A function giving a 64-bit hash of each byte range; equal bytes have equal hashes in every batch."""
+    return _range_sums(_BYTE_VALUES[data])
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range; equal bytes have equal hashes in every batch."""
-    return _range_sums(_BYTE_VALUES[data])(starts, ends)
+    return range_hasher(data)(starts, ends)
 
 
 class Grams:
