@@ -232,8 +232,12 @@ def _listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _of_kind(kind: int):
+    return lambda span: span["kind"] == kind
+
+
 def op5_pii(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     rows = find_personal_data(docs)
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.size(F.filter("base", _of_kind(k))).cast("bigint").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return rows.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
