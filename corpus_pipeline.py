@@ -7,7 +7,7 @@ folder and reads it back, so a lost executor never repeats an earlier stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from treelens.llm import bpe_codec, decontamination, frames, lines, simhash, toxicity
 
@@ -16,6 +16,17 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("_content"))
+
+
+def _rejecting(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without rejected rows (doc_id, _content); operators carry these two columns, not the texts."""
+    rejected = rejected.select(F.col("doc_id").alias("_id"), F.col("_content").alias("_hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.select(*COLUMNS).join(rejected, same, "left_anti")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose noisy-or over sentences stays under one half."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -32,14 +43,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Documents without an id cannot be told apart by it and stay.
     """
-    grouped = simhash.near_duplicates(docs)
-    return grouped.filter("doc_id is null or doc_id = component_id").select(*COLUMNS)
+    grouped = simhash.near_duplicates(_marked(docs), keep=("doc_id", "_content"))
+    return _rejecting(docs, grouped.filter("doc_id <> component_id"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.contamination(docs, items, keep=COLUMNS).filter("n_hit = 0").select(*COLUMNS)
+    judged = decontamination.contamination(_marked(docs), items, keep=("doc_id", "_content"))
+    return _rejecting(docs, judged.filter("n_hit > 0"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
