@@ -172,7 +172,7 @@ def _entries(c: DataFrame) -> DataFrame:
 
 
 def _related_grouped(c: DataFrame) -> DataFrame:
-    rows = tl.grouped_related(tl.related(c, _entries(c), max_per_target=6))
+    rows = tl.grouped_related(tl.related(c, _entries(c), max_per_target=6), 300).drop("paths_limit_reached")
     return rows.withColumn("paths", _joined("paths"))
 
 

@@ -151,20 +151,35 @@ def test_merge_coverage(spark):
 
 def test_map_outline_and_guidance(spark):
     c = corpus(spark, {
-        "AGENTS.md": "# g", "package.json": "{}", ".github/workflows/ci.yml": "name: CI", "README.md": "# F", ".agents/skills/x/a.md": "",
-        "src/app.ts": "export class App {}\nexport const mode = 1\n", "test/app.test.ts": "import { App } from \"../src/app\"\n",
+        "WORKFLOW.md": "x", "pyproject.toml": "[a]", ".github/workflows/nightly.yml": "on: push", "CHANGES.md": "y", ".agents/skills/lint.md": "",
+        "pkg/core.py": "class Engine:\n  def start(self):\n", "tests/test_core.py": "def test_it():\n", "pkg/deep/er/util.py": "",
     })
     m = tl.corpus_map(c).first()
-    assert m.guidance == [".agents/skills", "AGENTS.md"]
-    assert [x.path for x in m.manifests] == ["package.json"] and [x.path for x in m.ci] == [".github/workflows/ci.yml"]
-    assert [x.path for x in m.tests] == ["test/app.test.ts"] and "README.md" in [x.path for x in m.docs]
-    assert m.languages["typescript"] == 2 and m.roles["source"] == 1
-    assert [(s.kind, s.name) for s in m.symbols] == [("class", "App"), ("constant", "mode")]
-    assert {d.directory: d.files for d in m.directories}["src"] == 1
+    assert [x.path for x in m.manifests] == ["pyproject.toml"] and [x.path for x in m.ci] == [".github/workflows/nightly.yml"]
+    assert "tests/test_core.py" in [x.path for x in m.tests] and "CHANGES.md" in [x.path for x in m.docs]
+    assert m.languages["python"] == 3 and m.total_files == 8 and ".agents/skills" in m.guidance
+    assert [(s.kind, s.name) for s in m.symbols] == [("class", "Engine"), ("function", "start"), ("function", "test_it")]
+    assert not (m.files_limit_reached or m.symbols_limit_reached or m.directories_limit_reached)
+    cut = tl.corpus_map(c, max_listed_files=2, max_listed_symbols=1, max_listed_directories=1).first()
+    assert (len(cut.files), len(cut.symbols), len(cut.directories), cut.total_files) == (2, 1, 1, 8)
+    assert cut.files_limit_reached and cut.symbols_limit_reached and cut.directories_limit_reached
     o = tl.outline(c, max_files=2, sample=1).first()
-    assert o.inventory_limit_reached and len(o.files_sample) == 1 and o.guidance == [".agents/skills", "AGENTS.md"]
+    assert o.inventory_limit_reached and len(o.files_sample) == 1 and o.guidance == m.guidance
     deep = rows(tl.dir_roles(corpus(spark, {"a/b/c/d.ts": "", "a/x.ts": "", "top.ts": ""}), 2), "directory", "files")
     assert deep == [("a", 1), ("a/b", 1)]
+    assert rows(tl.dir_roles(corpus(spark, {"a/b/c/d/e/f/g/h.ts": ""}), 7), "directory") == [("a/b/c/d/e/f/g",)]
+
+
+def test_trees_without_kept_files_have_reports(spark):
+    c = corpus(spark, {".env": "S=1"}, tree="shut").union(corpus(spark, {"a.py": "x"}, tree="open"))
+    assert rows(tl.outline(c), "tree_id") == [("open",), ("shut",)]
+    maps = {r.tree_id: r for r in tl.corpus_map(c).collect()}
+    assert (maps["shut"].total_files, maps["shut"].files, maps["shut"].languages) == (0, [], {})
+
+
+def test_read_coverage_honours_filters(spark):
+    report = tl.read_coverage(corpus(spark, {"src/a.py": "1", "src/b.py": "2", "x.py": "3"}), path="src").first()
+    assert (report.candidate_files, report.scanned_files) == (2, 2)
 
 
 def test_unsupported_in_coverage(spark):

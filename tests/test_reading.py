@@ -97,3 +97,13 @@ def test_batch_size_limit(spark):
     assert sorted(got) == [0, 1] and got[0].result_limit_reached
     exact = _batch(spark, c, [("a", None, None, None)] * 2, max_ranges=2)
     assert not exact[0].result_limit_reached
+
+
+def test_batches_may_share_request_ids_and_ask_for_long_ranges(spark):
+    c = corpus(spark, {"a.txt": "\n".join(f"a{i}" for i in range(900)), "b.txt": "b"})
+    asked = [("x", 1, 1, "t", "a.txt", 1, 900), ("y", 1, 1, "t", "b.txt", 1, 5)]
+    requests = spark.createDataFrame(asked, "batch_id string, seq long, request_id long, tree_id string, path string, start_line long, max_lines long")
+    got = {r.batch_id: r for r in tl.read_batch(c, requests).collect()}
+    assert len(got) == 2 and (got["x"].start_line, got["x"].end_line) == (1, 900) and got["y"].end_line == 1
+    one = tl.read_ranges(c, requests.drop("batch_id", "seq").limit(1), max_range_lines=500).first()
+    assert one.end_line == 500

@@ -63,19 +63,15 @@ def test_java_method_pattern_equals_the_long_form(spark):
 
 def test_symbol_filters_cap_and_unsupported(spark):
     c = corpus(spark, {
-        "src/app.ts": "export interface Config {}\nexport const appMode = \"dev\"\n", "tools/job.py": "class Job:\n    def run(self):\n",
-        "src/App.java": "public class App {\n  public void start() {}\n}\n", "styles/app.css": ".app {}\n", "x.weird": "",
+        "web/Router.ts": "export class Router {}\nexport enum routeKind { A }\nfunction other() {}\n", "jobs/sync.py": "def sync_routes():\n  class Local:\n",
+        "web/routes.java": "final class Routes {\n  private int countRoutes(int x) {}\n}\n", "skin/main.css": "b {}\n", "blob.zzz": "",
     })
-    names = {f"{r.kind}:{r.name}" for r in tl.symbols(c, query="APP").collect()}
-    assert names == {"constant:appMode", "class:App"}
-    assert rows(tl.symbols(c, kind="function", path="tools"), "name") == [("run",)]
+    assert rows(tl.symbols(c, query="ROUTE"), "kind", "name") == sorted(
+        [("class", "Router"), ("enum", "routeKind"), ("function", "sync_routes"), ("class", "Routes"), ("method", "countRoutes")])
+    assert rows(tl.symbols(c, kind="class", path="jobs"), "name") == [("Local",)]
     assert rows(tl.unsupported_languages(c), "language", "files") == [("css", 1), ("unknown", 1)]
-    capped = tl.symbols(c, max_per_tree=2).collect()
-    # locale order puts App.java before app.ts
-    assert sorted(r.name for r in capped) == ["App", "start"] and all(r.symbol_limit_reached for r in capped)
-    assert not any(r.symbol_limit_reached for r in tl.symbols(c, max_per_tree=6).collect())
-    one = tl.symbols(c, kind="interface").first()
-    assert (one.confidence, one.extractor, one.signature) == ("medium", "regex-typescript-v1", "export interface Config {}")
+    first = tl.symbols(c, max_per_tree=3).collect()
+    assert sorted(r.name for r in first) == ["Local", "Router", "sync_routes"] and all(r.symbol_limit_reached for r in first)
 
 
 def test_import_patterns(spark):
@@ -115,28 +111,30 @@ def test_import_resolution_equals_the_model(spark):
 
 def test_related_end_to_end(spark):
     c = corpus(spark, {
-        "src/index.ts": "import { helper } from \"./helper\"\n", "src/helper.ts": "export const helper = 1\n",
-        "src/index.test.ts": "import { projectName } from \"./index\"\n", "src/index.md": "# docs\n",
+        "lib/queue.js": "const b = require('../core/clock')\n", "core/clock.js": "module.exports = 0\n", "lib/queue.css": "a {}\n",
+        "spec/queue.spec.js": "import q from '../lib/queue.js'\n", "lib/zip.js": "",
     })
-    target = spark.createDataFrame([("t", "src/index.ts")], "tree_id string, path string")
-    got = rows(tl.related(c, target), "relationship", "path", "evidence", "confidence")
-    assert got == sorted([
-        ("direct-import", "src/helper.ts", "./helper", "high"), ("imported-by", "src/index.test.ts", "./index", "high"),
-        ("likely-test", "src/index.test.ts", "test naming convention", "medium"), ("same-basename", "src/index.md", "same basename as index.ts", "low"),
-        ("sibling", "src/helper.ts", "same directory src", "low"), ("sibling", "src/index.md", "same directory src", "low"),
-        ("sibling", "src/index.test.ts", "same directory src", "low"),
-    ])
-    high = tl.related(c, target, kinds=["direct-import"], include_low=False)
-    assert rows(high, "relationship") == [("direct-import",)]
-    capped = tl.related(c, target, max_per_target=1).collect()
-    assert [r.relationship for r in capped] == ["direct-import"] and capped[0].relationship_limit_reached
-    exact = tl.related(c, target, max_per_target=7).collect()
-    assert len(exact) == 7 and not exact[0].relationship_limit_reached
-    # the cap keeps discovery order: file by file, not by confidence
-    order = [r.relationship + ":" + r.path for r in sorted(tl.related(c, target, max_per_target=7).collect(), key=lambda r: r.rank)]
-    assert order == ["direct-import:src/helper.ts", "sibling:src/helper.ts", "same-basename:src/index.md", "sibling:src/index.md",
-                     "likely-test:src/index.test.ts", "sibling:src/index.test.ts", "imported-by:src/index.test.ts"]
-    assert rows(tl.related(c, target, path_prefix="src/index", extensions=["md"]), "path") == [("src/index.md",), ("src/index.md",)]
+    target = spark.createDataFrame([("t", "lib/queue.js")], "tree_id string, path string")
+    every = [
+        ("direct-import", "core/clock.js", "../core/clock", "high"), ("imported-by", "spec/queue.spec.js", "../lib/queue.js", "high"),
+        ("likely-test", "spec/queue.spec.js", "test naming convention", "medium"), ("same-basename", "lib/queue.css", "same basename as queue.js", "low"),
+        ("sibling", "lib/queue.css", "same directory lib", "low"), ("sibling", "lib/zip.js", "same directory lib", "low"),
+    ]
+    assert rows(tl.related(c, target), "relationship", "path", "evidence", "confidence") == sorted(every)
+    assert rows(tl.related(c, target, include_low=False), "relationship") == [("direct-import",), ("imported-by",), ("likely-test",)]
+    assert tl.related(c, target, kinds=["direct-import"], include_low=False).count() == 1
+    first = tl.related(c, target, max_per_target=1).first()
+    assert (first.relationship, first.relationship_limit_reached) == ("direct-import", True)
+    ranked = sorted(tl.related(c, target, max_per_target=len(every)).collect(), key=lambda r: r.rank)
+    assert not any(r.relationship_limit_reached for r in ranked)
+    # the cap keeps discovery order: imports first, then file by file
+    assert [(r.relationship, r.path) for r in ranked] == [
+        ("direct-import", "core/clock.js"), ("same-basename", "lib/queue.css"), ("sibling", "lib/queue.css"), ("sibling", "lib/zip.js"),
+        ("likely-test", "spec/queue.spec.js"), ("imported-by", "spec/queue.spec.js")]
+    assert rows(tl.related(c, target, path_prefix="lib/z", extensions=["js"]), "path") == [("lib/zip.js",)]
+    grouped = {r.relationship: r for r in tl.grouped_related(tl.related(c, target), 1).collect()}
+    assert (grouped["sibling"].relations, grouped["sibling"].paths, grouped["sibling"].paths_limit_reached) == (2, ["lib/queue.css"], True)
+    assert not grouped["likely-test"].paths_limit_reached
     with pytest.raises(ValueError):
         tl.related(c, target, kinds=["cousin"])
 
@@ -190,15 +188,12 @@ def test_granted_lines_limit_symbols_and_imports(spark):
 
 
 def test_tight_line_budget_keeps_the_imports_of_the_target(spark):
-    c = corpus(spark, {
-        "a/before.ts": "import '../z/helper'\nconst again = 2\n", "z/helper.ts": "export const helper = 1\n",
-        "z/target.ts": "import { helper } from \"./helper\"\nexport const value = helper\n",
-    })
-    target = spark.createDataFrame([("t", "z/target.ts")], "tree_id string, path string")
-    edges = tl.budgeted_imports(c, target, max_total_lines=1)
-    assert rows(edges, "from_path", "to_path") == [("z/target.ts", "z/helper.ts")]
-    assert rows(tl.related(c, target, kinds=["direct-import"], edges=edges), "path", "evidence") == [("z/helper.ts", "./helper")]
-    assert tl.budgeted_imports(c, target, max_total_bytes=10_000).count() == 2
+    c = corpus(spark, {"m/aa.js": "require('./low')\n1\n", "m/low.js": "2\n", "m/main.js": "import './low'\n3\n4\n"})
+    target = spark.createDataFrame([("t", "m/main.js")], "tree_id string, path string")
+    tight = tl.budgeted_imports(c, target, max_total_lines=1)
+    assert rows(tight, "from_path", "to_path") == [("m/main.js", "m/low.js")]
+    assert rows(tl.related(c, target, kinds=["direct-import"], edges=tight), "path", "evidence") == [("m/low.js", "./low")]
+    assert rows(tl.budgeted_imports(c, target, max_total_bytes=9_999), "from_path") == [("m/aa.js",), ("m/main.js",)]
 
 
 def test_budgeted_symbols_skip_large_files(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from treelens import constants as K
 from treelens.functions import text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
-from treelens.operators.inventory import inventory_coverage, kept
+from treelens.operators.inventory import inventory_coverage, kept, path_filter
 from treelens.operators.symbols import unsupported_languages
 
 
@@ -52,7 +52,7 @@ def files_coverage(c: DataFrame, policy: Policy = DEFAULT_POLICY, max_files=None
 
 def read_coverage(c: DataFrame, policy: Policy = DEFAULT_POLICY, max_bytes_per_file: int | None = None, **filters) -> DataFrame:
     """Coverage of a full scan: every kept file is read unless it is too large or refused."""
-    files = kept(c, policy)
+    files = kept(c, policy).filter(path_filter(**filters))
     small = F.lit(True) if max_bytes_per_file is None else F.col("size") <= max_bytes_per_file
     refused = F.when(small, T.refusal("content", T.is_binary(c)).isNotNull()).otherwise(False)
     facts = files.select("tree_id", "size", small.alias("small"), refused.alias("refused"))

@@ -18,7 +18,8 @@ def _mtime_text(df: DataFrame) -> Column:
     if "mtime" not in df.columns:
         return F.lit("")
     micros = F.unix_micros("mtime")
-    text = F.concat(F.expr("unix_micros(mtime) div 1000").cast("string"), F.lit("."), F.lpad((micros % 1000).cast("string"), 3, "0"))
+    whole = F.expr("abs(unix_micros(mtime)) div 1000").cast("string")
+    text = F.concat(F.when(micros < 0, "-").otherwise(""), whole, F.lit("."), F.lpad((F.abs(micros) % 1000).cast("string"), 3, "0"))
     return F.coalesce(text, F.lit(""))
 
 

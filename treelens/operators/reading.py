@@ -79,10 +79,14 @@ def read_ranges(
     requests: DataFrame,
     policy: Policy = DEFAULT_POLICY,
     max_bytes_per_file: int | None = None,
+    max_range_lines: int | None = None,
 ) -> DataFrame:
     """Answer independent range requests ``(request_id, tree_id, path, start_line,
-    max_lines, expected_sha256)``; every request gets one row with a ``status``."""
-    return _answers(_range_rows(c, requests, policy, max_bytes_per_file), "wanted", ["request_id"])
+    max_lines, expected_sha256)``; every request gets one row with a ``status``.
+
+    ``request_id`` must be unique. ``max_range_lines`` bounds what one request may ask for.
+    """
+    return _answers(_range_rows(c, requests, policy, max_bytes_per_file, max_range_lines), "wanted", ["request_id"])
 
 
 def read_batch(
@@ -93,10 +97,11 @@ def read_batch(
     max_total_lines: int | None = None,
     max_total_bytes: int | None = None,
     max_bytes_per_file: int | None = None,
+    max_range_lines: int | None = None,
 ) -> DataFrame:
     """Answer batches of requests that share a line and a byte budget.
 
-    ``requests`` adds ``batch_id`` and ``seq``. Requests of a batch are served in
+    ``requests`` adds ``batch_id`` and ``seq``, unique together; ``request_id`` may repeat. Requests of a batch are served in
     ``seq`` order, at most ``max_ranges`` of them; ``result_limit_reached`` tells
     whether more were asked for. A file that does not fit the bytes left is
     skipped, and every read spends bytes even when its content is refused.
@@ -104,7 +109,7 @@ def read_batch(
     served = top_per_group(
         requests, ["batch_id"], [F.col("seq")], max_ranges, ["request_id"], "_rank", "result_limit_reached"
     ).drop("_rank")
-    rows = _range_rows(c, served, policy, max_bytes_per_file)
+    rows = _range_rows(c, served, policy, max_bytes_per_file, max_range_lines, ("batch_id", "seq"))
     # A batch holds at most max_ranges rows, so folding it in one row is bounded.
     batch = rows.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("seq", F.struct("*").alias("row")))).alias("items"))
     step_type = "array<struct<status:string,lines:bigint>>"
@@ -138,26 +143,26 @@ def read_batch(
     return _answers(flat, "granted", ["batch_id", "seq", "request_id"], ["line_limit_reached", "result_limit_reached"])
 
 
-def _range_rows(c, requests, policy, max_bytes_per_file):
-    """Requests with the facts and the selected lines of their files.
+def _range_rows(c, requests, policy, max_bytes_per_file, max_range_lines=None, key=("request_id",)):
+    """Requests, told apart by ``key``, with the facts and the selected lines of their files.
 
-    Requests are the small side of the join and broadcast when their size allows.
-    Only the selected lines travel on, never whole files.
+    Requests are broadcast while their measured size allows; beyond it the join shuffles
+    the contents of the files. Only the selected lines travel on.
     """
     types = {"start_line": "bigint", "max_lines": "bigint", "expected_sha256": "string"}
     for name, kind in types.items():
         value = F.col(name) if name in requests.columns else F.lit(None)
         requests = requests.withColumn(name, value.cast(kind))
-    wanted = F.greatest(F.lit(1), F.least(F.coalesce("max_lines", F.lit(K.DEFAULT_RANGE_LINES)), F.lit(K.MAX_RANGE_LINES)))
+    wanted = F.greatest(F.lit(1), F.least(F.coalesce("max_lines", F.lit(K.DEFAULT_RANGE_LINES)), F.lit(max_range_lines)))
     req = requests.select(
         "*", P.clean_path("path").alias("clean"), P.path_error("path").alias("path_error"), wanted.cast("bigint").alias("wanted")
     )
     files = kept(c, policy).select("tree_id", F.col("path").alias("clean"), "content", F.col("size"))
-    asked = req.filter(F.col("path_error").isNull()).select("request_id", "tree_id", "clean", "start_line", "wanted")
+    asked = req.filter(F.col("path_error").isNull()).select(*key, "tree_id", "clean", "start_line", "wanted")
     small = F.lit(True) if max_bytes_per_file is None else F.col("size") <= max_bytes_per_file
     refusal = T.refusal("content", T.is_binary(c))
     found = files.join(small_side(asked), ["tree_id", "clean"]).select(
-        "request_id", "size", "wanted", "start_line",
+        *key, "size", "wanted", "start_line",
         small.alias("small"),
         F.when(small, T.content_sha256(F.col("content"))).alias("sha256"),
         F.when(small, refusal).alias("refusal"),
@@ -168,10 +173,10 @@ def _range_rows(c, requests, policy, max_bytes_per_file):
     begin = F.greatest(F.lit(1), F.least(F.coalesce("start_line", F.lit(1)), total)).cast("bigint")
     selected = F.slice("lines", begin.cast("int"), F.col("wanted").cast("int"))
     picked = found.select(
-        "request_id", "size", "small", "sha256", "refusal", "encoding",
+        *key, "size", "small", "sha256", "refusal", "encoding",
         total.alias("total_lines"), begin.alias("start"), selected.alias("selected"),
     )
-    rows = req.join(picked, "request_id", "left")
+    rows = req.join(picked, list(key), "left")
     mismatch = F.lower("expected_sha256") != F.col("sha256")
     status = (
         F.when(F.col("path_error").isNotNull(), F.col("path_error"))

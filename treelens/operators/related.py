@@ -215,15 +215,16 @@ def related(
     )
 
 
-def grouped_related(r: DataFrame, max_paths: int = K.MAX_RELATIONSHIPS) -> DataFrame:
+def grouped_related(r: DataFrame, max_paths: int) -> DataFrame:
     """Relations per kind of each target: their number and the first paths.
 
-    The count covers all relations; the list is a report of at most ``max_paths``.
+    The count covers all relations; the list is a report of at most ``max_paths``, and
+    ``paths_limit_reached`` tells whether there are more.
     """
     group = ["tree_id", "target_path", "relationship"]
     counts = r.groupBy(*group).agg(F.count("*").alias("relations"))
-    listed = top_per_group(r.select(*group, "path").distinct(), group, [F.col("path")], max_paths, ["path"])
-    paths = listed.groupBy(*group).agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    listed = top_per_group(r.select(*group, "path").distinct(), group, [F.col("path")], max_paths, ["path"], "rank", "paths_limit_reached")
+    paths = listed.groupBy(*group).agg(F.array_sort(F.collect_list("path")).alias("paths"), F.bool_or("paths_limit_reached").alias("paths_limit_reached"))
     return counts.join(paths, group)
 
 

@@ -49,8 +49,11 @@ def outline(
     listed = _listed(first_files(before_cut(files, cuts), sample), "files_sample", "path", "size")
     prints = metadata_fingerprint(before_cut(files, cuts, through=True))
     capped = cuts.select("tree_id", F.lit(True).alias("inventory_limit_reached"))
-    rows = prints.select("tree_id", "fingerprint").join(listed, "tree_id", "left").join(_guidance_list(c, policy), "tree_id", "left")
+    # A tree without any kept file still has its row, with the fingerprint of no entries.
+    rows = c.select("tree_id").distinct().join(prints.select("tree_id", "fingerprint"), "tree_id", "left")
+    rows = rows.withColumn("fingerprint", F.coalesce("fingerprint", F.sha2(F.lit(""), 256))).join(listed, "tree_id", "left").join(_guidance_list(c, policy), "tree_id", "left")
     rows = rows.join(capped, "tree_id", "left")
+    rows = rows.withColumn("files_sample", F.coalesce("files_sample", F.array().cast(rows.schema["files_sample"].dataType)))
     return rows.withColumn("guidance", F.coalesce("guidance", F.array().cast("array<string>"))).withColumn(
         "inventory_limit_reached", F.coalesce("inventory_limit_reached", F.lit(False))
     )
@@ -63,11 +66,16 @@ def corpus_map(
     max_files: int | None = None,
     include_symbols: bool = True,
     path: str | None = None,
+    max_listed_files: int = K.MAP_FILES,
+    max_listed_directories: int = K.MAP_DIRECTORIES,
+    max_listed_per_role: int = K.MAP_ROLE_LIST,
+    max_listed_symbols: int = K.MAP_SYMBOLS,
 ) -> DataFrame:
     """Guidance, file sample, directories, languages, roles, role lists and symbols.
 
-    Every list has a fixed maximum length, every map a fixed set of keys, so a row
-    stays small however large its tree is.
+    The ``max_listed`` arguments bound the lists of a row, so it stays small however large
+    its tree is. ``total_files`` and the role counts cover the whole tree, and
+    ``<list>_limit_reached`` tells for files, directories and symbols whether there are more.
     """
     scoped = c.filter(P.in_scope("path", path))
     if max_files is not None:
@@ -78,24 +86,32 @@ def corpus_map(
     by_path = [P.locale_key("path"), F.col("path")]
 
     dirs = dir_rollup_of(files, depth)
-    dirs = top_per_group(dirs, ["tree_id"], [P.locale_key("directory"), F.col("directory")], K.MAP_DIRECTORIES, ["directory"])
+    dirs = top_per_group(dirs, ["tree_id"], [P.locale_key("directory"), F.col("directory")], max_listed_directories, ["directory"], "rank", "over")
     named = {"manifest": "manifests", "ci": "ci", "doc": "docs", "test": "tests"}
-    by_role = top_per_group(files.filter(F.col("role").isin(*named)), ["tree_id", "role"], by_path, K.MAP_ROLE_LIST, ["path"])
+    by_role = top_per_group(files.filter(F.col("role").isin(*named)), ["tree_id", "role"], by_path, max_listed_per_role, ["path"])
     role_lists = by_role.groupBy("tree_id").agg(
         *(_ranked_list(fields, F.col("role") == role).alias(name) for role, name in named.items())
     )
     parts = [
         _guidance_list(c, policy),
-        _listed(first_files(files, K.MAP_FILES), "files", *fields),
+        _listed(first_files(files, max_listed_files), "files", *fields),
         _listed(dirs, "directories", "directory", "files", "roles"),
         _counted(files.groupBy("tree_id", "role").agg(F.count("*").alias("files")), "role", "roles"),
         role_lists,
+        files.groupBy("tree_id").agg(F.count("*").alias("total_files")),
+        dirs.groupBy("tree_id").agg(F.bool_or("over").alias("directories_limit_reached")),
     ]
     if include_symbols:
         order_fields = ("path", *ORDER, "signature")
-        parts.append(_listed(symbols(scoped, max_per_tree=K.MAP_SYMBOLS, policy=policy), "symbols", *order_fields))
-    rows = _counted(files.groupBy("tree_id", "language").agg(F.count("*").alias("files")), "language", "languages")
+        found = symbols(scoped, max_per_tree=max_listed_symbols, policy=policy)
+        parts.append(_listed(found, "symbols", *order_fields))
+        parts.append(found.groupBy("tree_id").agg(F.bool_or("symbol_limit_reached").alias("symbols_limit_reached")))
+    # A tree without any kept file still has its row.
+    rows = c.select("tree_id").distinct()
+    parts.append(_counted(files.groupBy("tree_id", "language").agg(F.count("*").alias("files")), "language", "languages"))
     for part in parts:
         rows = rows.join(part, "tree_id", "left")
-    lists = {f.name: f.dataType for f in rows.schema if f.dataType.typeName() == "array"}
-    return rows.withColumns({n: F.coalesce(n, F.array().cast(t)) for n, t in lists.items()})
+    rows = rows.withColumn("files_limit_reached", F.col("total_files") > max_listed_files)
+    empty = {"array": F.array, "map": F.create_map, "boolean": lambda: F.lit(False), "long": lambda: F.lit(0)}
+    holes = {f.name: empty[f.dataType.typeName()]().cast(f.dataType) for f in rows.schema if f.dataType.typeName() in empty}
+    return rows.withColumns({n: F.coalesce(n, value) for n, value in holes.items()})

@@ -22,7 +22,7 @@ def role_counts(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
 
 
 def _dir_roles_of(files: DataFrame, depth: int) -> DataFrame:
-    parent = F.substring_index(P.dirname("path"), "/", max(1, min(5, depth)))
+    parent = F.substring_index(P.dirname("path"), "/", max(1, depth))
     rows = files.select("tree_id", parent.alias("directory"), "role").filter(F.col("directory") != ".")
     return rows.groupBy("tree_id", "directory", "role").agg(F.count("*").alias("files"))
 
@@ -50,7 +50,7 @@ def dir_rollup(c: DataFrame, depth: int = 2, policy: Policy = DEFAULT_POLICY) ->
     return dir_rollup_of(_with_role(c, policy), depth)
 
 
-def role_top_n(c: DataFrame, n: int = K.MAP_ROLE_LIST, roles=("manifest", "ci", "doc", "test"), policy: Policy = DEFAULT_POLICY) -> DataFrame:
+def role_top_n(c: DataFrame, n: int, roles=("manifest", "ci", "doc", "test"), policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """First ``n`` files by path for each role of each tree."""
     files = classify_files(kept(c, policy)).filter(F.col("role").isin(*roles))
     return top_per_group(files, ["tree_id", "role"], [P.locale_key("path"), F.col("path")], n, ["path"])

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from treelens import constants as K
 from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.inventory import KEY, before_cut, path_filter, walk_cut
@@ -98,7 +97,7 @@ def search(
     whose entry in ``fingerprints`` is equal are searched.
     """
     _check_query(query)
-    context = max(0, min(K.MAX_CONTEXT_LINES, context))
+    context = max(0, context)
     files = c.filter(path_filter(**filters))
     # The query has no line break, so a file without it has no matching line.
     files = files.filter(_has(F.col("content").cast("string"), query, case_sensitive))
@@ -203,7 +202,7 @@ def scan_plan(
 def budgeted_search(c: DataFrame, query: str, plan: DataFrame, case_sensitive: bool = False, context: int = 0,
                     max_matches: int | None = None) -> DataFrame:
     """Matches within the files and lines granted by ``scan_plan``."""
-    context = max(0, min(K.MAX_CONTEXT_LINES, context))
+    context = max(0, context)
     scanned = plan.filter(F.col("scanned") & (F.col("granted_lines") > 0)).select(*KEY, "granted_lines", F.col("sha256").alias("file_sha256"))
     hit_files = c.filter(_has(F.col("content").cast("string"), query, case_sensitive)).select(*KEY, "content", "size")
     files = hit_files.join(small_side(scanned), KEY).withColumn("text", T.decoded("content"))
