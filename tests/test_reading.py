@@ -64,8 +64,9 @@ def test_ranges_and_statuses(spark):
 def test_range_limits(spark):
     c = corpus(spark, {"a": "\n".join(str(i) for i in range(700))})
     asked = [(1, "t", "a", 1, None, None), (2, "t", "a", 1, 9999, None)]
-    got = {r.request_id: r.end_line for r in tl.read_ranges(c, spark.createDataFrame(asked, REQ)).collect()}
-    assert got == {1: 160, 2: 500}
+    for limit, shown in ((500, 500), (None, 700)):
+        got = tl.read_ranges(c, spark.createDataFrame(asked, REQ), max_range_lines=limit).collect()
+        assert {r.request_id: r.end_line for r in got} == {1: 160, 2: shown}
 
 
 BATCH = "batch_id string, seq bigint, request_id bigint, tree_id string, path string, start_line int, max_lines int, expected_sha256 string"
