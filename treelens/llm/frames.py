@@ -20,13 +20,32 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame) -> DataFrame:
+class Scratch:
+    """A folder for tables on the way to a result, deleted where its ``with`` block ends.
+
+    What outlives the block must be written elsewhere by then, with ``stored(df)``.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+def stored(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back; lineage ends there.
 
-    A lost executor costs only the files being read again, never the work before.
+    A lost executor costs only the files being read again, never the work before. The
+    table lives as long as ``scratch``; without one the library never deletes it.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm/{uuid.uuid4().hex}"
+    folder = scratch.path if scratch else f"{shared_folder(spark)}/llm"
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -106,10 +106,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, postin
             key = key * 256 + _byte(F.col("value"), position)
         keys.append(key)
     nodes = prints.select(F.col("fingerprint").alias("id"), F.col("fingerprint").alias("value"))
-    group = components.bucket_components(nodes, F.array(*keys), match).withColumnRenamed("id", "fingerprint")
-    group = frames.stored(prints.join(group, "fingerprint"))
-    least = group.groupBy("component").agg(F.min("least").alias("component_id"))
-    label = group.join(least, "component").select("fingerprint", "component_id")
+    with frames.Scratch(docs.sparkSession) as scratch:
+        group = components.bucket_components(nodes, F.array(*keys), match, scratch).withColumnRenamed("id", "fingerprint")
+        group = frames.stored(prints.join(group, "fingerprint"), scratch)
+        least = group.groupBy("component").agg(F.min("least").alias("component_id"))
+        label = frames.stored(group.join(least, "component").select("fingerprint", "component_id"))
     return marked.join(label, "fingerprint").select(*names, "fingerprint", "component_id")
 
 
