@@ -166,6 +166,7 @@ def search(table, q, case_sensitive=False, where="true", context=0, suffix="", c
 MATCH = "tree_id, path, line, text, text_truncated, file_sha256, bytes"
 
 # ---- symbols, imports, relations --------------------------------------------
+# The definitions of symbols and import specifiers.
 SCRIPT = [
     ("function", r"(?:export\s+)?(?:async\s+)?function\s+([A-Za-z_$][\w$]*)\s*\("),
     ("class", r"(?:export\s+)?(?:abstract\s+)?class\s+([A-Za-z_$][\w$]*)\b"),

@@ -62,7 +62,8 @@ def resolution_index(files: DataFrame) -> DataFrame:
 
     Built from the files instead of the imports: a file answers to its own path,
     to its path without a known extension and, as an index file, to its directory.
-    Where several files answer, the order of the extensions decides.
+    Where several files answer, the order of the extensions decides. Only the rank is
+    aggregated, by hash and before the shuffle; path and rank spell the file's name again.
     """
     path = F.col("path")
     names = [e[1:] for e in K.RESOLVE_EXTENSIONS]
@@ -83,7 +84,13 @@ def resolution_index(files: DataFrame) -> DataFrame:
         answer(F.concat(folder, F.lit("/")), index_rank),
     ]
     exploded = files.select("tree_id", "path", F.inline(F.array(*answers))).filter(F.col("import_path").isNotNull())
-    return exploded.groupBy("tree_id", "import_path").agg(F.min_by("path", "rank").alias("to_path"))
+    best = exploded.groupBy("tree_id", "import_path").agg(F.min("rank").alias("rank"))
+    rank = F.col("rank").cast("int")
+    extension = F.element_at(F.array(*map(F.lit, names)), F.pmod(rank - 1, F.lit(len(names))) + 1)
+    folder = F.regexp_replace("import_path", r"/\z", "")
+    index = F.concat(F.when(folder == ".", "").otherwise(F.concat(folder, F.lit("/"))), F.lit("index."), extension)
+    to_path = F.when(rank == 0, F.col("import_path")).when(rank <= len(names), F.concat("import_path", F.lit("."), extension)).otherwise(index)
+    return best.select("tree_id", "import_path", to_path.alias("to_path"))
 
 
 def resolve_imports(imports: DataFrame, files: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
-from treelens.operators.inventory import KEY, before_cut, path_filter, walk_cut
+from treelens.operators.inventory import KEY, before_cut, kept, path_filter, walk_cut
 from treelens.operators.reading import readable
 from treelens.plans.materialize import materialize, small_side
 from treelens.plans.ordered import running_totals, top_per_group
@@ -98,9 +98,9 @@ def search(
     """
     _check_query(query)
     context = max(0, context)
-    files = c.filter(path_filter(**filters))
-    # The query has no line break, so a file without it has no matching line.
-    files = files.filter(_has(F.col("content").cast("string"), query, case_sensitive))
+    # Paths first: contents of files that the policy drops are never looked at. The query
+    # has no line break, so a file without it has no matching line.
+    files = kept(c, policy).filter(path_filter(**filters)).filter(_has(F.col("content").cast("string"), query, case_sensitive))
     files = readable(files, policy, max_bytes_per_file)
     if expected is not None:
         agreed = expected.join(fingerprints, ["tree_id", "fingerprint"]).select("tree_id")
