@@ -149,6 +149,15 @@ def test_merge_coverage(spark):
     assert merged.reasons == ["maxBytesPerFile", "maxFiles"] and merged.partial
 
 
+def test_merge_coverage_adds_language_maps(spark):
+    c = corpus(spark, {"a.css": "1", "b.css": "2", "c.sh": "3"})
+    report = tl.with_unsupported(tl.files_coverage(c), c)
+    counted = report.first().unsupported_languages
+    merged = tl.merge_coverage(report, tl.read_coverage(c), report).first()
+    assert counted["css"] == 2 and merged.unsupported_languages == {k: 2 * v for k, v in counted.items()}
+    assert "unsupported_languages" not in tl.merge_coverage(tl.files_coverage(c), tl.read_coverage(c)).columns
+
+
 def test_map_outline_and_guidance(spark):
     c = corpus(spark, {
         "WORKFLOW.md": "x", "pyproject.toml": "[a]", ".github/workflows/nightly.yml": "on: push", "CHANGES.md": "y", ".agents/skills/lint.md": "",
@@ -209,10 +218,23 @@ def test_read_tree_sees_hidden_names(spark, tmp_path):
     assert rows(tl.symbols(c), "tree_id", "name") == [("t", "A"), ("t", "f"), ("u", "A")]
     report = {r.tree_id: r for r in tl.read_coverage(c).collect()}["t"]
     assert (report.skipped_secret, report.skipped_generated, report.skipped_unreadable) == (2, 1, 1)
+    assert "link.txt" not in [r.path for r in tl.inventory(c).collect()] and report.candidate_files == 5
     small = read_tree(spark, {"t": str(tmp_path)}, max_bytes=3)
+    why = {r.path: r.unread for r in small.collect()}
+    assert (why[".env"], why["link.txt"], why["src/a.ts"], why["src/__tests__/t.ts"]) == ("refused", "link", "too-large", None)
+    report = tl.read_coverage(small).first()
+    assert (report.scanned_files, report.skipped_large, report.skipped_unreadable, report.byte_limit_reached) == (2, 3, 1, True)
     assert {r.path for r in small.filter("content is not null").collect()} == {"src/__tests__/t.ts", "deep/er/and/deeper/x.md"}
 
 
+def test_tree_ids_keep_their_case(spark, tmp_path):
+    for name in ("x", "y"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / f"{name}.md").write_text(name)
+    c = read_tree(spark, {"Repo": str(tmp_path / "x"), "repo": str(tmp_path / "y")})
+    assert rows(c, "tree_id", "path") == [("Repo", "x.md"), ("repo", "y.md")]
+
+
 def test_sinks(spark, tmp_path):
     c = corpus(spark, {"a.ts": "class A {}"})
     for kind in ("parquet", "json"):

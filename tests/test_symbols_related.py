@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import treelens as tl
+from treelens.plans.materialize import measured
 from helpers import corpus, rows
 
 
@@ -196,6 +197,28 @@ def test_tight_line_budget_keeps_the_imports_of_the_target(spark):
     assert rows(tl.budgeted_imports(c, target, max_total_bytes=9_999), "from_path") == [("m/aa.js",), ("m/main.js",)]
 
 
+def test_target_of_another_language_spends_its_bytes_but_no_lines(spark):
+    c = corpus(spark, {"big.py": "x" * 100, "other.py": "y" * 100, "one.ts": "import './b'", "b.ts": ""})
+    target = spark.createDataFrame([("t", "big.py")], "tree_id string, path string")
+    assert rows(tl.budgeted_imports(c, target, max_total_bytes=105), "from_path") == []
+    assert rows(tl.budgeted_imports(c, target, max_total_bytes=112), "from_path", "to_path") == [("one.ts", "b.ts")]
+    assert rows(tl.budgeted_imports(c, target, max_total_lines=2), "from_path") == [("one.ts",)]
+
+
+def test_grouped_sides_above_the_broadcast_limit_give_the_same_rows(spark, monkeypatch):
+    c = corpus(spark, {f"m/f{i}.ts": "import './hub'\n" for i in range(60)} | {"m/hub.ts": "", "n/hub.ts": "import '../m/hub'"})
+    files = c.select("tree_id", "path")
+    expected = rows(tl.import_edges(c), "from_path", "to_path"), rows(tl.name_groups(files))
+    for module in ("imports", "related"):
+        monkeypatch.setattr(f"treelens.operators.{module}.small_side", lambda df: measured(df, -1)[0])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert (rows(tl.import_edges(c), "from_path", "to_path"), rows(tl.name_groups(files))) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_budgeted_symbols_skip_large_files(spark):
     c = corpus(spark, {"a.py": "class A:\n" + "x" * 50, "b.py": "class B:\nclass C:", "c.py": "class D:", "d.css": "y" * 900})
     assert rows(tl.budgeted_symbols(c, max_total_bytes=30), "name") == [("B",), ("C",), ("D",)]

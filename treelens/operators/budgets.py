@@ -88,11 +88,16 @@ def budgeted_imports(
 ) -> DataFrame:
     """Resolved imports under budgets, reading the target of each tree first.
 
-    ``targets`` holds one file per tree; its imports survive the tightest budget.
+    ``targets`` holds one file per tree; its imports survive the tightest budget. A target
+    in a language without imports spends its bytes, but no lines.
     """
-    files = c.filter(P.language("path").isin(*K.IMPORT_LANGUAGES))
+    script = F.coalesce(P.language("path").isin(*K.IMPORT_LANGUAGES), F.lit(False))
+    files = c.filter(script)
     wanted = small_side(targets.select(*KEY, F.lit(True).alias("first")))
-    facts = materialize(file_facts(files, policy)).join(wanted, KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    facts = file_facts(files, policy).unionByName(file_facts(c.filter(~script), policy).join(wanted, KEY, "left_semi"))
+    facts = materialize(facts).join(wanted, KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    # Files of other languages are read, and then count as refused: nothing of them is left to scan.
+    facts = facts.withColumn("refusal", F.when(script, F.col("refusal")).otherwise("no-imports"))
     granted = scan_budget(facts, max_total_bytes, max_total_lines)
     found = relative_imports(_with_grants(files, granted), policy, granted="granted_lines")
     return resolve_imports(found, kept(c, policy).select(*KEY))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from treelens import constants as K
 from treelens.functions import text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
-from treelens.operators.inventory import inventory_coverage, kept, path_filter
+from treelens.operators.inventory import fits, inventory_coverage, kept, path_filter
 from treelens.operators.symbols import unsupported_languages
 
 
@@ -18,7 +18,8 @@ def finish(rows: DataFrame, reasons: Column, extra: list[str] = ()) -> DataFrame
     """
 
     def counter(name):
-        return (F.coalesce(F.col(name), F.lit(0)) if name in rows.columns else F.lit(0)).cast("bigint")
+        parts = [name, "skipped_links"] if name == "skipped_unreadable" else [name]
+        return sum((F.coalesce(F.col(p), F.lit(0)) for p in parts if p in rows.columns), F.lit(0)).cast("bigint")
 
     def flag(name):
         return F.coalesce(F.col(name), F.lit(False)) if name in rows.columns else F.lit(False)
@@ -53,7 +54,7 @@ def files_coverage(c: DataFrame, policy: Policy = DEFAULT_POLICY, max_files=None
 def read_coverage(c: DataFrame, policy: Policy = DEFAULT_POLICY, max_bytes_per_file: int | None = None, **filters) -> DataFrame:
     """Coverage of a full scan: every kept file is read unless it is too large or refused."""
     files = kept(c, policy).filter(path_filter(**filters))
-    small = F.lit(True) if max_bytes_per_file is None else F.col("size") <= max_bytes_per_file
+    small = fits(c, max_bytes_per_file)
     refused = F.when(small, T.refusal("content", T.is_binary(c)).isNotNull()).otherwise(False)
     facts = files.select("tree_id", "size", small.alias("small"), refused.alias("refused"))
     scanned = F.col("small") & ~F.col("refused")
@@ -108,7 +109,12 @@ def search_coverage(
 
 def with_unsupported(coverage: DataFrame, c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """Adds the map language -> files without symbol patterns."""
-    counts = unsupported_languages(c, policy).groupBy("tree_id").agg(
+    return _with_language_map(coverage, unsupported_languages(c, policy))
+
+
+def _with_language_map(coverage: DataFrame, counts: DataFrame) -> DataFrame:
+    # One row per tree and language; languages are a fixed short list.
+    counts = counts.groupBy("tree_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("language", "files")))).alias("unsupported_languages")
     )
     empty = F.create_map().cast("map<string,bigint>")
@@ -116,10 +122,14 @@ def with_unsupported(coverage: DataFrame, c: DataFrame, policy: Policy = DEFAULT
 
 
 def merge_coverage(*reports: DataFrame) -> DataFrame:
-    """Add counters, OR flags and unite reasons of several reports per tree."""
+    """Add counters, OR flags and unite reasons of several reports per tree.
+
+    Where a report has the map of ``with_unsupported``, so has the result: its counts are added too.
+    """
+    mapped = any("unsupported_languages" in r.columns for r in reports)
     rows = reports[0]
     for report in reports[1:]:
-        rows = rows.unionByName(report)
+        rows = rows.unionByName(report, allowMissingColumns=mapped)
     flags = [n for n in K.FLAGS if n != "coverage_partial"]
     # Reasons come from a fixed short list, so the set per tree stays small.
     merged = rows.groupBy("tree_id").agg(
@@ -127,4 +137,8 @@ def merge_coverage(*reports: DataFrame) -> DataFrame:
         *(F.bool_or(n).alias(n) for n in flags),
         F.flatten(F.collect_set("reasons")).alias("all_reasons"),
     )
-    return finish(merged, F.col("all_reasons"))
+    if not mapped:
+        return finish(merged, F.col("all_reasons"))
+    counts = rows.select("tree_id", F.explode("unsupported_languages").alias("language", "files"))
+    counts = counts.groupBy("tree_id", "language").agg(F.sum("files").alias("files"))
+    return _with_language_map(finish(merged, F.col("all_reasons")), counts)

@@ -10,6 +10,7 @@ from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.functions.regex import jvm
 from treelens.operators.inventory import KEY, kept
 from treelens.operators.reading import readable
+from treelens.plans.materialize import small_side
 
 
 def relative_imports(c: DataFrame, policy: Policy = DEFAULT_POLICY, granted: str | None = None) -> DataFrame:
@@ -94,8 +95,13 @@ def resolution_index(files: DataFrame) -> DataFrame:
 
 
 def resolve_imports(imports: DataFrame, files: DataFrame) -> DataFrame:
-    """Adds ``to_path`` (null when nothing in the tree answers)."""
-    return with_import_path(imports).join(resolution_index(files), ["tree_id", "import_path"], "left").drop("import_path")
+    """Adds ``to_path`` (null when nothing in the tree answers).
+
+    The index is written and measured first, so a file that most others import does not
+    meet all of them in one task.
+    """
+    index = small_side(resolution_index(files))
+    return with_import_path(imports).join(index, ["tree_id", "import_path"], "left").drop("import_path")
 
 
 def import_edges(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:

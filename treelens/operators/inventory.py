@@ -13,8 +13,18 @@ KEY = ["tree_id", "path"]
 
 
 def kept(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
-    """Rows the policy lets through."""
-    return c.filter(policy.classify("path").isNull())
+    """Files the policy lets through."""
+    return c.filter(policy.classify("path").isNull() & ~is_link(c))
+
+
+def is_link(c: DataFrame) -> Column:
+    return F.col("unread").eqNullSafe("link") if "unread" in c.columns else F.lit(False)
+
+
+def fits(c: DataFrame, max_bytes: int | None) -> Column:
+    """Files within the size cap of a call and of the reader that loaded the corpus."""
+    loaded = ~F.col("unread").eqNullSafe("too-large") if "unread" in c.columns else F.lit(True)
+    return loaded if max_bytes is None else loaded & (F.col("size") <= max_bytes)
 
 
 def path_filter(path: str | None = None, contains: str | None = None, extensions=None) -> Column:
@@ -156,10 +166,13 @@ def inventory_coverage(
     pruned = _pruned(scoped, policy).select(
         "tree_id", P.walk_key("prefix").alias("key"), F.col("policy_class").alias("kind")
     )
-    entries = files.unionByName(pruned)
+    links = scoped.filter(policy.classify("path").isNull() & is_link(c)).select(
+        "tree_id", P.walk_key("path").alias("key"), F.lit("link").alias("kind")
+    )
+    entries = files.unionByName(pruned).unionByName(links)
     capped = max_files is not None or max_directories is not None
     if capped:
-        entries = entries.join(walk_cut(c, policy, max_files, max_directories, **filters), "tree_id", "left")
+        entries = entries.join(small_side(walk_cut(c, policy, max_files, max_directories, **filters)), "tree_id", "left")
     else:
         entries = entries.withColumn("cut", F.lit(None).cast("array<string>")).withColumn("reason", F.lit(None).cast("string"))
     cut, key = F.col("cut"), F.col("key")
@@ -170,6 +183,7 @@ def inventory_coverage(
         F.count_if(candidate).alias("candidate_files"),
         F.count_if((F.col("kind") == "secret") & seen).alias("skipped_secret"),
         F.count_if((F.col("kind") == "generated") & seen).alias("skipped_generated"),
+        F.count_if((F.col("kind") == "link") & seen).alias("skipped_links"),
         F.bool_or(cut.isNotNull()).alias("inventory_limit_reached"),
         F.max("reason").alias("reason"),
     )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from treelens import constants as K
 from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
-from treelens.operators.inventory import KEY, kept
+from treelens.operators.inventory import KEY, fits, kept
 from treelens.plans.materialize import small_side
 from treelens.plans.ordered import top_per_group
 
@@ -157,13 +157,14 @@ def _range_rows(c, requests, policy, max_bytes_per_file, max_range_lines=None, k
     req = requests.select(
         "*", P.clean_path("path").alias("clean"), P.path_error("path").alias("path_error"), wanted.cast("bigint").alias("wanted")
     )
-    files = kept(c, policy).select("tree_id", F.col("path").alias("clean"), "content", F.col("size"))
+    small = fits(c, max_bytes_per_file)
+    files = kept(c, policy).select("tree_id", F.col("path").alias("clean"), "content", "size", small.alias("small"))
     asked = req.filter(F.col("path_error").isNull()).select(*key, "tree_id", "clean", "start_line", "wanted")
-    small = F.lit(True) if max_bytes_per_file is None else F.col("size") <= max_bytes_per_file
+    small = F.col("small")
     refusal = T.refusal("content", T.is_binary(c))
     found = files.join(small_side(asked), ["tree_id", "clean"]).select(
         *key, "size", "wanted", "start_line",
-        small.alias("small"),
+        "small",
         F.when(small, T.content_sha256(F.col("content"))).alias("sha256"),
         F.when(small, refusal).alias("refusal"),
         F.when(small & refusal.isNull(), T.encoding("content")).alias("encoding"),

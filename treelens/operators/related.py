@@ -1,7 +1,8 @@
 """Files related to target files: imports, tests, same names, siblings.
 
 ``targets(tree_id, path)`` lists the files asked about; results are keyed by
-``(tree_id, target_path)``. Relations are joins on exact keys, and Spark splits
+``(tree_id, target_path)``. Relations are joins on exact keys. Targets and grouped
+sides are written and measured: small ones are broadcast, of larger ones Spark splits
 hot keys (one directory, one file name) with its skew join.
 """
 
@@ -16,7 +17,7 @@ from treelens.functions import paths as P
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.imports import import_edges
 from treelens.operators.inventory import KEY, kept
-from treelens.plans.materialize import materialize, small_side
+from treelens.plans.materialize import BROADCAST_BYTES, measured, small_side
 from treelens.plans.ordered import top_per_group
 
 COLUMNS = ["tree_id", "target_path", "path", "relationship", "evidence", "confidence", "language", "source_sha256"]
@@ -31,8 +32,11 @@ def _confidence() -> Column:
     return F.when(kind.isin("direct-import", "imported-by"), "high").when(kind == "likely-test", "medium").otherwise("low")
 
 
-def _import_relations(edges: DataFrame, targets: DataFrame, kinds) -> DataFrame:
-    """Both directions in one pass: an edge answers for its importer and its import."""
+def _import_relations(edges: DataFrame, targets: DataFrame, kinds, hint=small_side) -> DataFrame:
+    """Both directions in one pass: an edge answers for its importer and its import.
+
+    ``hint`` decides how a side as narrow as the targets is joined.
+    """
     ends = {"direct-import": ("from_path", "to_path"), "imported-by": ("to_path", "from_path")}
     views = [
         F.struct(F.lit(k).alias("relationship"), F.col(asked).alias("target_path"), F.col(found).alias("path"))
@@ -43,7 +47,7 @@ def _import_relations(edges: DataFrame, targets: DataFrame, kinds) -> DataFrame:
     )
     # A file that imports itself is no importer of the target.
     rows = rows.filter((F.col("relationship") == "direct-import") | (F.col("path") != F.col("target_path")))
-    rows = rows.join(small_side(_targets(targets)), ["tree_id", "target_path"], "left_semi")
+    rows = rows.join(hint(_targets(targets)), ["tree_id", "target_path"], "left_semi")
     return rows.withColumn("confidence", _confidence()).withColumn("language", P.language("path")).select(*COLUMNS)
 
 
@@ -98,13 +102,13 @@ def _file_keys(files: DataFrame, kinds) -> DataFrame:
     return rows.select(*KEY, F.inline(F.concat(*(v for k, v in parts.items() if k in kinds))))
 
 
-def _name_relations(files: DataFrame, targets: DataFrame, kinds) -> DataFrame:
+def _name_relations(files: DataFrame, targets: DataFrame, kinds, hint=small_side) -> DataFrame:
     """Relations by names: one join on (tree, relation, key) for all of them."""
     stem = F.lower(P.stem("path"))
     keys = {"likely-test": stem, "same-basename": stem, "sibling": P.dirname("path")}
     wanted = F.array(*(F.struct(F.lit(k).alias("relationship"), v.alias("key")) for k, v in keys.items() if k in kinds))
     asked = _targets(targets, F.lower(P.extension("path")).alias("target_ext"), F.inline(wanted))
-    rows = _file_keys(files, kinds).join(small_side(asked), ["tree_id", "relationship", "key"])
+    rows = _file_keys(files, kinds).join(hint(asked), ["tree_id", "relationship", "key"])
     rows = rows.filter(F.col("ext").isNull() | (F.col("ext") == F.col("target_ext")))
     rows = rows.filter(F.col("path") != F.col("target_path"))
     kind = F.col("relationship")
@@ -191,16 +195,18 @@ def related(
         raise ValueError("no relationship kind left to look for")
     by_import = [k for k in wanted if k in ("direct-import", "imported-by")]
     by_name = [k for k in wanted if k not in by_import]
-    targets = materialize(targets.select(*KEY))
-    trees = small_side(targets.select("tree_id").distinct())
+    # Every side made of targets has at most three rows a target, each with one more part of the path.
+    targets, small = measured(targets.select(*KEY), BROADCAST_BYTES // 16)
+    hint = F.broadcast if small else small_side
+    trees = hint(targets.select("tree_id").distinct())
     parts = []
     if by_import:
         if edges is None:
             edges = import_edges(c.join(trees, "tree_id", "left_semi"), policy)
-        parts.append(_import_relations(edges, targets, by_import))
+        parts.append(_import_relations(edges, targets, by_import, hint))
     if by_name:
         files = kept(c, policy).select(*KEY).join(trees, "tree_id", "left_semi")
-        parts.append(_name_relations(files, targets, by_name))
+        parts.append(_name_relations(files, targets, by_name, hint))
     rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     # The builders emit distinct (relationship, path, evidence) per target.
     rows = filter_related(rows, path_prefix=path_prefix, extensions=extensions)
@@ -235,7 +241,7 @@ def name_groups(files: DataFrame) -> DataFrame:
     without forming pairs: counts are aggregated before they meet the files.
     """
     keyed = files.select(*KEY, P.dirname("path").alias("directory"), F.lower(P.stem("path")).alias("stem"))
-    dirs = keyed.groupBy("tree_id", "directory").agg(F.count("*").alias("_dir"))
-    stems = keyed.groupBy("tree_id", "stem").agg(F.count("*").alias("_stem"))
+    dirs = small_side(keyed.groupBy("tree_id", "directory").agg(F.count("*").alias("_dir")))
+    stems = small_side(keyed.groupBy("tree_id", "stem").agg(F.count("*").alias("_stem")))
     rows = keyed.join(dirs, ["tree_id", "directory"]).join(stems, ["tree_id", "stem"])
     return rows.select(*KEY, (F.col("_dir") - 1).alias("siblings"), (F.col("_stem") - 1).alias("same_basename"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
-from treelens.operators.inventory import KEY, before_cut, kept, path_filter, walk_cut
+from treelens.operators.inventory import KEY, before_cut, fits, kept, path_filter, walk_cut
 from treelens.operators.reading import readable
 from treelens.plans.materialize import materialize, small_side
 from treelens.plans.ordered import running_totals, top_per_group
@@ -151,12 +151,12 @@ def scan_plan(
     files spend bytes but no lines.
     """
     _check_query(query)
-    files = c.filter(policy.classify("path").isNull()).filter(path_filter(**filters))
+    files = kept(c, policy).filter(path_filter(**filters))
     if max_files is not None or max_directories is not None:
         files = before_cut(files, walk_cut(c, policy, max_files, max_directories, **filters))
     text = T.decoded("content")
     refusal = T.refusal("content", T.is_binary(c))
-    small = F.lit(True) if max_bytes_per_file is None else F.col("size") <= max_bytes_per_file
+    small = fits(c, max_bytes_per_file)
     hits = F.size(F.filter(T.split_lines(text), lambda l: _has(l, query, case_sensitive)))
     has_hit = _has(text, query, case_sensitive)
     reads = small & refusal.isNull()
@@ -186,7 +186,7 @@ def scan_plan(
     # Only a file that was really looked at can be the one that stopped the search.
     looked_at = F.col("end_after").isNull() | (F.col("end_before") < F.col("end_after"))
     refused_next = (F.col("pos") == F.col("end_before") + 1) & looked_at
-    reached = rows.join(ends, "tree_id").withColumn("stopped_at", F.coalesce(refused_next, F.lit(False)))
+    reached = rows.join(small_side(ends), "tree_id").withColumn("stopped_at", F.coalesce(refused_next, F.lit(False)))
     granted = F.col("n_lines") if max_total_lines is None else F.least(F.col("n_lines"), F.lit(max_total_lines) - lines_before)
     inside = F.col("end").isNull() | (F.col("pos") <= F.col("end"))
     return reached.filter(inside | F.col("stopped_at")).select(

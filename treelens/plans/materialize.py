@@ -37,9 +37,16 @@ def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     Spark estimates the size of derived frames from their input, so a table of one
     row per tree would make it shuffle the file contents it is joined with. Here
     the rows are written and measured first. Larger sides come back without a hint
-    and take the shuffle join, whose hot keys adaptive execution splits.
+    and take the shuffle join, whose hot keys adaptive execution splits: a written
+    side, grouped before or not, is a plain shuffle.
     """
+    pinned, small = measured(df, max_bytes)
+    return F.broadcast(pinned) if small else pinned
+
+
+def measured(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
+    """The written rows, and whether they take at most ``max_bytes``."""
     pinned = materialize(df)
     text = F.concat_ws("", *(F.col(c).cast("string") for c in pinned.columns))
-    measured = pinned.agg(F.coalesce(F.sum(F.octet_length(text) + 16 * len(pinned.columns)), F.lit(0))).first()[0]
-    return F.broadcast(pinned) if measured <= max_bytes else pinned
+    size = pinned.agg(F.coalesce(F.sum(F.octet_length(text) + 16 * len(pinned.columns)), F.lit(0))).first()[0]
+    return pinned, size <= max_bytes

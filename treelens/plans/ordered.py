@@ -17,7 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from treelens.plans.materialize import materialize
+from treelens.plans.materialize import materialize, small_side
 
 SALTS = 32
 TOP_LIMIT = 100_000  # larger k goes through running_totals
@@ -116,7 +116,7 @@ def greedy_fill(
     """
     rows = df.filter(F.col(size) <= budget)
     rows = materialize(running_totals(rows, [by], order, {"_pos": F.lit(1)}))
-    state = rows.select(by).distinct().select(
+    state = small_side(rows.select(by).distinct()).select(
         by, F.lit(budget).cast("bigint").alias("_room"), F.lit(0).cast("bigint").alias("_done")
     )
     accepted: list[DataFrame] = []
@@ -124,7 +124,7 @@ def greedy_fill(
         todo = rows.join(state, by).filter((F.col("_pos") > F.col("_done")) & (F.col(size) <= F.col("_room")))
         counts = todo.groupBy(by).agg(F.count("*").alias("_left"), F.max(size).alias("_top"))
         large = counts.filter(F.col("_left") > group_rows).select(by, "_top")
-        large = materialize(large)
+        large = small_side(large)
         accepted.append(_fold_groups(todo.join(large, by, "left_anti").drop("_done"), by, size))
         if large.isEmpty():
             break
@@ -139,14 +139,13 @@ def greedy_fill(
         cut = part.filter(event).groupBy(by).agg(
             F.min("_pos").alias("_cut"), F.min_by(after, "_pos").alias("_new_room")
         )
+        cut = small_side(cut)
         seen = part.join(cut, by, "left")
         taken = F.col("_cut").isNull() & small
         taken = taken | (F.col("_cut").isNotNull() & small & (F.col("_pos") <= F.col("_cut")))
         taken = taken | F.coalesce(F.col("_pos") == F.col("_cut"), F.lit(False))
         accepted.append(materialize(seen.filter(taken).select(*df.columns)))
-        state = materialize(
-            cut.select(by, F.col("_new_room").alias("_room"), F.col("_cut").alias("_done"))
-        )
+        state = cut.select(by, F.col("_new_room").alias("_room"), F.col("_cut").alias("_done"))
     out = accepted[0].select(*df.columns)
     for more in accepted[1:]:
         out = out.unionByName(more.select(*df.columns))

@@ -1,4 +1,7 @@
-"""Corpus frames: ``(tree_id, path, content, size[, mtime])``, one row per file."""
+"""Corpus frames: ``(tree_id, path, content, size[, mtime, dev, ino, unread])``, one row per file.
+
+``unread`` (null: read) says why a file has no content; rows with 'link' are links, not files.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +13,7 @@ from treelens.functions.text import byte_length
 def corpus(df: DataFrame, tree_id="tree_id", path="path", content="content", *extra: str) -> DataFrame:
     """Shape any table into a corpus; ``size`` is the byte length when absent."""
     size = F.col("size").cast("bigint") if "size" in df.columns else byte_length(F.col(content))
-    optional = [c for c in ("mtime", "dev", "ino") if c in df.columns and c not in extra]
+    optional = [c for c in ("mtime", "dev", "ino", "unread") if c in df.columns and c not in extra]
     return df.select(
         F.col(tree_id).cast("string").alias("tree_id"),
         F.col(path).alias("path"),

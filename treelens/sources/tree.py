@@ -7,12 +7,14 @@ are separate steps, so the path policy removes rows before any byte is read.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 
-LISTING = "tree_id string, path string, location string, size bigint, mtime timestamp, dev string, ino string"
+LISTING = "tree_id string, path string, location string, size bigint, mtime timestamp, dev string, ino string, unread string"
 CONTENT_BATCH_BYTES = 32 << 20
 
 
@@ -20,7 +22,10 @@ def tree_listing_source():
     """The data source class; built here so that workers get it by value."""
 
     class TreeListing(DataSource):
-        """Options ``root.<tree_id>`` = directory; ``slices`` = directories to aim for."""
+        """Options ``roots`` = JSON list of [tree id, directory]; ``slices`` = directories to aim for.
+
+        Ids are values, since Spark ignores the case of option names.
+        """
 
         @classmethod
         def name(cls):
@@ -39,14 +44,14 @@ def tree_listing_source():
 
     class Reader(DataSourceReader):
         def __init__(self, options):
-            self.roots = {k[5:]: v for k, v in options.items() if k.lower().startswith("root.")}
+            self.roots = json.loads(options["roots"])
             self.slices = int(options.get("slices", 64))
 
         def partitions(self):
             """Split the top levels only; the walk below them runs in the tasks."""
             import os
 
-            shallow, frontier = [], [(t, r, r) for t, r in sorted(self.roots.items())]
+            shallow, frontier = [], [(t, r, r) for t, r in sorted(self.roots)]
             while frontier and len(frontier) < self.slices:
                 below = []
                 for tree, root, here in frontier:
@@ -90,22 +95,26 @@ def tree_listing_source():
                             datetime.datetime.fromtimestamp(info.st_mtime, datetime.timezone.utc),
                             str(info.st_dev),
                             str(info.st_ino),
+                            None if regular else "link",
                         )
 
     return TreeListing
 
 
 def list_tree(spark: SparkSession, roots: dict[str, str], slices: int = 64) -> DataFrame:
-    """Files below each root, hidden names included, without reading them."""
+    """Files and links below each root, hidden names included, without reading them.
+
+    ``unread`` is 'link' for links: no inventory lists them, coverage counts them as unreadable.
+    """
     spark.dataSource.register(tree_listing_source())
-    reader = spark.read.format("tree_listing").option("slices", slices)
-    for tree_id, root in roots.items():
-        reader = reader.option(f"root.{tree_id}", root)
-    return reader.load()
+    return spark.read.format("tree_listing").option("slices", slices).option("roots", json.dumps(list(roots.items()))).load()
 
 
 def load_content(listing: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Read the bytes of listed files; links and files over ``max_bytes`` stay null."""
+    """Read the bytes of listed files; where they stay null, ``unread`` tells why.
+
+    It is 'link', 'refused', 'too-large' (over ``max_bytes``) or 'unreadable'.
+    """
     budget = CONTENT_BATCH_BYTES
 
     def read(frames):
@@ -114,14 +123,16 @@ def load_content(listing: DataFrame, max_bytes: int | None = None) -> DataFrame:
         for frame in frames:
             rows, held = [], 0
             for row in frame.itertuples(index=False):
-                content = None
-                if row.location is not None and (max_bytes is None or row.size <= max_bytes):
+                content, unread = None, row.unread
+                if unread is None and max_bytes is not None and row.size > max_bytes:
+                    unread = "too-large"
+                if unread is None:
                     try:
                         with open(row.location, "rb") as handle:
                             content = handle.read()
                     except OSError:
-                        content = None
-                rows.append((*row, content))
+                        unread = "unreadable"
+                rows.append((*row[:-1], unread, content))
                 held += len(content or b"")
                 if held > budget:
                     yield pd.DataFrame(rows, columns=[*frame.columns, "content"])
@@ -143,8 +154,8 @@ def read_tree(
 ) -> DataFrame:
     """Corpus of all roots. Files the policy refuses are listed with null content."""
     listing = list_tree(spark, roots, slices)
-    readable = F.when(policy.classify("path").isNull(), F.col("location"))
-    return load_content(listing.withColumn("location", readable), max_bytes)
+    refused = F.when(policy.classify("path").isNotNull(), "refused")
+    return load_content(listing.withColumn("unread", F.coalesce("unread", refused)), max_bytes)
 
 
 def write_table(df: DataFrame, location: str, format: str = "parquet", mode: str = "error") -> None:
