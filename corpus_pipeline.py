@@ -35,7 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the later occurrences of equal or similar lines; every document stays."""
-    return lines.dedupe_lines(docs).select(*COLUMNS)
+    return lines.dedupe_lines(docs, max_bits=None).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
