@@ -131,18 +131,19 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, steps: int = 300, rate: floa
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = 4000, sample_chars: int = 20_000) -> Model:
     """Train on labelled documents outside the held-out fold.
 
-    At most ``sample_rows`` documents of at most ``sample_chars`` characters, those with the
-    smallest text hashes, reach the driver, as hashed words. Null labels, texts and ids are
-    no examples; a document labelled twice counts as toxic if any of its labels says so.
+    At most ``sample_rows`` different texts of at most ``sample_chars`` characters, those with
+    the smallest hashes, reach the driver, as hashed words. Null labels, texts and ids are no
+    examples; a text counts once, and as toxic if any label of any of its copies says so.
     Without any example the model scores every text with about zero.
     """
     marks = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("_toxic"))
     rows = docs.select("doc_id", "text").filter("text is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     rows = rows.filter(F.length("text") <= sample_chars).withColumn("_order", F.xxhash64("text"))
     # Choosing needs no text: labels and hashes meet first, then the chosen texts are read.
-    chosen = rows.select("doc_id", "_order").join(marks, "doc_id").orderBy("_order", "doc_id").limit(sample_rows)
+    chosen = rows.select("doc_id", "_order").join(marks, "doc_id").groupBy("_order").agg(F.min("doc_id").alias("doc_id"), F.max("_toxic").alias("_toxic"))
+    chosen = chosen.orderBy("_order").limit(sample_rows)
     picked = rows.join(F.broadcast(chosen), ["doc_id", "_order"])
-    found = picked.select(F.arrow_udf(_features, "array<bigint>")("text").alias("bag"), "_toxic").limit(sample_rows).toArrow()
+    found = picked.select(F.arrow_udf(_features, "array<bigint>")("text").alias("bag"), "_toxic", "_order").dropDuplicates(["_order"]).toArrow()
     bags = [np.asarray(v.values, np.int64) for c in found["bag"].chunks for v in c]
     return fit(bags, np.asarray(found["_toxic"], np.int64))
 
