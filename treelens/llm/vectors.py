@@ -80,19 +80,22 @@ def _cell(threshold: float, blocks: int):
             by_right = right[np.argsort(part[right, 0])]
             extended = np.concatenate([part, -half[:, None]], axis=1)  # x . y - |y|^2 / 2 in one product
             facing = np.concatenate([part, np.ones((len(part), 1), np.float32)], axis=1)
-            line, radius = part[by_right, 0], np.sqrt(share)
+            wide = share + _SLACK  # the product only proposes; ``within`` alone decides membership in a block
+            line, radius = part[by_right, 0], np.sqrt(wide)
             for at in range(0, len(by_left), _TILE):
                 rows = by_left[at : at + _TILE]
                 lo, hi = np.searchsorted(line, [part[rows[0], 0] - radius, part[rows[-1], 0] + radius])
                 if lo == hi:
                     continue
-                near = facing[rows] @ extended[by_right[lo:hi]].T >= (half[rows] - share / 2)[:, None]
+                near = facing[rows] @ extended[by_right[lo:hi]].T >= (half[rows] - wide / 2)[:, None]
                 i, j = np.nonzero(near)
                 a, b = rows[i], by_right[lo:hi][j]
                 if same:
                     a, b = a[a < b], b[a < b]
                 for c in range(0, len(a), _CANDIDATES):
                     x, y = a[c : c + _CANDIDATES], b[c : c + _CANDIDATES]
+                    own = within(x, y, k)
+                    x, y = x[own], y[own]
                     for before in range(k):  # a pair counts in its first block
                         fresh = ~within(x, y, before)
                         x, y = x[fresh], y[fresh]
