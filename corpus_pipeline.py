@@ -39,12 +39,25 @@ def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: that of the smallest doc_id.
+    """One row of each SimHash component: that of the smallest doc_id, rows without one last.
 
-    Documents without an id cannot be told apart by it and stay.
+    Of rows that share the id, one of the row number given here (and written) stays; rows
+    alike in id and text are one document, of which any stays.
     """
-    grouped = simhash.near_duplicates(_marked(docs), keep=("doc_id", "_content"))
-    return _rejecting(docs, grouped.filter("doc_id <> component_id"))
+    numbered = docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_content"))
+    grouped = simhash.near_duplicates(numbered, keep=("doc_id", "_id", "_content"))
+    place = F.struct(F.col("_id").isNull(), "_id", "doc_id")
+    best = frames.stored(grouped.groupBy("component_id").agg(F.min_by(F.struct("_id", "_content"), place).alias("best")))
+    same = F.col("_id").eqNullSafe(F.col("best._id")) & (F.col("_content") == F.col("best._content"))
+    judged = grouped.join(best, "component_id").select(F.col("_id").alias("doc_id"), "_content", same.alias("kept"))
+    left = _rejecting(docs, judged.filter("not kept"))
+    repeated = frames.stored(judged.filter("kept").groupBy("doc_id", "_content").count().filter("count > 1").drop("count"))
+    if repeated.isEmpty():
+        return left
+    once = repeated.select(F.col("doc_id").alias("_id"), F.col("_content").alias("_hash"))
+    again = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    copies = left.join(once, again, "left_semi").withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
+    return _rejecting(left, repeated).union(copies.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
