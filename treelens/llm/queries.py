@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treelens.llm import bpe_codec, decontamination, lines, pii, quality, simhash, substrings, token_counts, toxicity, vectors
+from treelens.llm import bpe_codec, decontamination, lines, pii, quality, repair, simhash, substrings, token_counts, toxicity, vectors
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_simhash_near_dedup": simhash.op8_simhash_near_dedup,
     "op9_embedding_near_dedup": vectors.op9_embedding_near_dedup,
     "op10_bpe_codec": bpe_codec.op10_bpe_codec,
+    "op11_conversation_repair": repair.op11_conversation_repair,
 }
 
 #: The others train models, need XXH64 or a tokenizer, or follow positions of matches; they are tested against brute force.
