@@ -8,6 +8,7 @@ word. All work is done in slices of whole texts; a slice holds about
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SLICE_BYTES = 1 << 20
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 2  # odd and 3 modulo 4
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -60,6 +62,16 @@ def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> It
         first = last
 
 
+def pieces(raw: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:
+    """A text in parts of about ``size`` bytes, cut before ASCII white space (or not at all, if it has none)."""
+    at = 0
+    while at < len(raw):
+        cut = _BLANK.search(raw, at + size)
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end]
+        at = end
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the word numbers at which texts begin (one more than texts)."""
     if not len(data):

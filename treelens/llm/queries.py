@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from treelens.llm import bpe_codec, decontamination, lines, pii, quality, repair, simhash, substrings, token_counts, toxicity, vectors
+from treelens.llm import bpe_codec, decontamination, lines, packing, pii, quality, ranked_search, repair, simhash, substrings, token_counts, toxicity, vectors
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -16,11 +16,14 @@ QUERIES = {
     "op9_embedding_near_dedup": vectors.op9_embedding_near_dedup,
     "op10_bpe_codec": bpe_codec.op10_bpe_codec,
     "op11_conversation_repair": repair.op11_conversation_repair,
+    "op12_ranked_search": ranked_search.op12_ranked_search,
+    "op13_sequence_packing": packing.op13_sequence_packing,
 }
 
-#: The others train models, need XXH64 or a tokenizer, or follow positions of matches; they are tested against brute force.
+#: The others train models, need XXH64 or a tokenizer, follow positions of matches or choose edits; they are tested against brute force.
 ORACLES = {
     "op2_substring_dedup": substrings.OP2_SQL,
     "op7_benchmark_decontamination": decontamination.OP7_SQL,
     "op9_embedding_near_dedup": vectors.OP9_SQL,
+    "op12_ranked_search": ranked_search.OP12_SQL,
 }
