@@ -22,10 +22,10 @@ def library_ids(texts):
 
 def odd_texts():
     rng = random.Random(3)
-    alphabet = "aAbéÉß İΣσς'’s've.,!? \t\n\r\x0b\x0c\x1c\x1f\x85  ̸́中文字1²Ⅷ😀\x00"
+    alphabet = "aAbéÉß İΣσς'’s''ve(\".,!? \t\n\r\x0b\x0c\x1c\x1f\x85  ̸́中文字1²Ⅷ😀\x00"
     texts = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 60))) for _ in range(400)]
     texts += ["<|endoftext|>", "a<|endoftext|>b <|startoftext|> c", "x <|endof text|>", "<|endoftext|", "text|> <", "it's we'VE I'm", "é ́e"]
-    return texts + [None, "", " ", "word " * 9000, "y" * 30_000, "Ünï " * 400_000]
+    return texts + [None, "", " ", "word " * 9000, "y" * 30_000, "Ünï " * 200_000]
 
 
 def test_words_give_the_ids_of_the_library():
@@ -35,7 +35,18 @@ def test_words_give_the_ids_of_the_library():
     encoder = packing.WordEncoder(PATH)
     for _ in range(2):  # with an empty memory and with a full one
         assert [ids.tolist() for ids in encoder.texts(pa.array(texts))] == library_ids(texts)
-    assert not any(len(word) > packing._LONG_WORD for word in encoder.known)
+    assert not any(len(word) > packing._LONG_WORD for word in (*encoder.known, *encoder.older))
+
+
+def test_words_are_counted_as_the_library_splits_them():
+    import pyarrow as pa
+
+    rng = random.Random(11)
+    alphabet = "abcdeéèßñçüœšžÀÑøæþµªº²¼×÷«»¿§°0123456789.,;:!?'\"()-_/&%$#@[]{}~|<>=+*^`"
+    texts = [" ".join("".join(rng.choice(alphabet) for _ in range(rng.randint(1, 12))) for _ in range(50)) for _ in range(200)]
+    encoder = packing.WordEncoder(PATH)
+    assert encoder.counted and packing._COUNTED.fullmatch(" ".join(texts).lower())
+    assert [ids.tolist() for ids in encoder.texts(pa.array(texts))] == library_ids(texts)
 
 
 def test_small_memory_gives_the_same_ids(monkeypatch):

@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,7 +38,12 @@ BLOCK_TOKENS = 1 << 21
 LINEAR, QUADRATIC = 4096.0, 1.0
 _SLICE = 1 << 20
 _CALL = 1 << 16  # bytes of words encoded by one call
-_MEMORY, _LONG_WORD = 400_000, 64
+_MEMORY, _LONG_WORD = 700_000, 64
+#: Small ASCII and Latin letters, digits and marks, of which no Unicode version and no normal form makes anything else.
+_COUNTED = regex.compile(r"[ -@\[-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u024f]*")
+#: What the vocabulary file splits words by (a fixed value).
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PRE_TOKENS = regex.compile(_SPLIT)
 _SEQUENCE_BITS = 33  # of a sequence id, below the number of the partition
 
 
@@ -52,51 +58,70 @@ class WordEncoder:
         steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
         drops = steps[0].get("type") == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
         plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in spec["added_tokens"])
-        if not drops or not plain or not spec["added_tokens"]:
+        if not drops or not plain:
             raise ValueError(f"{path} is no vocabulary that drops white space")
+        #: Small letters: what may be a special token is left as it is.
+        self.special = [t["content"].encode().lower() for t in spec["added_tokens"]]
+        self.counted = drops and steps[0]["pattern"].get("Regex") == _SPLIT
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.special = [t["content"].encode() for t in spec["added_tokens"]]
-        mark = spec["added_tokens"][-1]
-        self.mark, self.mark_id = mark["content"].encode(), mark["id"]
+        vocab, suffix = self.library.get_vocab(), spec["model"]["end_of_word_suffix"]
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for token, i in vocab.items() if suffix and token.endswith(suffix)]] = True
+        #: Words met lately, and those met before them; a word that comes again moves to the first.
         self.known: dict[bytes, bytes] = {}
-
-    def _ids(self, text: bytes) -> np.ndarray:
-        return np.array(self.library.encode(text.decode("utf-8"), add_special_tokens=False).ids, "<u4")
+        self.older: dict[bytes, bytes] = {}
+
+    def _bounds(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words set apart by blanks, and where each word's ids end.
+
+        A word's pre-tokens are counted, and its last one's last token ends a word of the
+        vocabulary. Where characters are not certain to be counted alike here and in the
+        library, the places of the tokens tell to which words they belong.
+        """
+        joined = " ".join(texts)
+        if self.counted and _COUNTED.fullmatch(joined):
+            ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            last = np.flatnonzero(self.ends[ids]) + 1
+            count = np.cumsum([1 if t.isalpha() else len(_PRE_TOKENS.findall(t)) for t in texts])
+            if len(last) == count[-1] and last[-1] == len(ids):
+                return ids, last[count - 1]
+        found = self.library.encode(joined, add_special_tokens=False)
+        ids, start = np.array(found.ids, "<u4"), np.array([lo for lo, _ in found.offsets], np.int64)
+        return ids, np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]))
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of each word. A special token between two words keeps their tokens apart."""
+        """Ids of each word."""
         out, run, size = {}, [], 0
         for word in chain(words, [None]):
-            if word is None or size > _CALL:
-                if run:
-                    ids = self._ids(self.mark.join(run))
-                    ends = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
-                    begins = np.append(0, ends[:-1] + 1)
-                    out |= {w: ids[lo:hi].tobytes() for w, lo, hi in zip(run, begins.tolist(), ends.tolist())}
+            if run and (word is None or size > _CALL):
+                ids, ends = self._bounds([w.decode("utf-8") for w in run])
+                raw, ends = ids.tobytes(), (4 * ends).tolist()
+                out |= {w: raw[lo:hi] for w, lo, hi in zip(run, chain([0], ends), ends)}
                 run, size = [], 0
             if word is not None:
-                if any(s in word for s in self.special):
-                    out[word] = self._ids(word).tobytes()
-                else:
-                    run.append(word)
-                    size += len(word)
+                run.append(word)
+                size += len(word)
         return out
 
     def of_slice(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
+        small = [text.lower() for text in texts]  # bytes: ASCII letters only
+        if not any(s in text for text in small for s in self.special):
+            texts = small
         words = [text.split() for text in texts]  # bytes: ASCII white space only
-        known = self.known
-        new = self._encode([w for w in set(chain.from_iterable(words)) if w not in known])
-        if len(known) + len(new) > _MEMORY:
-            known.clear()
-            new |= self._encode([w for w in set(chain.from_iterable(words)) if w not in new])
-        known |= new
+        known, older = self.known, self.older
+        new = [w for w in set(chain.from_iterable(words)) if w not in known]
+        if older:
+            known |= {w: older[w] for w in new if w in older}
+            new = [w for w in new if w not in known]
+        known |= self._encode(new)
         out = [b"".join(map(known.__getitem__, of_text)) for of_text in words]
-        for word in new:
-            if len(word) > _LONG_WORD:
-                del known[word]
+        for word in [w for w in new if len(w) > _LONG_WORD]:
+            del known[word]
+        if len(known) > _MEMORY:
+            self.known, self.older = {}, known
         return out
 
     def texts(self, column) -> list[np.ndarray]:
