@@ -8,6 +8,8 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from treelens.plans.materialize import measured
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder that ``spark.checkpoint.dir`` names; a local master without one gets its own."""
@@ -56,6 +58,23 @@ def without(df: DataFrame, names) -> DataFrame:
     return df.select(*(df[f"`{c.replace('`', '``')}`"] for c in df.columns if c.lower() not in taken))
 
 
+def marked(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of the text, by which ``rejecting`` finds the row again."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("_content"))
+
+
+def rejecting(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``rejected (doc_id, _content)`` names; null ids count as equal.
+
+    The rejected rows carry no texts. They are broadcast up to a measured 32 MB; beyond it the
+    join shuffles the texts.
+    """
+    rejected, small = measured(rejected.select(F.col("doc_id").alias("_id"), F.col("_content").alias("_hash")).distinct())
+    rejected = F.broadcast(rejected) if small else rejected
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return docs.join(rejected, same, "left_anti")
+
+
 def bitmap(df: DataFrame, column: str, bits: int = 24) -> np.ndarray:
     """A set of 64-bit hashes as 2**bits bits, found by their lowest ``bits`` bits.
 

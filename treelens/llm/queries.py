@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from treelens.llm import bpe_codec, decontamination, lines, packing, pii, quality, ranked_search, repair, simhash, substrings, token_counts, toxicity, vectors
+from treelens.llm import bpe_codec, decontamination, line_blocks, packing, pii, quality, ranked_search, repair, simhash, substrings, token_counts, toxicity, vectors
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_quality_classifier": quality.op3_quality_classifier,
-    "op4_line_dedup": lines.op4_line_dedup,
+    "op4_line_dedup": line_blocks.op4_line_dedup,
     "op5_pii": pii.op5_pii,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_benchmark_decontamination": decontamination.op7_benchmark_decontamination,

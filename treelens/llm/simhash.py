@@ -114,6 +114,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, postin
     return marked.join(label, "fingerprint").select(*names, "fingerprint", "component_id")
 
 
+def one_of_each(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of each component of ``docs``: that of the smallest doc_id, rows without one last.
+
+    All columns of ``docs`` stay. Of rows that share the id, one of the row number given here
+    (and written) stays; rows alike in id and text are one document, of which any stays. Null
+    and blank texts form one component. Empty tables give no rows.
+    """
+    numbered = docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_content"))
+    grouped = near_duplicates(numbered, shingle, max_bits, keep=("doc_id", "_id", "_content"))
+    place = F.struct(F.col("_id").isNull(), "_id", "doc_id")
+    best = frames.stored(grouped.groupBy("component_id").agg(F.min_by(F.struct("_id", "_content"), place).alias("best")))
+    same = F.col("_id").eqNullSafe(F.col("best._id")) & (F.col("_content") == F.col("best._content"))
+    judged = grouped.join(best, "component_id").select(F.col("_id").alias("doc_id"), "_content", same.alias("kept"))
+    left = frames.rejecting(docs, judged.filter("not kept"))
+    repeated = frames.stored(judged.filter("kept").groupBy("doc_id", "_content").count().filter("count > 1").drop("count"))
+    if repeated.isEmpty():
+        return left
+    once = repeated.select(F.col("doc_id").alias("_id"), F.col("_content").alias("_hash"))
+    again = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    copies = left.join(once, again, "left_semi").withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
+    return frames.rejecting(left, repeated).union(copies.drop("_hash"))
+
+
 def op8_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     rows = near_duplicates(docs, keep=("doc_id",))
