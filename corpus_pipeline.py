@@ -3,72 +3,46 @@
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but
 the last return the columns of ``documents``. ``run`` writes each stage to the shared
 folder and reads it back, so a lost executor never repeats an earlier stage.
+
+For every stage an empty table gives no rows, and repeated rows are judged alike.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from treelens.llm import bpe_codec, decontamination, frames, lines, simhash, toxicity
+from treelens.llm import bpe_codec, decontamination, frames, line_blocks, simhash, toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: No SQL engine trains the toxicity model or runs BPE; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("_content"))
-
-
-def _rejecting(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """``docs`` without rejected rows (doc_id, _content); operators carry these two columns, not the texts."""
-    rejected = rejected.select(F.col("doc_id").alias("_id"), F.col("_content").alias("_hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.select(*COLUMNS).join(rejected, same, "left_anti")
-
-
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose noisy-or over sentences stays under one half."""
+    """Documents whose noisy-or over sentences stays under one half; so do null and empty texts."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, model).filter("predicted = 0").select(*COLUMNS)
 
 
 def dedupe_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the later occurrences of equal or similar lines; every document stays."""
-    return lines.dedupe_lines(docs, max_bits=None).select(*COLUMNS)
+    """Texts without the later occurrences of equal or similar lines; every document stays, null texts as they are."""
+    return line_blocks.dedupe_similar_lines(docs).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash component: that of the smallest doc_id, rows without one last.
-
-    Of rows that share the id, one of the row number given here (and written) stays; rows
-    alike in id and text are one document, of which any stays.
-    """
-    numbered = docs.select(F.monotonically_increasing_id().alias("doc_id"), F.col("doc_id").alias("_id"), "text", F.xxhash64("text").alias("_content"))
-    grouped = simhash.near_duplicates(numbered, keep=("doc_id", "_id", "_content"))
-    place = F.struct(F.col("_id").isNull(), "_id", "doc_id")
-    best = frames.stored(grouped.groupBy("component_id").agg(F.min_by(F.struct("_id", "_content"), place).alias("best")))
-    same = F.col("_id").eqNullSafe(F.col("best._id")) & (F.col("_content") == F.col("best._content"))
-    judged = grouped.join(best, "component_id").select(F.col("_id").alias("doc_id"), "_content", same.alias("kept"))
-    left = _rejecting(docs, judged.filter("not kept"))
-    repeated = frames.stored(judged.filter("kept").groupBy("doc_id", "_content").count().filter("count > 1").drop("count"))
-    if repeated.isEmpty():
-        return left
-    once = repeated.select(F.col("doc_id").alias("_id"), F.col("_content").alias("_hash"))
-    again = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
-    copies = left.join(once, again, "left_semi").withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
-    return _rejecting(left, repeated).union(copies.select(*COLUMNS))
+    """One row of each SimHash component; null and blank texts are one component."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs; null and empty texts have none."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    judged = decontamination.contamination(_marked(docs), items, keep=("doc_id", "_content"))
-    return _rejecting(docs, judged.filter("n_hit > 0"))
+    judged = decontamination.contamination(frames.marked(docs), items, keep=("doc_id", "_content"))
+    return frames.rejecting(docs.select(*COLUMNS), judged.filter("n_hit > 0"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text left, decoded again: n_tokens and the digests of both."""
+    """Token ids of every text left (null: empty), decoded again: n_tokens and the digests of both."""
     import public_tokenizers
 
     return bpe_codec.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
