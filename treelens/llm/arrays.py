@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 SLICE_BYTES = 1 << 20
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
@@ -124,14 +125,81 @@ def _range_sums(values: np.ndarray):
 
 
 def range_hasher(data: np.ndarray):
-    """A function giving a 64-bit hash of each byte range; equal bytes have equal hashes in every batch."""
+    """A function giving a 64-bit hash of each byte range; equal bytes have equal hashes in every batch.
+
+    For features only: sequences can be built whose hashes are equal.
+    """
     return _range_sums(_BYTE_VALUES[data])
 
 
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ``range_hasher``, for features only."""
     return range_hasher(data)(starts, ends)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH3 of each byte range."""
+    raw, digest = data.tobytes(), xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(raw[a:b]) for a, b in zip(starts.tolist(), ends.tolist())), np.uint64, len(starts))
+
+
+_PRIME = np.uint64((1 << 61) - 1)
+_LOW32, _LOW29, _32, _29, _61 = (np.uint64(x) for x in ((1 << 32) - 1, (1 << 29) - 1, 32, 29, 61))
+_BASES = (0x0B2F8C6D51E39A47, 0x15D3A90F7E64C82B)  # below the prime, of no pattern
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & _PRIME) + (x >> _61)
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
+def _times_2_32(x: np.ndarray) -> np.ndarray:
+    """x * 2**32 modulo the prime, not yet reduced; x below 2**61."""
+    return (x >> _29) + ((x & _LOW29) << _32)
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo the prime, for values below it."""
+    a_high, a_low, b_high, b_low = a >> _32, a & _LOW32, b >> _32, b & _LOW32
+    low = a_low * b_low
+    middle = _reduced(a_high * b_low + a_low * b_high)
+    return _reduced(_reduced((a_high * b_high << np.uint64(3)) + _times_2_32(middle)) + (low & _PRIME) + (low >> _61))
+
+
+_prime_powers = {base: np.ones(1, np.uint64) for b in _BASES for base in (b, pow(b, -1, int(_PRIME)))}
+
+
+def _prime_power_table(base: int, n: int) -> np.ndarray:
+    table = _prime_powers[base]
+    while len(table) < n:
+        step = np.uint64(pow(base, len(table), int(_PRIME)))
+        table = np.concatenate([table, _product(table, np.broadcast_to(step, table.shape))])
+    if len(table) <= 4 * SLICE_BYTES:
+        _prime_powers[base] = table
+    return table[:n]
+
+
+def sequence_hasher(values: np.ndarray, base: int = 0):
+    """A function giving a 64-bit hash of values[lo:hi]: their polynomial modulo 2**61 - 1 at one of two bases.
+
+    Modulo a prime there are no patterns that collide whatever their values are, as there
+    are modulo a power of two. The two bases give independent hashes.
+    """
+    at = _BASES[base]
+    terms = _product(_reduced(values), _prime_power_table(at, len(values)))
+    low, high = np.zeros(len(values) + 1, np.uint64), np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(terms & _LOW32, out=low[1:])
+    np.cumsum(terms >> _32, out=high[1:])
+    sums = _reduced(_times_2_32(_reduced(high)) + _reduced(low))
+    back = _prime_power_table(pow(at, -1, int(_PRIME)), len(values) + 1)
+
+    def hashes(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        between = _product(_reduced(sums[hi] + _PRIME - sums[lo]), back[lo])
+        return mix(between ^ ((hi - lo).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+
+    return hashes
+
+
 class Grams:
     """Hashes of word sequences within a slice."""
 
@@ -139,7 +207,8 @@ class Grams:
         self.words = len(word_hash)
         self.begin = np.repeat(first_words[:-1], np.diff(first_words))  # of the text of each word
         self.end = np.repeat(first_words[1:], np.diff(first_words))
-        self.hash_range = _range_sums(word_hash)
+        self.word_hash = word_hash
+        self.hash_range = sequence_hasher(word_hash)
 
     def starts(self, n: int) -> np.ndarray:
         """Words at which n words of one text begin."""
@@ -149,6 +218,13 @@ class Grams:
     def hashes(self, at: np.ndarray, n: int) -> np.ndarray:
         return self.hash_range(at, at + n)
 
+    @property
+    def second(self):
+        """A hash of word ranges independent of ``hash_range``."""
+        if not hasattr(self, "_second"):
+            self._second = sequence_hasher(self.word_hash, 1)
+        return self._second
+
 
 def winnow(grams: Grams, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """The k-gram that each window of ``window`` words selects: its smallest hash.

@@ -9,6 +9,7 @@ distinct code point at a time, so its Unicode version decides.
 
 from __future__ import annotations
 
+import heapq
 import json
 from functools import lru_cache
 
@@ -18,6 +19,7 @@ from treelens.llm import arrays
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _UNKNOWN = range(5)
 _NO_RANK = np.iinfo(np.int64).max
+LONG_SEQUENCE = 512
 #: Second and third letters of the contractions that follow an apostrophe (fixed values).
 _SHORT_ENDINGS, _LONG_ENDINGS = "stmd", ("re", "ve", "ll")
 
@@ -151,8 +153,85 @@ def merge(vocab: Vocabulary, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.
     """Token ids of byte sequences laid end to end, and how many each has.
 
     Every round applies to each sequence all occurrences of its lowest-ranked pair, left to
-    right; sequences without a ranked pair leave the arrays.
+    right. Sequences up to ``LONG_SEQUENCE`` bytes are merged together as ragged arrays, longer
+    ones by themselves with linked places.
     """
+    long = np.flatnonzero(lengths > LONG_SEQUENCE)
+    if not len(long):
+        return _merge_ragged(vocab, flat, lengths)
+    first = np.cumsum(lengths) - lengths
+    short = np.flatnonzero(lengths <= LONG_SEQUENCE)
+    ids, counts = _merge_ragged(vocab, arrays.ragged_take(flat, first[short], lengths[short]), lengths[short])
+    parts = dict(zip(long.tolist(), (_merge_linked(vocab, flat[first[i] : first[i] + lengths[i]]) for i in long.tolist())))
+    out_counts = np.zeros(len(lengths), np.int64)
+    out_counts[short] = counts
+    out_counts[long] = [len(parts[i]) for i in long.tolist()]
+    out = np.zeros(int(out_counts.sum()), np.int64)
+    at = np.cumsum(out_counts) - out_counts
+    out[np.repeat(at[short] - (np.cumsum(counts) - counts), counts) + np.arange(len(ids))] = ids
+    for i, part in parts.items():
+        out[at[i] : at[i] + len(part)] = part
+    return out, out_counts
+
+
+def _every_second(at: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Of runs of places each of which follows the one before, the first, third and so on."""
+    run = np.maximum.accumulate(np.where(~follows, np.arange(len(at)), 0))
+    return at[(np.arange(len(at)) - run) % 2 == 0]
+
+
+def _merge_linked(vocab: Vocabulary, flat: np.ndarray) -> np.ndarray:
+    """Ids of one sequence. A round costs the places of its rank, not the length of the sequence.
+
+    Places are kept by the rank of the pair that begins there, and neighbours are linked. A
+    place that has changed since is found by ranking its pair again.
+    """
+    n = len(flat)
+    ids = np.append(vocab.byte_id[flat], -1)
+    after, before = np.arange(1, n + 2), np.arange(-1, n)  # the end mark is place n
+    alive = np.ones(n + 1, bool)
+    alive[n] = False
+    waiting: dict[int, list[np.ndarray]] = {}
+    queue: list[int] = []
+
+    def ranked(at: np.ndarray) -> np.ndarray:
+        right = after[at]
+        return np.where(alive[at] & (right < n), vocab.ranks(ids[at], np.maximum(ids[np.minimum(right, n)], 0)), _NO_RANK)
+
+    def wait(at: np.ndarray) -> None:
+        rank = ranked(at)
+        at, rank = at[rank != _NO_RANK], rank[rank != _NO_RANK]
+        order = np.argsort(rank, kind="stable")
+        at, rank = at[order], rank[order]
+        begins = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if len(rank) else []
+        for lo, hi in zip(begins, [*begins[1:], len(rank)]):
+            key = int(rank[lo])
+            if key not in waiting:
+                waiting[key] = []
+                heapq.heappush(queue, key)
+            waiting[key].append(at[lo:hi])
+
+    wait(np.arange(n))
+    while queue:
+        rank = heapq.heappop(queue)
+        at = np.unique(np.concatenate(waiting.pop(rank)))
+        at = at[ranked(at) == rank]
+        if not len(at):
+            continue
+        at = _every_second(at, np.concatenate([[False], at[1:] == after[at[:-1]]]))
+        right = after[at]
+        ids[at] = vocab.merged[rank]
+        alive[right] = False
+        after[at] = after[right]
+        inner = after[at] < n
+        before[after[at][inner]] = at[inner]
+        left = before[at]
+        wait(np.unique(np.concatenate([at, left[left >= 0]])))
+    return ids[:n][alive[:n]]
+
+
+def _merge_ragged(vocab: Vocabulary, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences without a ranked pair leave the arrays."""
     ids = vocab.byte_id[flat]
     owner = np.repeat(np.arange(len(lengths)), lengths)
     counts = np.zeros(len(lengths), np.int64)
@@ -170,10 +249,7 @@ def merge(vocab: Vocabulary, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.
         hit = ~over & (rank == np.repeat(least, size))
         # In a run of overlapping occurrences every second one counts.
         at = np.flatnonzero(hit)
-        fresh = np.ones(len(at), bool)
-        fresh[1:] = at[1:] != at[:-1] + 1
-        run = np.maximum.accumulate(np.where(fresh, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - run) % 2 == 0]
+        at = _every_second(at, np.concatenate([[False], at[1:] == at[:-1] + 1])) if len(at) else at
         ids[at] = vocab.merged[rank[at]]
         stay = ~over
         stay[at + 1] = False
@@ -184,6 +260,10 @@ def merge(vocab: Vocabulary, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.
     return ids, counts
 
 
-def distinct_ranges(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each distinct byte range, one place where it stands, and the number of it for each range."""
-    return np.unique(arrays.range_hashes(data, begins, ends), return_index=True, return_inverse=True)
+def distinct_ranges(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Each distinct byte range, one place where it stands, and the number of it for each range."""
+    raw, numbers = data.tobytes(), {}
+    number = np.fromiter((numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(begins.tolist(), ends.tolist())), np.int64, len(begins))
+    where = np.zeros(len(numbers), np.int64)
+    where[number[::-1]] = np.arange(len(number))[::-1]
+    return list(numbers), where, number

@@ -5,8 +5,8 @@ merged over, so wherever it occurs the encoding is certain to be cut. Pre-tokens
 split there, every distinct fragment is encoded on its own, and the ids are
 concatenated. Decoding lays the bytes of the ids end to end.
 
-Fragments are remembered per task by their 64-bit hash until ``REMEMBERED_IDS`` ids are
-held; then the memory starts anew.
+Fragments are remembered per task by their bytes until ``REMEMBERED_IDS`` ids or bytes are
+held; then the memory starts anew. Texts and fragments of any length are encoded whole.
 """
 
 from __future__ import annotations
@@ -19,19 +19,21 @@ from pyspark.sql import DataFrame, functions as F
 
 from treelens.llm import arrays, bpe, frames
 
-REMEMBERED_IDS = 4_000_000
+REMEMBERED_IDS = 8_000_000
 
 
 class _Fragments:
-    """Ids of known fragments: a dictionary from hash to number, and ragged arrays."""
+    """Ids of known fragments: a dictionary from bytes to number, and ragged arrays."""
 
     def __init__(self):
-        self.number: dict[int, int] = {}
+        self.number: dict[bytes, int] = {}
+        self.size = 0
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int64)
 
-    def add(self, hashes: list[int], ids: np.ndarray, counts: np.ndarray) -> None:
-        self.number.update(zip(hashes, range(len(self.length), len(self.length) + len(counts))))
+    def add(self, fragments: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.number.update(zip(fragments, range(len(self.length), len(self.length) + len(counts))))
+        self.size += max(len(ids), sum(map(len, fragments)))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(counts) - counts])
         self.length = np.concatenate([self.length, counts])
         self.ids = np.concatenate([self.ids, ids])
@@ -53,12 +55,11 @@ def _encode_slice(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.
     ends = np.append(fragments[1:], len(data))
     code = np.full(len(fragments), -1, np.int64)
     code[np.searchsorted(fragments, begins)] = special
-    hashes, where, number = bpe.distinct_ranges(data, fragments, ends)
+    listed, where, number = bpe.distinct_ranges(data, fragments, ends)
     memory = _memory.setdefault(path, _Fragments())
-    if len(memory.ids) > REMEMBERED_IDS:
+    if memory.size > REMEMBERED_IDS:
         memory = _memory[path] = _Fragments()
-    listed = hashes.tolist()
-    known = np.fromiter((memory.number.get(h, -1) for h in listed), np.int64, len(listed))
+    known = np.fromiter((memory.number.get(f, -1) for f in listed), np.int64, len(listed))
     new = np.flatnonzero(known < 0)
     if len(new):
         at, length = fragments[where[new]], (ends - fragments)[where[new]]

@@ -26,26 +26,32 @@ from pyspark.sql import DataFrame, functions as F
 from treelens.llm import arrays, frames
 
 SEED_WORDS = 5
-_CANDIDATE = "array<struct<fingerprint: bigint, window: bigint, at: bigint, length: bigint>>"
-_ARROW = pa.struct([("fingerprint", pa.int64()), ("window", pa.int64()), ("at", pa.int64()), ("length", pa.int64())])
+_CANDIDATE = "array<struct<fingerprint: bigint, at: bigint, length: bigint, words: string>>"
+_ARROW = pa.struct([("fingerprint", pa.int64()), ("at", pa.int64()), ("length", pa.int64()), ("words", pa.string())])
 
 
 def _fingerprints(data, offsets, window: int, k: int, short_lengths, whole_only: bool):
-    """First words of texts and, for all windows, fingerprint, window hash, start, length.
+    """First words of texts, for all windows fingerprint, start and length, and a function spelling windows.
 
     ``whole_only``: windows under ``window`` words count only as a whole text.
     """
     starts, ends, first = arrays.word_bounds(data, offsets, arrays.NOT_ALPHANUMERIC)
-    grams = arrays.Grams(arrays.range_hashes(data, starts, ends), first)
+    grams = arrays.Grams(arrays.word_hashes(data, starts, ends), first)
     at, chosen = arrays.winnow(grams, k, window)
-    parts = [(grams.hashes(chosen, k), grams.hashes(at, window), at, np.full(len(at), window))]
+    parts = [(grams.hashes(chosen, k), at, np.full(len(at), window))]
     for n in short_lengths:
         at = grams.starts(n)
         if whole_only:
             at = at[(at == grams.begin[at]) & (at + n == grams.end[at])]
-        h = grams.hashes(at, n)
-        parts.append((h, h, at, np.full(len(at), n)))
-    return first, [np.concatenate(p) for p in zip(*parts)]
+        parts.append((grams.hashes(at, n), at, np.full(len(at), n)))
+    raw = data.tobytes()
+
+    def spelled(at: np.ndarray, n: np.ndarray) -> pa.Array:
+        """The words of windows with one blank between; cutting at ASCII bytes keeps them valid UTF-8."""
+        spans = [(starts[i : i + m].tolist(), ends[i : i + m].tolist()) for i, m in zip(at.tolist(), n.tolist())]
+        return pa.array([b" ".join(raw[a:b] for a, b in zip(*span)) for span in spans], pa.binary()).cast(pa.string())
+
+    return first, [np.concatenate(p) for p in zip(*parts)], spelled
 
 
 def _item_rows(window: int, k: int):
@@ -53,11 +59,11 @@ def _item_rows(window: int, k: int):
         for batch in batches:
             ids = batch.column("item_id")
             for begin, data, offsets in arrays.slices(*arrays.text_bytes(batch.column("text"))):
-                first, (seed, h, at, n) = _fingerprints(arrays.lower(data), offsets, window, k, range(1, window), True)
+                first, (seed, at, n), spelled = _fingerprints(arrays.lower(data), offsets, window, k, range(1, window), True)
                 owner = np.searchsorted(first, at, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(arrays.signed(seed)), pa.array(arrays.signed(h)), pa.array(n), ids.take(pa.array(owner + begin))],
-                    names=["fingerprint", "window", "length", "item_id"],
+                    [pa.array(arrays.signed(seed)), pa.array(n), spelled(at, n), ids.take(pa.array(owner + begin))],
+                    names=["fingerprint", "length", "words", "item_id"],
                 )
 
     return rows
@@ -67,17 +73,18 @@ def _candidates(window: int, k: int, lengths, bits):
     def scan(text: pa.Array) -> pa.Array:
         counts, sizes, found = [], [], []
         for _, data, offsets in arrays.slices(*arrays.text_bytes(text)):
-            first, columns = _fingerprints(arrays.lower(data), offsets, window, k, lengths, False)
+            first, columns, spelled = _fingerprints(arrays.lower(data), offsets, window, k, lengths, False)
             hit = np.flatnonzero(frames.maybe_in(bits, columns[0]))
-            seed, h, at, n = (c[hit] for c in columns)
+            seed, at, n = (c[hit] for c in columns)
             owner = np.searchsorted(first, at, side="right") - 1
             order = np.lexsort((n, at))
             counts.append(np.diff(first))
             sizes.append(np.bincount(owner, minlength=len(first) - 1))
-            found.append((arrays.signed(seed[order]), arrays.signed(h[order]), (at - first[owner])[order], n[order]))
+            numbers = (arrays.signed(seed[order]), (at - first[owner])[order], n[order])
+            found.append([*map(pa.array, numbers), spelled(at[order], n[order])])
         if not counts:
-            counts, sizes, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [(np.zeros(0, np.int64),) * 4]
-        rows = pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], fields=list(_ARROW))
+            counts, sizes, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [[pa.array([], f.type) for f in _ARROW]]
+        rows = pa.StructArray.from_arrays([pa.concat_arrays(c) for c in zip(*found)], fields=list(_ARROW))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(ends), rows)
         return pa.StructArray.from_arrays([pa.array(np.concatenate(counts), pa.int64()), lists], names=["n_words", "found"])
@@ -85,6 +92,18 @@ def _candidates(window: int, k: int, lengths, bits):
     return scan
 
 
+def _merged(spans: pa.Array) -> pa.Array:
+    """Sorted spans of each row, those that touch made one."""
+    out = []
+    for value in spans:
+        start, end = (np.asarray(value.values.field(i), np.int64) for i in (0, 1))
+        reach = np.maximum.accumulate(end)
+        begins = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]]))
+        lasts = np.append(begins[1:], len(start)) - 1
+        out.append([{"start": a, "end": b} for a, b in zip(start[begins].tolist(), reach[lasts].tolist())])
+    return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
+
+
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10, seed_words: int = SEED_WORDS, keep=None) -> DataFrame:
     """Which words of which documents occur in the benchmark.
 
@@ -101,7 +120,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, seed_word
     added = ("n_words", "n_hit", "n_items", "items", "hits", "row")
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
     benchmark = frames.stored(
-        items.mapInArrow(_item_rows(window, seed_words), "fingerprint bigint, window bigint, length bigint, item_id string").distinct()
+        items.mapInArrow(_item_rows(window, seed_words), "fingerprint bigint, length bigint, words string, item_id string").distinct()
     )
     lengths = sorted(r[0] for r in benchmark.filter(F.col("length") < window).select("length").distinct().collect())  # window - 1 at most
     bits = docs.sparkSession.sparkContext.broadcast(frames.bitmap(benchmark, "fingerprint"))
@@ -113,21 +132,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, seed_word
     scanned = frames.stored(scanned.select(*names_kept, "row", "scan.n_words", "scan.found"))
 
     found = scanned.filter(F.size("found") > 0).select("row", F.explode("found").alias("f")).select("row", "f.*")
-    known = benchmark.select("fingerprint", "window", "length").distinct()
-    hits = frames.stored(found.join(known, ["fingerprint", "window", "length"]))
+    known = benchmark.select("fingerprint", "length", "words").distinct()
+    hits = frames.stored(found.join(known, ["fingerprint", "length", "words"]))
     step = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("length")).alias("end"))
     spans = hits.groupBy("row").agg(F.array_sort(F.collect_list(step)).alias("spans"))  # at most one per word and length
     names = (
-        hits.select("row", "window", "length").distinct()
-        .join(benchmark.select("window", "length", "item_id").filter("item_id is not null").distinct(), ["window", "length"])
+        hits.select("row", "length", "words").distinct()
+        .join(benchmark.select("length", "words", "item_id").filter("item_id is not null").distinct(), ["length", "words"])
         .groupBy("row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
     )
-    merged = F.expr(
-        "aggregate(spans, cast(array() as array<struct<start: bigint, end: bigint>>), (acc, x) -> "
-        "CASE WHEN size(acc) > 0 AND x.start <= acc[size(acc) - 1].end THEN "
-        "concat(slice(acc, 1, size(acc) - 1), array(named_struct('start', acc[size(acc) - 1].start, 'end', greatest(acc[size(acc) - 1].end, x.end)))) "
-        "ELSE concat(acc, array(x)) END)"
-    )
+    merged = F.arrow_udf(_merged, "array<struct<start: bigint, end: bigint>>")("spans")
     facts = spans.select("row", merged.alias("hits")).join(names, "row", "left")
     out = scanned.drop("found").join(facts, "row", "left")
     covered = F.expr("aggregate(hits, 0L, (n, x) -> n + x.end - x.start)")

@@ -17,6 +17,10 @@ the unions of overlapping repeated windows, so each has at least ``window`` word
 3. Keep. Each document gets the contexts and windows that a smaller document has; their
    words are merged into maximal repeats.
 
+Words are equal by their 64-bit XXH3; sequences by two independent hashes modulo 2**61 - 1,
+one of the anchor and one of the window or context around it, 122 bits together. Anchors
+bring few sequences together, so chance makes no two of them equal at any size of corpus.
+
 Everything is keyed by content and ``doc_id``: rows that repeat a ``doc_id`` are judged
 each by its own text and do not count as smaller than one another.
 """
@@ -35,7 +39,7 @@ SEED_WORDS = 16
 def _anchors(data, offsets, window: int, k: int):
     """Words, first words of texts, anchors, their bounds of extension, and windows with their anchors."""
     starts, ends, first = arrays.word_bounds(data, offsets, arrays.WHITE_SPACE)
-    grams = arrays.Grams(arrays.range_hashes(data, starts, ends), first)
+    grams = arrays.Grams(arrays.word_hashes(data, starts, ends), first)
     at, chosen = arrays.winnow(grams, k, window)
     mark = np.zeros(grams.words + 1, bool)
     mark[chosen] = True
@@ -43,7 +47,7 @@ def _anchors(data, offsets, window: int, k: int):
     low = np.maximum(anchors - (window - k), grams.begin[anchors])
     high = np.minimum(anchors + window, grams.end[anchors])
     # The place of the anchor in its context is part of the context.
-    context = arrays.mix(grams.hash_range(low, high) + (anchors - low).astype(np.uint64))
+    context = arrays.mix(grams.second(low, high) + (anchors - low).astype(np.uint64))
     return starts, ends, first, grams, at, chosen, anchors, low, high, context
 
 
@@ -76,10 +80,12 @@ def _window_rows(window: int, k: int):
                     lo, hi = bounds[i], bounds[i + 1]
                     wanted = np.asarray(asked[begin + i].values, dtype=np.int64).view(np.uint64)
                     open_anchor[anchors[lo:hi][np.isin(context[lo:hi], wanted)]] = True
-                at = at[open_anchor[chosen]]
+                wanted = open_anchor[chosen]
+                at, chosen = at[wanted], chosen[wanted]
                 owner = np.searchsorted(first, at, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(arrays.signed(grams.hashes(at, window))), ids.take(pa.array(owner + begin))], names=["window", "doc_id"]
+                    [pa.array(arrays.signed(grams.hashes(chosen, k))), pa.array(arrays.signed(grams.second(at, at + window))), ids.take(pa.array(owner + begin))],
+                    names=["anchor", "window", "doc_id"],
                 )
 
     return rows
@@ -114,7 +120,7 @@ def _keep(window: int, k: int):
                         np.add.at(steps, low[j][hit] - first[i], 1)
                         np.add.at(steps, high[j][hit] - first[i], -1)
                         own_at = at[by_window[i] : by_window[i + 1]]
-                        hit = np.isin(grams.hashes(own_at, window), other)
+                        hit = np.isin(grams.second(own_at, own_at + window), other)
                         np.add.at(steps, own_at[hit] - first[i], 1)
                         np.add.at(steps, own_at[hit] + window - first[i], -1)
                         covered = np.concatenate([[False], np.cumsum(steps)[:-1] > 0, [False]])
@@ -168,9 +174,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, seed_words: int = SEED_WOR
     settled = settled.groupBy("doc_id").agg(F.collect_set("context").alias("contexts"))
     open_ = contexts.filter("n_contexts > 1").groupBy(F.col("least").alias("doc_id")).agg(F.collect_set("context").alias("contexts"))
 
-    windows = frames.stored(known.join(open_, "doc_id").mapInArrow(_window_rows(window, seed_words), "window bigint, doc_id bigint"))
-    first = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    covered = windows.join(first, "window").filter("doc_id > least").groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
+    windows = frames.stored(known.join(open_, "doc_id").mapInArrow(_window_rows(window, seed_words), "anchor bigint, window bigint, doc_id bigint"))
+    first = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+    covered = windows.join(first, ["anchor", "window"]).filter("doc_id > least").groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
 
     return (
         docs.join(settled, "doc_id", "left")

@@ -2,9 +2,9 @@
 
 Pre-tokens of a batch are held as one ragged numpy array; each round merges the
 lowest-ranked pair of every sequence at once, and the symbols that survive are
-counted. Distinct pre-tokens are merged once per task and remembered by their 64-bit
-hash, up to ``REMEMBERED`` of them (then the memory starts anew), so memory does not
-grow with the corpus.
+counted. Distinct pre-tokens are merged once per task and remembered by their bytes, up to
+``REMEMBERED`` of them (then the memory starts anew) and none of over ``LONGEST`` bytes, so
+memory does not grow with the corpus. Texts and pre-tokens of any length are counted whole.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from treelens.llm import arrays, bpe, frames
 
-REMEMBERED = 500_000
-_known: dict[str, dict[int, int]] = {}
+REMEMBERED, LONGEST = 500_000, 256
+_known: dict[str, dict[bytes, int]] = {}
 
 
 def _count(path: str):
@@ -27,16 +27,16 @@ def _count(path: str):
         for _, data, offsets in arrays.slices(*arrays.text_bytes(text)):
             begins, special, first = bpe.pre_tokens(vocab, data, offsets)
             ends = np.append(begins[1:], len(data))
-            hashes, where, number = bpe.distinct_ranges(data, begins, ends)
+            words, where, number = bpe.distinct_ranges(data, begins, ends)
             known = _known.setdefault(path, {})
-            sizes = np.fromiter((known.get(h, 0) for h in hashes.tolist()), np.int64, len(hashes))
+            sizes = np.fromiter((known.get(w, 0) for w in words), np.int64, len(words))
             new = np.flatnonzero(sizes == 0)
             if len(new):
                 at, length = begins[where[new]], (ends - begins)[where[new]]
                 sizes[new] = bpe.merge(vocab, arrays.ragged_take(data, at, length), length)[1]
                 if len(known) > REMEMBERED:
                     known.clear()
-                known.update(zip(hashes[new].tolist(), sizes[new].tolist()))
+                known.update((words[i], n) for i, n in zip(new.tolist(), sizes[new].tolist()) if len(words[i]) <= LONGEST)
             each = np.where(special >= 0, 1, sizes[number])
             total = np.concatenate([[0], np.cumsum(each)])
             n_tokens.append(np.diff(total[first]))
