@@ -115,16 +115,20 @@ def _rows(text: pa.Array) -> pa.Array:
 def train(docs: DataFrame, ratings: DataFrame, n_grades: int, sample_rows: int = 6000, sample_chars: int = 20_000) -> Model:
     """Train on ``ratings (doc_id, grade)``, grades 0 to n_grades - 1, outside the held-out fold.
 
-    At most ``sample_rows`` documents of at most ``sample_chars`` characters, those with the
-    smallest text hashes, reach the driver, as hashed features. Null or unknown grades,
-    texts and ids are no examples; of several grades of a document the lowest counts.
+    At most ``sample_rows`` different texts of at most ``sample_chars`` characters, those with
+    the smallest hashes, reach the driver, as hashed features. Null or unknown grades, texts
+    and ids are no examples; a text counts once, with the lowest grade of any of its copies.
+    Without any example all texts get what the thresholds give.
     """
     marks = ratings.filter(F.col("grade").between(0, n_grades - 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(F.col("grade").cast("int")).alias("_grade"))
     rows = docs.select("doc_id", "text").filter("text is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     rows = rows.filter(F.length("text") <= sample_chars).withColumn("_order", F.xxhash64("text"))
-    chosen = rows.select("doc_id", "_order").join(marks, "doc_id").orderBy("_order", "doc_id").limit(sample_rows)
+    # Choosing needs no text: grades and hashes meet first, then the chosen texts are read.
+    chosen = rows.select("doc_id", "_order").join(marks, "doc_id").groupBy("_order").agg(F.min("doc_id").alias("doc_id"), F.min("_grade").alias("_grade"))
+    chosen = chosen.orderBy("_order").limit(sample_rows)
     picked = rows.join(F.broadcast(chosen), ["doc_id", "_order"])
-    found = picked.select(F.arrow_udf(_rows, "buckets array<bigint>, words bigint")("text").alias("x"), "_grade").select("x.*", "_grade").limit(sample_rows).toArrow()
+    found = picked.select(F.arrow_udf(_rows, "buckets array<bigint>, words bigint")("text").alias("x"), "_grade", "_order")
+    found = found.dropDuplicates(["_order"]).orderBy("_order").select("x.*", "_grade").toArrow()
     bags = [np.asarray(v.values, np.int64) for c in found["buckets"].chunks for v in c]
     return fit(bags, np.asarray(found["words"], np.int64), np.asarray(found["_grade"], np.int64), n_grades)
 
