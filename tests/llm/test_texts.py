@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 from treelens.llm import bpe_codec, decontamination, pii, quality, token_counts, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -63,6 +65,17 @@ def test_base_spans_equal_plain_patterns(make):
         assert {tuple(s) for s in got[i].base} <= {tuple(s) for s in got[i].spans}
 
 
+def test_very_many_matches_in_one_text(make):
+    """Cost grows with the matches; loose spans beside as many base spans."""
+    n = 20_000
+    text = " ".join(f"a{i}@b.cc 10.0.{i % 256}.{i % 99} x" for i in range(n))
+    begin = time.time()
+    row = pii.find_personal_data(make([text, "a@b.cc"])).orderBy("doc_id").first()
+    assert time.time() - begin < 60
+    want = [(k, m.start(), m.end()) for k, p in PATTERNS.items() for m in re.finditer(p, text) if passes(k, m.group())]
+    assert len(want) >= 2 * n and [(pii.KINDS[s.kind], s.start, s.end) for s in row.base] == want
+
+
 def test_no_candidates_at_all(make):
     assert [tuple(r) for r in pii.find_personal_data(make(["plain", None])).select("base", "spans").collect()] == [([], [])] * 2
 
@@ -114,11 +127,29 @@ def test_quality_on_held_out_labels(spark):
     assert told.a > 0.97
 
 
+def graded(words, count, seed):
+    """Different texts that share some words."""
+    rng = random.Random(seed)
+    return [" ".join([*words, *("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(4))]) for _ in range(count)]
+
+
 def test_quality_edges(spark, make):
-    docs = make([None, "", "one two"] + ["good text here"] * 30 + ["### ### ###"] * 30)
-    grades = spark.createDataFrame([(i, 2 if i < 33 else 0) for i in range(3, 63)] + [(1, None), (2, 9)], "doc_id long, grade int")
-    model = quality.train(docs, grades, 3)
-    got = {r.doc_id: r for r in quality.rate(docs, model).collect()}
-    assert list(model.thresholds) == sorted(model.thresholds) and got[5].kept and not got[40].kept
+    docs = make([None, "", "one two"] + graded(["good", "text", "here"], 60, 1) + graded(["###", "##"], 60, 2))
+    grades = spark.createDataFrame([(i, 2 if i < 63 else 0) for i in range(3, 123)] + [(1, None), (2, 9)], "doc_id long, grade int")
+    clash = docs.withColumn("expected_grade", F.lit("x")).withColumn("kept", F.lit(1)).withColumn("tail_probability", F.lit(None).cast("string"))
+    model = quality.train(clash, grades, 3)
+    got = {r.doc_id: r for r in quality.rate(clash, model).collect()}
+    assert list(model.thresholds) == sorted(model.thresholds) and got[5].kept and not got[80].kept
     assert got[0].expected_grade == got[1].expected_grade
-    assert quality.rate(docs, quality.train(docs, grades.limit(0), 3)).count() == 63
+    assert quality.rate(docs, quality.train(docs, grades.limit(0), 3)).count() == 123
+    assert quality.rate(make([]), model).count() == 0 and quality.train(make([]), grades, 3).weight.max() == 0
+
+
+def test_quality_predicts_the_middle_grade(spark, make):
+    kinds = [["###", "##"], ["fair", "plain"], ["good", "text"]]
+    texts = [t for i, k in enumerate(kinds) for t in graded(k, 120, i)]
+    docs = make(texts)
+    grades = spark.createDataFrame([(i, i // 120) for i in range(360)], "doc_id long, grade int")
+    rows = quality.rate(docs, quality.train(docs, grades, 3), keep_from=2).collect()
+    assert all(round(r.expected_grade) == r.doc_id // 120 for r in rows)
+    assert all(r.kept == (r.doc_id >= 240) for r in rows)

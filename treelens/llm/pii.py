@@ -49,6 +49,7 @@ _SPAN = (
     "struct<kind: int, start: bigint, end: bigint, loose: boolean, v0: int, v1: int, v2: int, v3: int,"
     " f0: int, f1: int, f2: int, f3: int, f4: int>"
 )
+_BLOCK = 256
 _N_VOTES, _N_FEATURES = 4, 5
 
 
@@ -113,19 +114,46 @@ def _span(kind: int, loose: bool, x: Column, start: Column) -> Column:
     return F.struct(*(v.alias(k) for k, v in fields.items())).cast(_SPAN)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _blocks(items: Column) -> Column:
+    """An array as an array of runs of up to ``_BLOCK``; none of an empty one."""
+    numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / _BLOCK).cast("int"))
+    return F.transform(F.when(F.size(items) > 0, numbers).otherwise(F.array().cast("array<int>")), lambda b: F.slice(items, b * _BLOCK + 1, F.lit(_BLOCK)))
+
+
+def _sums(lengths: Column) -> Column:
+    """Total and the sums before each of a few lengths. The list grows by copying, so it must stay short."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("total"), F.array().cast("array<bigint>").alias("before"))
+    return F.aggregate(lengths, zero, lambda acc, n: F.struct((acc["total"] + n).alias("total"), F.concat(acc["before"], F.array(acc["total"])).alias("before")))
+
+
+def _places(lengths: Column) -> Column:
+    """The sum before each length, block by block: an array of n costs about n * (_BLOCK + n / _BLOCK) copies of numbers."""
+
+    def shifted(blocks: Column) -> Column:
+        before = _sums(F.transform(blocks, lambda b: b["total"]))["before"]
+        return F.flatten(F.zip_with(blocks, before, lambda b, n: F.transform(b["before"], lambda x: x + n)))
+
+    return _let(lengths, lambda all_: _let(F.transform(_blocks(all_), _sums), shifted))
+
+
 def _located(kind: int, loose: bool, matches: Column, pieces: Column) -> Column:
     """Spans of the matches; runs of digits too short or long for a card are passed over."""
     inner = F.zip_with(matches, F.slice(pieces, 2, F.size(matches)), lambda m, a: F.struct(m.alias("value"), a.alias("after")))
     rows = F.zip_with(F.slice(pieces, 1, F.size(matches)), inner, lambda b, x: F.struct(b.alias("before"), x["value"].alias("value"), x["after"].alias("after")))
 
-    def step(acc, x):
-        start = acc["at"] + F.length(x["before"])
-        plausible = F.length(_digits(x["value"])).between(13, 19) if kind == 2 else F.lit(True)
-        found = F.when(plausible, F.concat(acc["found"], F.array(_span(kind, loose, x, start)))).otherwise(acc["found"])
-        return F.struct((start + F.length(x["value"])).alias("at"), found.alias("found"))
+    def spans(rows: Column) -> Column:
+        places = _places(F.transform(rows, lambda x: (F.length(x["before"]) + F.length(x["value"])).cast("bigint")))
+        placed = F.zip_with(rows, places, lambda x, at: F.struct(x.alias("x"), (at + F.length(x["before"])).alias("start")))
+        if kind == 2:
+            placed = F.filter(placed, lambda p: F.length(_digits(p["x"]["value"])).between(13, 19))
+        return F.transform(placed, lambda p: _span(kind, loose, p["x"], p["start"]))
 
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{_SPAN}>").alias("found"))
-    return F.aggregate(rows, zero, step, lambda acc: acc["found"])
+    return F.when(F.size(matches) > 0, _let(rows, spans)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -223,7 +251,16 @@ def find_personal_data(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     bare = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))
     base = F.transform(F.filter("spans", lambda s: ~s["loose"] & (s["v0"] == 1)), bare)
     marked = scanned.select("doc_id", "spans", base.alias("base"))
-    loose = F.filter("spans", lambda s: s["loose"] & (score(s) >= threshold) & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
+    likely = F.transform(F.filter("spans", lambda s: s["loose"] & (score(s) >= threshold)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    overlap = lambda b, s: (b["start"] < s["end"]) & (s["start"] < b["end"])
+
+    def apart(block: Column) -> Column:
+        """Loose spans of a block, sorted by start, that overlap no base span; only base spans near the block are compared with each."""
+        reach = F.struct(F.get(block, F.lit(0))["start"].alias("start"), F.array_max(F.transform(block, lambda s: s["end"])).alias("end"))
+        near = _let(reach, lambda r: F.filter("base", lambda b: overlap(b, r)))
+        return _let(near, lambda n: F.filter(block, lambda s: ~F.exists(n, lambda b: overlap(b, s))))
+
+    loose = _let(F.array_sort(likely), lambda all_: F.flatten(F.transform(_blocks(all_), apart)))
     return marked.select("doc_id", "base", F.array_sort(F.concat("base", F.transform(loose, bare))).alias("spans"))
 
 
