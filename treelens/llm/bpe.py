@@ -261,9 +261,18 @@ def _merge_ragged(vocab: Vocabulary, flat: np.ndarray, lengths: np.ndarray) -> t
 
 
 def distinct_ranges(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Each distinct byte range, one place where it stands, and the number of it for each range."""
-    raw, numbers = data.tobytes(), {}
-    number = np.fromiter((numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(begins.tolist(), ends.tolist())), np.int64, len(begins))
-    where = np.zeros(len(numbers), np.int64)
-    where[number[::-1]] = np.arange(len(number))[::-1]
-    return list(numbers), where, number
+    """Each distinct byte range, one place where it stands, and the number of it for each range.
+
+    Ranges are brought together by a hash, and then compared byte by byte; should the hash join
+    different ones, a dictionary tells them apart.
+    """
+    raw = data.tobytes()
+    _, where, number = np.unique(arrays.range_hashes(data, begins, ends), return_index=True, return_inverse=True)
+    length, same = ends - begins, where[number]
+    equal = (length == length[same]).all()
+    if not equal or (arrays.ragged_take(data, begins, length) != arrays.ragged_take(data, begins[same], length)).any():
+        numbers: dict[bytes, int] = {}
+        number = np.fromiter((numbers.setdefault(raw[a:b], len(numbers)) for a, b in zip(begins.tolist(), ends.tolist())), np.int64, len(begins))
+        where = np.zeros(len(numbers), np.int64)
+        where[number[::-1]] = np.arange(len(number))[::-1]
+    return [raw[a:b] for a, b in zip(begins[where].tolist(), ends[where].tolist())], where, number

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from treelens.llm import arrays, bpe, frames
 
-REMEMBERED_IDS = 8_000_000
+REMEMBERED_IDS = 2_000_000
 
 
 class _Fragments:
