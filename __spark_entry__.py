@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: E402
 import oracles  # noqa: E402
 import treelens as tl  # noqa: E402
 from treelens.functions import paths as P, text as T  # noqa: E402
-from treelens.sources.corpus import code_files, conversations, documents, moderated_code_files, pages  # noqa: E402
+from treelens.sources.corpus import code_files, conversations, documents, moderated_code_files, pages, varied_files  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,50 @@ def _on_code(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(code_files(spark, sf_dir))
 
 
+def _scopes(c: DataFrame) -> DataFrame:
+    """What a caller may name in every tree."""
+    named = ["src", "src/mod0.ts", ".", "./docs/../lib", "gone", "src/mod", "conf/env7/.env", ".ssh/key", "node_modules/pkg6", "../x", "/src"]
+    return c.select("tree_id").distinct().select("tree_id", F.explode(F.array(*map(F.lit, named))).alias("path"))
+
+
+def _unsupported(c: DataFrame) -> DataFrame:
+    rows = _with_reasons(tl.with_unsupported(tl.files_coverage(c), c))
+    return rows.withColumn("unsupported_languages", _counts("unsupported_languages"))
+
+
+def _counts(name: str):
+    return F.array_join(F.transform(F.array_sort(F.map_entries(name)), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+
+
+def _outline_report(c: DataFrame) -> DataFrame:
+    rows = tl.outline_report(c, max_files=15, max_directories=7, sample=10)
+    facts = [F.col(f"snapshot.{n}") for n in ("fingerprint_kind", "fingerprint_scope", "complete")]
+    facts += [F.col(f"coverage.{n}") for n in ("candidate_files", "skipped_secret", "skipped_generated", "partial")]
+    paths = F.array_join(F.transform("files_sample", lambda x: x["path"]), ",").alias("sample")
+    return rows.select("tree_id", "fingerprint", paths, "inventory_limit_reached", *facts, _joined("coverage.reasons").alias("reasons"))
+
+
+def _map_report(c: DataFrame) -> DataFrame:
+    rows = tl.map_report(c, max_listed_symbols=6, **LEDGER_LIMITS)
+    facts = [F.col(f"coverage.{n}") for n in ("scanned_files", "bytes_scanned", "line_limit_reached", "symbol_limit_reached", "byte_limit_reached", "partial")]
+    names = F.array_join(F.transform("symbols", lambda x: F.concat_ws(":", x["path"], x["line"].cast("string"), x["name"])), ",").alias("symbols")
+    return rows.select(
+        "tree_id", "total_files", "symbol_fingerprint", "symbols_limit_reached", F.col("snapshot.fingerprint").alias("fingerprint"),
+        F.col("snapshot.complete").alias("complete"), names, *facts, _joined("coverage.reasons").alias("reasons"),
+        _counts("coverage.unsupported_languages").alias("unsupported_languages"),
+    )
+
+
+def _map_flags(c: DataFrame) -> DataFrame:
+    rows = tl.corpus_map(c, max_listed_files=40, max_listed_directories=30, max_listed_per_role=4, max_listed_symbols=45)
+    flags = [f"{n}_limit_reached" for n in ("files", "directories", "symbols", "manifests", "ci", "docs", "tests")]
+    return rows.select("tree_id", "total_files", *flags, *(F.size(n).cast("bigint").alias(f"n_{n}") for n in ("files", "manifests", "ci", "docs", "tests", "symbols")))
+
+
+def _on_varied(build: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(varied_files(spark, sf_dir))
+
+
 def _joined(column: str):
     return F.array_join(column, ",")
 
@@ -101,10 +145,17 @@ def _hash_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.read_ranges(c, _range_requests(c.drop("content").join(docs, "doc_id"), F.col("sha")))
 
 
+BATCH_LIMITS = dict(max_ranges=20, max_total_lines=60, max_total_bytes=20000)
+LEDGER_LIMITS = dict(max_bytes_per_file=3000, max_total_bytes=20000, max_total_lines=60)
+
+
+def _batch_requests(c: DataFrame) -> DataFrame:
+    return _range_requests(c).withColumn("batch_id", F.col("tree_id")).withColumn("seq", F.col("request_id"))
+
+
 def _batch(c: DataFrame) -> DataFrame:
-    requests = _range_requests(c).withColumn("batch_id", F.col("tree_id")).withColumn("seq", F.col("request_id"))
     rank = F.row_number().over(tl_window("batch_id", "seq"))
-    answers = tl.read_batch(c, requests, max_total_lines=60, max_total_bytes=20000)
+    answers = tl.read_batch(c, _batch_requests(c), **BATCH_LIMITS)
     return answers.withColumn("seq", rank.cast("bigint")).drop("batch_id")
 
 
@@ -150,7 +201,7 @@ def _plan(c: DataFrame) -> DataFrame:
 
 
 def _budgeted(c: DataFrame) -> DataFrame:
-    rows = tl.budgeted_search(c, "the", _plan(c), max_matches=SEARCH_LIMITS["max_matches"])
+    rows = tl.budgeted_search(c, "the", tl.plan_cuts(_plan(c)), max_matches=SEARCH_LIMITS["max_matches"])
     return rows.select(*MATCH, "rank", "match_limit_reached")
 
 
@@ -160,6 +211,19 @@ def _search_coverage(c: DataFrame) -> DataFrame:
     return _with_reasons(tl.search_coverage(c, plan, matches))
 
 
+def _symbols_coverage(c: DataFrame) -> DataFrame:
+    rows = _with_reasons(tl.symbols_coverage(c, max_symbols=6, **LEDGER_LIMITS))
+    return rows.withColumn("unsupported_languages", _counts("unsupported_languages"))
+
+
+def _related_coverage(c: DataFrame) -> DataFrame:
+    return _with_reasons(tl.related_coverage(c, _entries(c), max_relationships=5, **LEDGER_LIMITS))
+
+
+def _batch_coverage(c: DataFrame) -> DataFrame:
+    return _with_reasons(tl.batch_coverage(c, _batch_requests(c), **BATCH_LIMITS))
+
+
 def _sources(c: DataFrame) -> DataFrame:
     """Every source file as a target."""
     return tl.kept(c).filter(P.role("path") == "source").select("tree_id", "path")
@@ -217,6 +281,17 @@ def _snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.diff_files(tl.content_hashes(before), tl.content_hashes(after))
 
 
+def _snapshot_diff_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before, after = (tl.content_hashes(c) for c in _later_hashes(spark, sf_dir))
+    changed = tl.changed_directories(tl.directory_fingerprint(before), tl.directory_fingerprint(after))
+    return tl.diff_files(before, after, changed)
+
+
+def _snapshot_diff_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    before, after = (tl.content_hashes(c) for c in _later_hashes(spark, sf_dir))
+    return tl.diff_changed_trees(before, after, tl.fingerprint_of_hashes(before), tl.fingerprint_of_hashes(after))
+
+
 def _snapshot(c: DataFrame) -> DataFrame:
     report = tl.read_coverage(c, max_bytes_per_file=COVERAGE_LIMIT)
     prints = tl.content_fingerprint(tl.within_size(c, COVERAGE_LIMIT))
@@ -269,6 +344,8 @@ def queries() -> dict[str, Query]:
         "relative_paths": _on_code(_relative),
         "path_validation": _on_code(_path_requests),
         "directories": _on_code(lambda c: tl.directories(c, tl.DEFAULT_POLICY)),
+        "scope_status": _on_code(lambda c: tl.scope_status(c, _scopes(c))),
+        "capped_inventory": _on_code(lambda c: tl.capped_inventory(c, max_files=15, max_directories=7)),
         "inventory_cap": _on_code(lambda c: tl.cap_files(c, 15)),
         "dir_cap": _on_code(lambda c: tl.cap_dirs(c, 7)),
         # text
@@ -301,6 +378,7 @@ def queries() -> dict[str, Query]:
         "symbols_topk": _on_code(lambda c: tl.symbols(c, max_per_tree=12)),
         "symbols_budgeted": _on_code(lambda c: tl.budgeted_symbols(c, max_total_bytes=20000, max_total_lines=60)),
         "unsupported_languages": _on_code(tl.unsupported_languages),
+        "with_unsupported": _on_code(_unsupported),
         # imports and relations
         "import_edges": _on_code(tl.import_edges),
         "direct_imports": _on_code(lambda c: tl.direct_imports(tl.import_edges(c), _sources(c))),
@@ -316,6 +394,10 @@ def queries() -> dict[str, Query]:
         ),
         "related_topk": _on_code(lambda c: tl.related(c, _entries(c), max_per_target=6)),
         "related_grouped": _on_code(_related_grouped),
+        "related_grouped_capped": _on_code(
+            lambda c: tl.grouped_related(tl.related(c, _entries(c)), 2).withColumn("paths", _joined("paths"))
+        ),
+        "budgeted_imports": _on_code(lambda c: tl.budgeted_imports(c, _entries(c), **LEDGER_LIMITS)),
         # roll-ups
         "language_counts": _on_code(tl.language_counts),
         "role_counts": _on_code(tl.role_counts),
@@ -326,6 +408,7 @@ def queries() -> dict[str, Query]:
         # budgets
         "budget_bytes_prefix": _on_code(lambda c: tl.byte_prefix(tl.inventory(c), 20000)),
         "budget_bytes_greedy": _on_code(lambda c: tl.byte_greedy(tl.inventory(c), 20000)),
+        "scan_budget": _on_code(lambda c: tl.scan_budget(tl.file_facts(c), 20000, 60)),
         "budget_lines_prefix": _on_code(lambda c: tl.line_prefix(tl.file_facts(c), 100)),
         # fingerprints, snapshots, coverage
         "metadata_fingerprint": _on_code(lambda c: tl.metadata_fingerprint(tl.inventory(c))),
@@ -340,9 +423,29 @@ def queries() -> dict[str, Query]:
         "files_coverage": _on_code(lambda c: _with_reasons(tl.files_coverage(c, max_files=15, max_directories=7))),
         "read_coverage": _on_code(lambda c: _with_reasons(tl.read_coverage(c, max_bytes_per_file=COVERAGE_LIMIT))),
         "merge_coverage": _on_code(_merged),
+        "symbols_coverage": _on_code(_symbols_coverage),
+        "related_coverage": _on_code(_related_coverage),
+        "batch_coverage": _on_code(_batch_coverage),
+        "directory_fingerprint": _on_code(lambda c: tl.directory_fingerprint(tl.content_hashes(c))),
+        "snapshot_diff_pruned": _snapshot_diff_pruned,
+        "snapshot_diff_trees": _snapshot_diff_trees,
+        # files of every branch: symbol kinds, import forms, line ends, BOM, binary content, names shared by many files
+        "varied_classify": _on_varied(_classified),
+        "varied_decode": _on_varied(lambda c: tl.decode(c).select("tree_id", "path", "refusal", "encoding")),
+        "varied_lines": _on_varied(tl.file_lines),
+        "varied_symbols": _on_varied(tl.symbols),
+        "varied_imports": _on_varied(tl.import_edges),
+        "varied_search": _on_varied(lambda c: tl.search(c, "import", max_matches=4)),
+        "varied_coverage": _on_varied(lambda c: _with_reasons(tl.read_coverage(c))),
+        "likely_tests_capped": _on_varied(lambda c: tl.likely_tests(tl.kept(c), _sources(c), max_per_target=2)),
+        "same_basename_capped": _on_varied(lambda c: tl.same_basename(tl.kept(c), _sources(c), max_per_target=3)),
+        "siblings_capped": _on_varied(lambda c: tl.siblings(tl.kept(c), _sources(c), max_per_target=2)),
         # reports
         "outline": _on_code(_outline),
         "corpus_map": _on_code(_map),
+        "corpus_map_flags": _on_code(_map_flags),
+        "outline_report": _on_code(_outline_report),
+        "map_report": _on_code(_map_report),
     } | _llm()[0]
 
 

@@ -115,6 +115,31 @@ code0 AS (SELECT doc_id, lang, tree_id,
 code AS (SELECT *, strlen(content) AS size FROM code0)"""
 KEPT = CODE + f""",
 kept AS (SELECT * FROM code WHERE ({policy_class('path')}) IS NULL)"""
+CONTROL = "length(content) - length(regexp_replace(content, '[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'))"
+REFUSAL = f"CASE WHEN contains(content, chr(0)) THEN 'binary' WHEN {CONTROL} > 8 AND ({CONTROL}) / greatest(1, strlen(content)) > 0.05 THEN 'control-heavy' END"
+VARIED = f"""b AS (SELECT source AS tree_id, doc_id // 20 AS n, CAST(doc_id // 20 % 10 AS INT) AS r, text FROM documents),
+k AS (SELECT *, CAST(n AS VARCHAR) AS s, CAST(n-1 AS VARCHAR) AS s1, CAST(n-2 AS VARCHAR) AS s2, CAST(n-9 AS VARCHAR) AS s9, chr(13) || chr(10) AS crlf, chr(10) AS lf FROM b),
+code0 AS (SELECT tree_id,
+  CASE r WHEN 0 THEN concat('web/a',s,'/index.ts') WHEN 1 THEN concat('web/a',s1,'/part.ts') WHEN 2 THEN concat('lib/k',s,'/index.js')
+    WHEN 3 THEN concat('svc/Main',s,'.java') WHEN 4 THEN concat('bin/blob',s,'.ts') WHEN 5 THEN concat('bin/ctrl',s,'.TXT')
+    WHEN 6 THEN concat('Notes/Bom',s,'.MD') WHEN 7 THEN concat('src/contest',s,'.py') WHEN 8 THEN concat('.GitHub/workflows/x',s,'.YML')
+    ELSE concat('test/a',s9,'/index.test.ts') END AS path,
+  concat(CASE r
+    WHEN 0 THEN concat('export interface Shape',s,' {{}}',crlf,'export type Alias',s,' = string',crlf,'export enum Color',s,' {{ A }}',crlf,
+      'import type x from "./part"',crlf,'export {{ y }} from "../a',s,'/part"',crlf,'import a,',crlf,'  {{ b }} from "./part.ts"',crlf)
+    WHEN 1 THEN concat('const z = require( "./index" )',lf,'import("../missing")',lf,'import w from "./"',lf,'abstract class Part',s,' {{}}',lf)
+    WHEN 2 THEN concat('import q from "../../web/a',s2,'"',lf,'export * from "../../../outside"',lf,'async function go',s,' () {{}}',lf)
+    WHEN 3 THEN concat('public record Point',s,'(int x) {{}}',lf,'enum Kind',s,' {{ A }}',lf,'interface Api',s,' {{}}',lf,'  protected static int go',s,
+      ' (int a) {{ return new Foo(a); }}',lf,'// class Hidden',lf)
+    WHEN 4 THEN concat('class Gone',s,' {{}}',lf,'import g from "./gone"',lf,chr(0),lf)
+    WHEN 5 THEN concat(repeat(chr(1), 20),substr(text, 1, 100),lf,lf)
+    WHEN 6 THEN concat(chr(65279),'# title',crlf,'lone',chr(13),'return',crlf)
+    WHEN 7 THEN concat('async  def run',s,' (self):',lf,'# class Comment',lf,chr(160),'class Wide',s,':',lf)
+    WHEN 9 THEN concat('import i from "../../web/a',s9,'/index"',lf,'import "./index.test"',lf) ELSE '' END, CASE WHEN r = 5 THEN '' ELSE text END) AS content FROM k),
+code AS (SELECT *, strlen(content) AS size FROM code0),
+kept AS (SELECT * FROM code WHERE ({policy_class('path')}) IS NULL),
+readable AS (SELECT *, CASE WHEN starts_with(content, chr(65279)) THEN substr(content, 2) ELSE content END AS body FROM kept WHERE ({REFUSAL}) IS NULL)"""
+BODY_LINES = "string_split_regex(body, '\r?\n')"
 LATER = CODE + f""",
 later0 AS (SELECT c.doc_id, c.tree_id, c.path, CASE WHEN l.quality = 0 THEN concat(c.content, 'edited') ELSE c.content END AS content
   FROM code c LEFT JOIN labels l USING (doc_id) WHERE coalesce(l.toxic, 0) = 0),
@@ -221,13 +246,13 @@ def normalized(p):
     return f"list_reduce({parts}, lambda acc, x: {step}, '')"
 
 
-def edges() -> str:
+def edges(before=KEPT, table="kept") -> str:
     found = ", ".join(f"regexp_extract_all(content, {regex(p)}, 1)" for p in IMPORTS)
     exts = list(K.RESOLVE_EXTENSIONS)
     candidates = ["base", *(f"concat(base, '{e}')" for e in exts), *(f"concat(base, '/index{e}')" for e in exts)]
-    return f"""{KEPT},
+    return f"""{before},
       imp AS (SELECT DISTINCT tree_id, path AS from_path, {language('path')} AS language, sha256(content) AS source_sha256,
-        unnest(flatten([{found}])) AS specifier FROM kept WHERE {language('path')} IN ({quoted(K.IMPORT_LANGUAGES)})),
+        unnest(flatten([{found}])) AS specifier FROM {table} WHERE {language('path')} IN ({quoted(K.IMPORT_LANGUAGES)})),
       norm AS (SELECT *, {normalized(f"concat({dirname('from_path')}, '/', specifier)")} AS base FROM imp),
       cand AS (SELECT *, unnest([{', '.join(candidates)}]) AS cpath, unnest(range(0, {len(candidates)})) AS pos FROM norm),
       best AS (SELECT c.tree_id, c.from_path, c.specifier, arg_min(c.cpath, c.pos) AS to_path
@@ -301,6 +326,51 @@ def coverage_row(values: dict[str, str], reasons: str, source: str) -> str:
     return f"SELECT tree_id, {counters}, {flags}, {reasons} AS reasons, {values['coverage_partial']} AS partial FROM {source}"
 
 
+def budget_run(where: str, p: str = "") -> str:
+    """``granted``: files of 20,000 bytes, taken in order where they fit, and n, the lines left of 60; names start with ``p``."""
+    return f"""{p}o AS (SELECT tree_id, path, content, size, len({NUMBERED}) AS n_lines, row_number() OVER (PARTITION BY tree_id ORDER BY path) AS rn FROM kept WHERE {where}),
+      {p}run AS (SELECT tree_id, CAST(0 AS BIGINT) AS rn, CAST(20000 AS BIGINT) AS room, false AS taken FROM (SELECT DISTINCT tree_id FROM {p}o)
+        UNION ALL SELECT o.tree_id, o.rn, CASE WHEN o.size <= r.room THEN r.room - o.size ELSE r.room END, o.size <= r.room
+        FROM {p}run r JOIN {p}o o ON o.tree_id = r.tree_id AND o.rn = r.rn + 1),
+      {p}taken AS (SELECT o.*, sum(n_lines) OVER (PARTITION BY o.tree_id ORDER BY o.rn ROWS UNBOUNDED PRECEDING) - n_lines AS lines_before
+        FROM {p}o o JOIN {p}run r ON r.tree_id = o.tree_id AND r.rn = o.rn WHERE r.taken),
+      {p}granted AS (SELECT *, 60 - lines_before AS n FROM {p}taken WHERE lines_before < 60)"""
+
+
+def ledger(files: str, flag: str, reason: str, found: str) -> str:
+    """A scan of ``files(tree_id, path, size, n_lines, hits, scans, rn)`` step by step, folded per tree into ``covered``.
+
+    Limits are 3,000 bytes a file, 20,000 bytes, 60 lines and, where ``hits`` are counted, 6 of them.
+    """
+    reasons = f"""array_to_string(list_filter([CASE WHEN large > 0 THEN 'maxBytesPerFile' END, CASE WHEN {flag} THEN '{reason}' END,
+      CASE WHEN over > 0 THEN 'maxTotalBytes' END, CASE WHEN line_limit_reached THEN 'maxTotalLines' END], lambda r: r IS NOT NULL), ',')"""
+    same = {n: n for n in ("candidate_files", "scanned_files", "bytes_scanned", "skipped_secret", "skipped_generated", "line_limit_reached", flag)}
+    part = f"large > 0 OR over > 0 OR line_limit_reached OR {flag}"
+    row = coverage_row({**same, "byte_limit_reached": "large > 0 OR over > 0", "coverage_partial": part}, reasons, "per")
+    return f"""o AS ({files}),
+      run AS (SELECT tree_id, CAST(0 AS BIGINT) AS rn, CAST(20000 AS BIGINT) AS room, CAST(0 AS BIGINT) AS used, CAST(0 AS BIGINT) AS n_hits, CAST('' AS VARCHAR) AS ev,
+          false AS cut, false AS many FROM (SELECT DISTINCT tree_id FROM o)
+        UNION ALL SELECT tree_id, rn, CASE WHEN ev = 'read' THEN room - size ELSE room END, CASE WHEN ev = 'read' THEN used + g ELSE used END,
+          CASE WHEN ev = 'read' THEN n_hits + h ELSE n_hits END, ev, ev = 'dry' OR (ev = 'read' AND g < n_lines), ev = 'read' AND n_hits + h > 6
+        FROM (SELECT r.tree_id, o.rn, r.room, r.used, r.n_hits, o.size, o.n_lines, least(o.n_lines, 60 - r.used) AS g,
+            len(list_filter(o.hits, lambda x: x <= 60 - r.used)) AS h,
+            CASE WHEN NOT o.scans THEN 'other' WHEN r.used >= 60 THEN 'dry' WHEN o.size > 3000 THEN 'large' WHEN o.size > r.room THEN 'over' ELSE 'read' END AS ev
+          FROM run r JOIN o ON o.tree_id = r.tree_id AND o.rn = r.rn + 1 WHERE NOT r.cut AND NOT r.many)),
+      met AS (SELECT o.*, r.ev, r.cut, r.many FROM run r JOIN o USING (tree_id, rn)),
+      {found}per AS (SELECT t.tree_id,
+        (SELECT count(*) FROM kept k WHERE k.tree_id = t.tree_id) AS candidate_files,
+        (SELECT count(*) FROM pruned p WHERE p.tree_id = t.tree_id AND policy_class = 'secret') AS skipped_secret,
+        (SELECT count(*) FROM pruned p WHERE p.tree_id = t.tree_id AND policy_class = 'generated') AS skipped_generated,
+        (SELECT count(*) FROM met m WHERE m.tree_id = t.tree_id AND ev = 'read') AS scanned_files,
+        (SELECT coalesce(sum(size), 0) FROM met m WHERE m.tree_id = t.tree_id AND ev = 'read') AS bytes_scanned,
+        (SELECT count(*) FROM met m WHERE m.tree_id = t.tree_id AND ev = 'large') AS large,
+        (SELECT count(*) FROM met m WHERE m.tree_id = t.tree_id AND ev = 'over') AS over,
+        (SELECT coalesce(bool_or(cut), false) FROM met m WHERE m.tree_id = t.tree_id) AS line_limit_reached,
+        (SELECT coalesce(bool_or(many), false) FROM {'found_many' if found else 'met'} m WHERE m.tree_id = t.tree_id) AS {flag}
+        FROM (SELECT DISTINCT tree_id FROM code) t),
+      covered AS ({row})"""
+
+
 def queries() -> dict[str, str]:
     sql: dict[str, str] = {}
     page = f"WITH {CODE}"
@@ -328,9 +398,8 @@ def queries() -> dict[str, str]:
         CASE WHEN starts_with(path, '/') THEN 'absolute-path' WHEN norm = '..' OR starts_with(norm, '../') THEN 'outside-tree' END AS path_error FROM n"""
     sql["directories"] = f"{page}, {WALK} SELECT tree_id, directory FROM dirs"
     # text
-    control = "length(content) - length(regexp_replace(content, '[\\x01-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'))"
     sql["decode_status"] = f"""WITH {DOCS} SELECT tree_id, path,
-      CASE WHEN contains(content, chr(0)) THEN 'binary' WHEN {control} > 8 AND ({control}) / greatest(1, strlen(content)) > 0.05 THEN 'control-heavy' END AS refusal,
+      {REFUSAL} AS refusal,
       CASE WHEN starts_with(content, chr(65279)) THEN 'utf-8-bom' ELSE 'utf-8' END AS encoding FROM docs"""
     sql["content_sha256"] = f"{keep} SELECT tree_id, path, size, sha256(content) AS sha256 FROM kept"
     sql["page_sha256"] = f"WITH {PAGES} SELECT tree_id, path, size, sha256(content) AS sha256 FROM docs"
@@ -356,7 +425,7 @@ def queries() -> dict[str, str]:
     sql["read_ranges"] = f"{page}, {ranges('CAST(NULL AS VARCHAR)')} {answers('judged', 'wanted')}"
     sql["read_ranges_hash_check"] = f"""{page.replace('WITH ', 'WITH ')}, code1 AS (SELECT c.*, d.text FROM code c JOIN documents d USING (doc_id)),
       {ranges('upper(sha256(text))').replace('FROM code)', 'FROM code1)')} {answers('judged', 'wanted')}"""
-    sql["read_batch"] = f"""WITH RECURSIVE {CODE}, {ranges('CAST(NULL AS VARCHAR)')},
+    batch = f"""WITH RECURSIVE {CODE}, {ranges('CAST(NULL AS VARCHAR)')},
       seqd AS (SELECT *, row_number() OVER (PARTITION BY tree_id ORDER BY request_id) AS rn, count(*) OVER (PARTITION BY tree_id) > 20 AS more FROM judged),
       first20 AS (SELECT * FROM seqd WHERE rn <= 20),
       run AS (
@@ -369,8 +438,18 @@ def queries() -> dict[str, str]:
         FROM run r JOIN first20 f ON f.tree_id = r.tree_id AND f.rn = r.rn + 1),
       served AS (SELECT f.* EXCLUDE (status), r.st2 AS status, r.granted,
         r.st2 = 'line-limit-reached' OR (r.st2 = 'ok' AND r.granted < f.wanted) AS line_limit_reached, f.more AS result_limit_reached
-        FROM first20 f JOIN run r ON r.tree_id = f.tree_id AND r.rn = f.rn)
-      {answers('served', 'granted', ', line_limit_reached, result_limit_reached, rn AS seq')}"""
+        FROM first20 f JOIN run r ON r.tree_id = f.tree_id AND r.rn = f.rn)"""
+    sql["read_batch"] = f"{batch} {answers('served', 'granted', ', line_limit_reached, result_limit_reached, rn AS seq')}"
+    reasons = """array_to_string(list_filter([CASE WHEN result_limit_reached THEN 'maxBatchRanges' END, CASE WHEN byte_limit_reached THEN 'maxTotalBytes' END,
+      CASE WHEN line_limit_reached THEN 'maxTotalLines' END], lambda r: r IS NOT NULL), ',')"""
+    per_batch = {n: n for n in ("scanned_files", "bytes_scanned", "skipped_unreadable", "result_limit_reached", "line_limit_reached", "byte_limit_reached")}
+    part = "skipped_unreadable > 0 OR result_limit_reached OR line_limit_reached OR byte_limit_reached"
+    sql["batch_coverage"] = f"""{batch}, per AS (SELECT tree_id, count(*) FILTER (WHERE status = 'ok') AS scanned_files,
+        coalesce(sum(size) FILTER (WHERE status = 'ok'), 0) AS bytes_scanned, count(*) FILTER (WHERE starts_with(status, 'refused-')) AS skipped_unreadable,
+        bool_or(result_limit_reached) AS result_limit_reached, bool_or(line_limit_reached) AS line_limit_reached,
+        bool_or(status = 'byte-limit-reached') AS byte_limit_reached FROM served GROUP BY tree_id),
+      covered AS ({coverage_row({**per_batch, "coverage_partial": part}, reasons, "per")})
+      SELECT tree_id AS batch_id, * EXCLUDE (tree_id) FROM covered"""
     # search
     sql["search_lines"] = f"WITH {KEPT}, {search('kept', 'token')} SELECT {MATCH} FROM hits"
     sql["search_excerpt"] = f"WITH {KEPT}, {search('kept', 'the')} SELECT {MATCH} FROM hits"
@@ -435,16 +514,17 @@ def queries() -> dict[str, str]:
       SELECT {SYMBOL}, rank, symbol_limit_reached FROM ranked WHERE rank <= 12"""
     sql["unsupported_languages"] = f"""{keep} SELECT tree_id, {language('path')} AS language, count(*) AS files FROM kept
       WHERE {language('path')} NOT IN ({quoted(K.SYMBOL_LANGUAGES)}) GROUP BY ALL"""
-    allowed = f"""RECURSIVE {KEPT},
-      o AS (SELECT tree_id, path, content, size, len({NUMBERED}) AS n_lines, row_number() OVER (PARTITION BY tree_id ORDER BY path) AS rn
-        FROM kept WHERE {language('path')} IN ({quoted(K.SYMBOL_LANGUAGES)})),
-      run AS (SELECT tree_id, CAST(0 AS BIGINT) AS rn, CAST(20000 AS BIGINT) AS room, false AS taken FROM (SELECT DISTINCT tree_id FROM o)
-        UNION ALL SELECT o.tree_id, o.rn, CASE WHEN o.size <= r.room THEN r.room - o.size ELSE r.room END, o.size <= r.room
-        FROM run r JOIN o ON o.tree_id = r.tree_id AND o.rn = r.rn + 1),
-      taken AS (SELECT o.*, sum(n_lines) OVER (PARTITION BY o.tree_id ORDER BY o.rn ROWS UNBOUNDED PRECEDING) - n_lines AS lines_before
-        FROM o JOIN run r ON r.tree_id = o.tree_id AND r.rn = o.rn WHERE r.taken),
-      granted AS (SELECT *, 60 - lines_before AS n FROM taken WHERE lines_before < 60)"""
+    scripts = f"{language('path')} IN ({quoted(K.SYMBOL_LANGUAGES)})"
+    allowed = f"RECURSIVE {KEPT}, {budget_run(scripts)}"
+    everything = f"RECURSIVE {KEPT}, {budget_run('true')}"
+    sql["scan_budget"] = f"WITH {everything} SELECT tree_id, path, n_lines AS total_lines, CAST(least(n_lines, n) AS BIGINT) AS granted_lines FROM granted"
     sql["symbols_budgeted"] = f"WITH {symbols(allowed, 'granted', NUMBERED + '[1:n]')} SELECT {SYMBOL} FROM symbols"
+    spotted = f"""SELECT k.tree_id, k.path, size, len({NUMBERED}) AS n_lines, coalesce(hits, []) AS hits, {language('path')} AS lang,
+      {language('path')} IN ({quoted(K.SYMBOL_LANGUAGES)}) AS scans, row_number() OVER (PARTITION BY k.tree_id ORDER BY k.path) AS rn
+      FROM kept k LEFT JOIN (SELECT tree_id, path, list(line) AS hits FROM symbols GROUP BY ALL) USING (tree_id, path)"""
+    sql["symbols_coverage"] = f"""WITH RECURSIVE {symbols()}, {WALK}, {ledger(spotted, 'symbol_limit_reached', 'maxSymbols', '')}
+      SELECT c.*, coalesce((SELECT string_agg(concat(lang, '=', n), ',' ORDER BY lang) FROM
+        (SELECT lang, count(*) AS n FROM met m WHERE m.tree_id = c.tree_id AND ev = 'other' GROUP BY lang)), '') AS unsupported_languages FROM covered c"""
     # imports and relations
     sql["import_edges"] = f"WITH {edges()} SELECT tree_id, from_path, specifier, language, source_sha256, to_path FROM edges"
     every = f"WITH {edges()}, {source_targets()}, {relations()} SELECT {RELATION} FROM rel WHERE relationship = "
@@ -455,6 +535,19 @@ def queries() -> dict[str, str]:
     entry = f"WITH {edges()}, {ENTRY}, {relations()}"
     sql["siblings"] = f"{entry} SELECT {RELATION} FROM rel WHERE relationship = 'sibling'"
     sql["related"] = f"{entry} SELECT {RELATION} FROM rel"
+    # An import stands in the first line of its file, so every file that is read keeps it.
+    scanned = f"""SELECT k.tree_id, k.path, size, len({NUMBERED}) AS n_lines, CAST([] AS BIGINT[]) AS hits, {language('k.path')} IN ({quoted(K.IMPORT_LANGUAGES)}) AS scans,
+      row_number() OVER (PARTITION BY k.tree_id ORDER BY k.path IS DISTINCT FROM t.path, k.path) AS rn FROM kept k LEFT JOIN targets t USING (tree_id)"""
+    many = f"""edges AS (SELECT e.* FROM all_edges e JOIN met m ON m.tree_id = e.tree_id AND m.path = e.from_path WHERE ev = 'read'), {relations()},
+      found_many AS (SELECT tree_id, count(*) > 5 AS many FROM rel GROUP BY tree_id), """
+    sql["related_coverage"] = f"""WITH RECURSIVE {edges().replace('edges AS (SELECT i.', 'all_edges AS (SELECT i.')}, {WALK}, {ENTRY},
+      {ledger(scanned, 'relationship_limit_reached', 'maxRelationships', many)} SELECT *, scanned_files AS scanned_import_files FROM covered"""
+    sql["budgeted_imports"] = f"""WITH RECURSIVE {edges().replace('edges AS (SELECT i.', 'all_edges AS (SELECT i.')}, {WALK}, {ENTRY},
+      {ledger(scanned, 'relationship_limit_reached', 'maxRelationships', many)}
+      SELECT tree_id, from_path, specifier, language, source_sha256, to_path FROM edges"""
+    sql["related_grouped_capped"] = f"""{entry}, named AS (SELECT *, dense_rank() OVER (PARTITION BY tree_id, target_path, relationship ORDER BY path) AS place FROM rel)
+      SELECT tree_id, target_path, relationship, count(*) AS relations, max(place) > 2 AS paths_limit_reached,
+        string_agg(DISTINCT path, ',' ORDER BY path) FILTER (WHERE place <= 2) AS paths FROM named GROUP BY tree_id, target_path, relationship"""
     sql["related_filtered"] = f"""{entry} SELECT {RELATION} FROM rel WHERE relationship IN ('direct-import', 'imported-by', 'likely-test')
       AND starts_with(path, 'src') AND lower({extension('path')}) IN ('.ts')"""
     sql["related_topk"] = f"""{entry}, ranked AS (SELECT *, row_number() OVER ({RELATED_ORDER}) AS rank,
@@ -504,6 +597,18 @@ def queries() -> dict[str, str]:
     walk_same = {n: n for n in ("candidate_files", "skipped_secret", "skipped_generated")}
     sql["files_coverage"] = f"{walk_cov} " + coverage_row(
         {**walk_same, "inventory_limit_reached": "reason IS NOT NULL", "coverage_partial": "reason IS NOT NULL"}, "coalesce(reason, '')", "per")
+    sql["capped_inventory"] = walk_cov.split("      per AS (")[0].rstrip().rstrip(",") + """ SELECT k.tree_id, path, size FROM kept k LEFT JOIN cut USING (tree_id)
+      WHERE cut IS NULL OR string_split(path, '/') < cut"""
+    free = walk_cov.replace("LEFT JOIN cut c USING", "LEFT JOIN (SELECT * FROM cut WHERE false) c USING")
+    free_row = coverage_row({**walk_same, "coverage_partial": "false"}, "''", "per")
+    sql["with_unsupported"] = f"""{free}, covered AS ({free_row}) SELECT c.*, coalesce((SELECT string_agg(concat(lang, '=', n), ',' ORDER BY lang) FROM
+      (SELECT {language('path')} AS lang, count(*) AS n FROM kept k WHERE k.tree_id = c.tree_id GROUP BY 1) WHERE lang NOT IN ({quoted(K.SYMBOL_LANGUAGES)})), '') AS unsupported_languages FROM covered c"""
+    named = quoted(["src", "src/mod0.ts", ".", "./docs/../lib", "gone", "src/mod", "conf/env7/.env", ".ssh/key", "node_modules/pkg6", "../x", "/src"])
+    sql["scope_status"] = f"""{page}, asked AS (SELECT tree_id, unnest([{named}]) AS path FROM (SELECT DISTINCT tree_id FROM code)),
+      n AS (SELECT *, CASE WHEN {normalized('path')} = '' THEN '.' ELSE {normalized('path')} END AS clean FROM asked)
+      SELECT tree_id, path, CASE WHEN starts_with(path, '/') THEN 'absolute-path' WHEN clean = '..' OR starts_with(clean, '../') THEN 'outside-tree'
+        WHEN ({policy_class('clean')}) IS NOT NULL THEN 'refused-' || ({policy_class('clean')})
+        WHEN clean = '.' OR EXISTS (FROM code c WHERE c.tree_id = n.tree_id AND (c.path = clean OR starts_with(c.path, concat(clean, '/')))) THEN 'ok' ELSE 'missing' END AS status FROM n"""
     running = "PARTITION BY tree_id ORDER BY path ROWS UNBOUNDED PRECEDING"
     sql["budget_bytes_prefix"] = f"""{keep}, r AS (SELECT tree_id, path, size, CAST(sum(size) OVER ({running}) AS BIGINT) AS bytes_upto FROM kept)
       SELECT * FROM r WHERE bytes_upto <= 20000"""
@@ -572,6 +677,52 @@ def queries() -> dict[str, str]:
     sql["merge_coverage"] = f"""{both}, u AS (SELECT * FROM r UNION ALL SELECT * FROM w)
       SELECT tree_id, {counters}, {flags}, coalesce(string_agg(DISTINCT reasons, ',' ORDER BY reasons) FILTER (WHERE reasons <> ''), '') AS reasons,
         bool_or(partial) AS partial FROM u GROUP BY tree_id"""
+    # files of every branch
+    varied = f"WITH {VARIED}"
+    sql["varied_classify"] = f"""{varied} SELECT tree_id, path, size, {basename('path')} AS basename, {dirname('path')} AS directory, {extension('path')} AS extension,
+      {stem('path')} AS stem, regexp_replace(lower({stem('path')}), '(\\.test|\\.spec|test|spec)$', '') AS test_stem, {language('path')} AS language, {role('path')} AS role FROM code"""
+    sql["varied_decode"] = f"""{varied} SELECT tree_id, path, {REFUSAL} AS refusal, CASE WHEN ({REFUSAL}) IS NULL THEN
+      CASE WHEN starts_with(content, chr(65279)) THEN 'utf-8-bom' ELSE 'utf-8' END END AS encoding FROM code"""
+    sql["varied_lines"] = f"{varied}, {lines_of('readable', lines=BODY_LINES)} SELECT tree_id, path, line_no, line FROM x"
+    sql["varied_symbols"] = f"WITH {symbols(VARIED, 'readable', BODY_LINES)} SELECT {SYMBOL} FROM symbols"
+    varied_edges = edges(VARIED, "readable")
+    sql["varied_imports"] = f"WITH {varied_edges} SELECT tree_id, from_path, specifier, language, source_sha256, to_path FROM edges"
+    capped = f"""WITH {varied_edges}, {source_targets()}, {relations()}, ranked AS (SELECT *, row_number() OVER (PARTITION BY tree_id, target_path, relationship ORDER BY path) AS rank,
+      count(*) OVER (PARTITION BY tree_id, target_path, relationship) AS n FROM rel)"""
+    for name, kind, most in (("likely_tests_capped", "likely-test", 2), ("same_basename_capped", "same-basename", 3), ("siblings_capped", "sibling", 2)):
+        sql[name] = f"{capped} SELECT {RELATION}, rank, n > {most} AS relationship_limit_reached FROM ranked WHERE relationship = '{kind}' AND rank <= {most}"
+    sql["varied_search"] = f"""{varied}, {search('readable', 'import').replace(NUMBERED, BODY_LINES)},
+      ranked AS (SELECT *, row_number() OVER (PARTITION BY tree_id ORDER BY path, line) AS rank, count(*) OVER (PARTITION BY tree_id) > 4 AS match_limit_reached FROM hits)
+      SELECT {MATCH}, rank, match_limit_reached FROM ranked WHERE rank <= 4"""
+    varied_per = f"""{varied}, {WALK}, per AS (SELECT t.tree_id,
+        (SELECT count(*) FROM kept k WHERE k.tree_id = t.tree_id) AS candidate_files,
+        (SELECT count(*) FROM readable k WHERE k.tree_id = t.tree_id) AS scanned_files,
+        (SELECT coalesce(sum(size), 0) FROM readable k WHERE k.tree_id = t.tree_id) AS bytes_scanned,
+        (SELECT count(*) FROM kept k WHERE k.tree_id = t.tree_id AND ({REFUSAL}) IS NOT NULL) AS skipped_unreadable,
+        (SELECT count(*) FROM pruned p WHERE p.tree_id = t.tree_id AND policy_class = 'secret') AS skipped_secret,
+        (SELECT count(*) FROM pruned p WHERE p.tree_id = t.tree_id AND policy_class = 'generated') AS skipped_generated
+        FROM (SELECT DISTINCT tree_id FROM code) t)"""
+    varied_same = {n: n for n in ("candidate_files", "scanned_files", "bytes_scanned", "skipped_unreadable", "skipped_secret", "skipped_generated")}
+    sql["varied_coverage"] = f"{varied_per} " + coverage_row({**varied_same, "coverage_partial": "skipped_unreadable > 0"}, "''", "per")
+    # directories from the deepest level up; no path of the files has more than three directories
+    def directory_prints(before, source, sha):
+        levels, union = [f"f AS (SELECT tree_id, {dirname('path')} AS directory, concat({basename('path')}, chr(9), 'file', chr(9), {sha}) AS entry FROM {source})"], []
+        for depth in (3, 2, 1, 0):
+            here = f"CASE WHEN directory = '.' THEN 0 ELSE len(string_split(directory, '/')) END = {depth}"
+            child = f" UNION ALL SELECT tree_id, {dirname('directory')}, concat({basename('directory')}, chr(9), 'directory', chr(9), fingerprint) FROM d{depth + 1}" if depth < 3 else ""
+            levels.append(f"d{depth} AS (SELECT tree_id, directory, {fingerprint('entry')} AS fingerprint, count(*) AS entries FROM (SELECT tree_id, directory, entry FROM f WHERE {here}{child}) GROUP BY ALL)")
+            union.append(f"SELECT * FROM d{depth}")
+        return f"{before}, {', '.join(levels)}, dirs_of AS ({' UNION ALL '.join(union)})"
+    sql["directory_fingerprint"] = f"WITH {directory_prints(KEPT, 'kept', 'sha256(content)')} SELECT tree_id, directory, fingerprint, entries FROM dirs_of"
+    two = f"""WITH {LATER}, older AS (SELECT tree_id, path, sha256(content) AS before_sha256 FROM kept),
+      newer AS (SELECT tree_id, path, sha256(content) AS after_sha256 FROM later),
+      compared AS (SELECT tree_id, path, before_sha256, after_sha256, CASE WHEN before_sha256 IS NULL THEN 'added' WHEN after_sha256 IS NULL THEN 'removed'
+        WHEN before_sha256 <> after_sha256 THEN 'modified' ELSE 'same' END AS status FROM older FULL JOIN newer USING (tree_id, path)),
+      moved AS (SELECT DISTINCT tree_id, {dirname('path')} AS directory FROM compared WHERE status <> 'same')"""
+    # A directory differs if a file in it or below it does.
+    sql["snapshot_diff_pruned"] = f"""{two} SELECT c.* FROM compared c WHERE EXISTS (FROM moved m WHERE m.tree_id = c.tree_id AND
+      ({dirname('c.path')} = '.' OR m.directory = {dirname('c.path')} OR starts_with(m.directory, concat({dirname('c.path')}, '/'))))"""
+    sql["snapshot_diff_trees"] = f"{two} SELECT c.* FROM compared c WHERE c.tree_id IN (SELECT tree_id FROM moved)"
     # reports
     sql["outline"] = f"""WITH {cap}, listed AS (SELECT k.*, row_number() OVER (PARTITION BY k.tree_id ORDER BY path) AS rank FROM kept k LEFT JOIN cut USING (tree_id)
         WHERE cut IS NULL OR string_split(path, '/') < cut),
@@ -596,4 +747,32 @@ def queries() -> dict[str, str]:
         (SELECT string_agg(concat(path, ':', line, ':', kind, ':', name), ',' ORDER BY path, line, kind, name) FROM
           (SELECT *, row_number() OVER (ORDER BY path, line, kind, name) AS rn FROM symbols s WHERE s.tree_id = t.tree_id) WHERE rn <= {K.MAP_SYMBOLS}) AS symbols
       FROM (SELECT DISTINCT tree_id FROM kept) t"""
+    sql["outline_report"] = f"""{walk_cov}, prints AS (SELECT k.tree_id, {fingerprint(META)} AS fingerprint FROM kept k LEFT JOIN cut USING (tree_id)
+        WHERE cut IS NULL OR string_split(path, '/') <= cut GROUP BY k.tree_id),
+      listed AS (SELECT k.tree_id, path, row_number() OVER (PARTITION BY k.tree_id ORDER BY path) AS rank FROM kept k LEFT JOIN cut USING (tree_id)
+        WHERE cut IS NULL OR string_split(path, '/') < cut)
+      SELECT p.tree_id, r.fingerprint, (SELECT coalesce(string_agg(path, ',' ORDER BY rank), '') FROM listed l WHERE l.tree_id = p.tree_id AND rank <= 10) AS sample,
+        reason IS NOT NULL AS inventory_limit_reached, 'metadata' AS fingerprint_kind, '.' AS fingerprint_scope, reason IS NULL AS complete,
+        candidate_files, skipped_secret, skipped_generated, reason IS NOT NULL AS partial, coalesce(reason, '') AS reasons
+      FROM per p JOIN prints r USING (tree_id)"""
+    sql["map_report"] = f"""WITH RECURSIVE {symbols()}, {WALK}, {ledger(spotted, 'symbol_limit_reached', 'maxSymbols', '')},
+      {budget_run(f"size <= 3000 AND {scripts}", "b")},
+      shown AS (SELECT s.*, row_number() OVER (PARTITION BY s.tree_id ORDER BY s.path, s.line, s.kind, s.name) AS rank FROM symbols s JOIN bgranted g USING (tree_id, path) WHERE s.line <= g.n),
+      prints AS (SELECT tree_id, {fingerprint(META)} AS fingerprint FROM kept GROUP BY tree_id),
+      read_prints AS (SELECT tree_id, sha256(string_agg(concat(path, chr(9), sha256(content), chr(9), chr(0)), '' ORDER BY concat(path, chr(9), sha256(content), chr(9)))) AS symbol_fingerprint
+        FROM bgranted GROUP BY tree_id)
+      SELECT c.tree_id, c.candidate_files AS total_files, coalesce(rp.symbol_fingerprint, sha256('')) AS symbol_fingerprint,
+        (SELECT count(*) FROM shown s WHERE s.tree_id = c.tree_id) > 6 AS symbols_limit_reached, p.fingerprint, NOT c.partial AS complete,
+        (SELECT coalesce(string_agg(concat(path, ':', line, ':', name), ',' ORDER BY rank), '') FROM shown s WHERE s.tree_id = c.tree_id AND rank <= 6) AS symbols,
+        c.scanned_files, c.bytes_scanned, c.line_limit_reached, c.symbol_limit_reached, c.byte_limit_reached, c.partial, c.reasons,
+        coalesce((SELECT string_agg(concat(lang, '=', n), ',' ORDER BY lang) FROM (SELECT lang, count(*) AS n FROM met m WHERE m.tree_id = c.tree_id AND ev = 'other' GROUP BY lang)), '') AS unsupported_languages
+      FROM covered c JOIN prints p USING (tree_id) LEFT JOIN read_prints rp USING (tree_id)"""
+    n_role = lambda r: f"(SELECT count(*) FROM cls c WHERE c.tree_id = t.tree_id AND role = '{r}')"
+    roles = {"manifests": "manifest", "ci": "ci", "docs": "doc", "tests": "test"}
+    sql["corpus_map_flags"] = f"""WITH {symbols()}, {cls},
+      dr AS (SELECT DISTINCT tree_id, array_to_string(string_split(path, '/')[1:least(2, len(string_split(path, '/')) - 1)], '/') AS directory FROM kept WHERE contains(path, '/')),
+      n AS (SELECT t.tree_id, (SELECT count(*) FROM cls WHERE cls.tree_id = t.tree_id) AS total_files, (SELECT count(*) FROM dr WHERE dr.tree_id = t.tree_id) AS n_dirs,
+        (SELECT count(*) FROM symbols s WHERE s.tree_id = t.tree_id) AS n_sym, {", ".join(f"{n_role(r)} AS r_{n}" for n, r in roles.items())} FROM (SELECT DISTINCT tree_id FROM code) t)
+      SELECT tree_id, total_files, total_files > 40 AS files_limit_reached, n_dirs > 30 AS directories_limit_reached, n_sym > 45 AS symbols_limit_reached,
+        {", ".join(f"r_{n} > 4 AS {n}_limit_reached, least(r_{n}, 4) AS n_{n}" for n in roles)}, least(total_files, 40) AS n_files, least(n_sym, 45) AS n_symbols FROM n"""
     return sql

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from treelens import constants as K
 from treelens.functions import paths as P
 from treelens.functions.policy import DEFAULT_POLICY, Policy
+from treelens.operators.cuts import Cuts, cuts_of, within_cuts
 from treelens.operators.imports import relative_imports, resolve_imports
 from treelens.operators.inventory import KEY, kept
 from treelens.operators.reading import file_facts
@@ -66,17 +67,51 @@ def scan_budget(facts: DataFrame, max_total_bytes: int | None = None, max_total_
     return line_prefix(readable, max_total_lines)
 
 
+def scan_cuts(facts: DataFrame, max_total_bytes: int | None = None, max_total_lines: int | None = None) -> Cuts:
+    """``scan_budget`` as cuts."""
+    granted = scan_budget(facts, max_total_bytes, max_total_lines)
+    if "first" in facts.columns:
+        granted = granted.join(small_side(facts.filter("first").select(*KEY, "first")), KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    granted = materialize(granted)
+    return cuts_of(granted, facts.filter(F.col("refusal").isNull()).select(*KEY))
+
+
+def _within(facts: DataFrame, max_bytes_per_file: int | None) -> DataFrame:
+    """A file over the size cap is not read and spends nothing."""
+    return facts if max_bytes_per_file is None else facts.filter(F.col("size") <= max_bytes_per_file)
+
+
+def symbol_cuts(c, max_total_bytes=None, max_total_lines=None, policy: Policy = DEFAULT_POLICY, max_bytes_per_file=None) -> Cuts:
+    """How far a budgeted symbol scan gets in every tree."""
+    files = c.filter(P.language("path").isin(*K.SYMBOL_LANGUAGES))
+    return scan_cuts(materialize(_within(file_facts(files, policy), max_bytes_per_file)), max_total_bytes, max_total_lines)
+
+
 def budgeted_symbols(
     c: DataFrame,
     max_total_bytes: int | None = None,
     max_total_lines: int | None = None,
     policy: Policy = DEFAULT_POLICY,
+    max_bytes_per_file: int | None = None,
     **options,
 ) -> DataFrame:
-    """Symbols of the files and lines that the budgets of each tree allow."""
+    """Symbols of the files and lines that the budgets of each tree allow.
+
+    ``symbols_coverage`` with the same limits tells what was left out and why.
+    """
+    cuts = symbol_cuts(c, max_total_bytes, max_total_lines, policy, max_bytes_per_file)
     files = c.filter(P.language("path").isin(*K.SYMBOL_LANGUAGES))
-    granted = scan_budget(materialize(file_facts(files, policy)), max_total_bytes, max_total_lines)
-    return symbols(_with_grants(files, granted), policy=policy, granted="granted_lines", **options)
+    return symbols(within_cuts(files, cuts), policy=policy, granted="granted_lines", max_bytes_per_file=max_bytes_per_file, **options)
+
+
+def import_facts(c: DataFrame, targets: DataFrame, policy: Policy = DEFAULT_POLICY, max_bytes_per_file: int | None = None) -> DataFrame:
+    """Facts of the files an import scan reads, the target of each tree marked ``first``."""
+    script = F.coalesce(P.language("path").isin(*K.IMPORT_LANGUAGES), F.lit(False))
+    wanted = small_side(targets.select(*KEY, F.lit(True).alias("first")))
+    facts = file_facts(c.filter(script), policy).unionByName(file_facts(c.filter(~script), policy).join(wanted, KEY, "left_semi"))
+    facts = materialize(_within(facts, max_bytes_per_file)).join(wanted, KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
+    # Files of other languages are read, and then count as refused: nothing of them is left to scan.
+    return facts.withColumn("refusal", F.when(script, F.col("refusal")).otherwise("no-imports"))
 
 
 def budgeted_imports(
@@ -85,23 +120,14 @@ def budgeted_imports(
     max_total_bytes: int | None = None,
     max_total_lines: int | None = None,
     policy: Policy = DEFAULT_POLICY,
+    max_bytes_per_file: int | None = None,
 ) -> DataFrame:
     """Resolved imports under budgets, reading the target of each tree first.
 
     ``targets`` holds one file per tree; its imports survive the tightest budget. A target
     in a language without imports spends its bytes, but no lines.
     """
-    script = F.coalesce(P.language("path").isin(*K.IMPORT_LANGUAGES), F.lit(False))
-    files = c.filter(script)
-    wanted = small_side(targets.select(*KEY, F.lit(True).alias("first")))
-    facts = file_facts(files, policy).unionByName(file_facts(c.filter(~script), policy).join(wanted, KEY, "left_semi"))
-    facts = materialize(facts).join(wanted, KEY, "left").withColumn("first", F.coalesce("first", F.lit(False)))
-    # Files of other languages are read, and then count as refused: nothing of them is left to scan.
-    facts = facts.withColumn("refusal", F.when(script, F.col("refusal")).otherwise("no-imports"))
-    granted = scan_budget(facts, max_total_bytes, max_total_lines)
-    found = relative_imports(_with_grants(files, granted), policy, granted="granted_lines")
+    cuts = scan_cuts(import_facts(c, targets, policy, max_bytes_per_file), max_total_bytes, max_total_lines)
+    files = c.filter(F.coalesce(P.language("path").isin(*K.IMPORT_LANGUAGES), F.lit(False)))
+    found = relative_imports(within_cuts(files, cuts), policy, granted="granted_lines", max_bytes_per_file=max_bytes_per_file)
     return resolve_imports(found, kept(c, policy).select(*KEY))
-
-
-def _with_grants(files: DataFrame, granted: DataFrame) -> DataFrame:
-    return files.join(small_side(granted.select(*KEY, "granted_lines")), KEY)

@@ -109,10 +109,11 @@ def search_coverage(
 
 def with_unsupported(coverage: DataFrame, c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """Adds the map language -> files without symbol patterns."""
-    return _with_language_map(coverage, unsupported_languages(c, policy))
+    return with_language_map(coverage, unsupported_languages(c, policy))
 
 
-def _with_language_map(coverage: DataFrame, counts: DataFrame) -> DataFrame:
+def with_language_map(coverage: DataFrame, counts: DataFrame) -> DataFrame:
+    """Adds the map ``unsupported_languages`` of ``counts(tree_id, language, files)``."""
     # One row per tree and language; languages are a fixed short list.
     counts = counts.groupBy("tree_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("language", "files")))).alias("unsupported_languages")
@@ -141,4 +142,4 @@ def merge_coverage(*reports: DataFrame) -> DataFrame:
         return finish(merged, F.col("all_reasons"))
     counts = rows.select("tree_id", F.explode("unsupported_languages").alias("language", "files"))
     counts = counts.groupBy("tree_id", "language").agg(F.sum("files").alias("files"))
-    return _with_language_map(finish(merged, F.col("all_reasons")), counts)
+    return with_language_map(finish(merged, F.col("all_reasons")), counts)

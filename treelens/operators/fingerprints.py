@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from treelens.functions import paths as P
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.inventory import KEY, directories
 from treelens.operators.reading import content_hashes
-from treelens.plans.materialize import materialize
+from treelens.plans.materialize import materialize, measured, small_side
 
 CHUNK_ENTRIES = 100
 
@@ -125,6 +125,52 @@ def layered_fingerprint(hashes: DataFrame) -> DataFrame:
     return rows.select("tree_id", F.col("entry").alias("fingerprint"), F.col("n").alias("entries"))
 
 
+def directory_fingerprint(hashes: DataFrame) -> DataFrame:
+    """``(tree_id, directory, fingerprint, entries)`` of every directory of ``(tree_id, path, sha256)`` rows, '.' for the root.
+
+    A directory's fingerprint is SHA-256 over its sorted entries ``name, kind, hash``, each closed
+    by NUL; the hash of a directory in it is that directory's fingerprint. Equal fingerprints
+    mean equal sub-trees. Levels are hashed from the deepest up, one pass each; the entries of
+    a directory are sorted by ranges and streamed, so one of any size is hashed. File hashes
+    are written once.
+    """
+    place = F.col("path")
+    files = hashes.select("tree_id", P.dirname(place).alias("directory"), F.concat_ws("\t", P.basename(place), F.lit("file"), "sha256").alias("entry"))
+    files = materialize(files.withColumn("depth", _depth("directory")))
+    deepest = files.agg(F.max("depth")).first()[0]
+    levels: list[DataFrame] = []
+    below: DataFrame | None = None
+    for depth in range(deepest if deepest is not None else -1, -1, -1):
+        rows = files.filter(F.col("depth") == depth).select("tree_id", "directory", "entry")
+        if below is not None:
+            entry = F.concat_ws("\t", P.basename("directory"), F.lit("directory"), "fingerprint")
+            rows = rows.unionByName(below.select("tree_id", P.dirname("directory").alias("directory"), entry.alias("entry")))
+        # The directory is part of the key under which entries are sorted and hashed; hexadecimal ids hold no '/'.
+        keyed = rows.select(F.concat(F.hex(F.encode("tree_id", "UTF-8")), F.lit("/"), "directory").alias("tree_id"), "entry")
+        tree = F.decode(F.unhex(F.substring_index("tree_id", "/", 1)), "UTF-8")
+        directory = F.substr("tree_id", F.locate("/", "tree_id") + 1)
+        below = materialize(_fingerprint(keyed).select(tree.alias("tree_id"), directory.alias("directory"), "fingerprint", "entries"))
+        levels.append(below)
+    if not levels:
+        return hashes.sparkSession.createDataFrame([], "tree_id string, directory string, fingerprint string, entries bigint")
+    out = levels[0]
+    for level in levels[1:]:
+        out = out.unionByName(level)
+    return out
+
+
+def _depth(directory: str) -> Column:
+    return F.when(F.col(directory) == ".", 0).otherwise(F.size(F.split(directory, "/")))
+
+
+def changed_directories(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Directories of two ``directory_fingerprint`` frames whose sub-trees differ, with both fingerprints (null: not there)."""
+    key = ["tree_id", "directory"]
+    a = before.select(*key, F.col("fingerprint").alias("before_fingerprint"))
+    b = after.select(*key, F.col("fingerprint").alias("after_fingerprint"))
+    return a.join(b, key, "full_outer").filter(~F.col("before_fingerprint").eqNullSafe(F.col("after_fingerprint")))
+
+
 def content_fingerprint(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
     """Fingerprint over the content hashes of readable files."""
     return fingerprint_of_hashes(content_hashes(c, policy).select(*KEY, "sha256"))
@@ -175,8 +221,17 @@ def verify_snapshot(snapshots: DataFrame, before: DataFrame, after: DataFrame, r
     )
 
 
-def diff_files(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Per file of two ``(tree_id, path, sha256)`` frames: added, removed, modified or same."""
+def diff_files(before: DataFrame, after: DataFrame, changed: DataFrame | None = None) -> DataFrame:
+    """Per file of two ``(tree_id, path, sha256)`` frames: added, removed, modified or same.
+
+    With ``changed``, rows of ``changed_directories``, only files whose directory is among them
+    are compared: equal sub-trees are left out, and so are their files, which are all the same.
+    """
+    if changed is not None:
+        inside = small_side(changed.select("tree_id", F.col("directory").alias("_dir")).distinct())
+        before, after = (
+            side.withColumn("_dir", P.dirname("path")).join(inside, ["tree_id", "_dir"], "left_semi").drop("_dir") for side in (before, after)
+        )
     a = before.select(*KEY, F.col("sha256").alias("before_sha256"))
     b = after.select(*KEY, F.col("sha256").alias("after_sha256"))
     status = (
@@ -186,3 +241,31 @@ def diff_files(before: DataFrame, after: DataFrame) -> DataFrame:
         .otherwise("same")
     )
     return a.join(b, KEY, "full_outer").withColumn("status", status)
+
+
+def write_snapshot(hashes: DataFrame, location: str, mode: str = "error") -> DataFrame:
+    """Store ``(tree_id, path, sha256)`` rows with one folder per tree, and read them back.
+
+    Reading the trees of a list then touches the files of these trees only.
+    """
+    hashes.repartition("tree_id", F.pmod(F.xxhash64("path"), F.lit(16))).write.partitionBy("tree_id").mode(mode).parquet(location)
+    return read_snapshot(hashes.sparkSession, location)
+
+
+def read_snapshot(spark: SparkSession, location: str) -> DataFrame:
+    schema = "path string, sha256 string, tree_id string"
+    return spark.read.schema(schema).parquet(location).select(*KEY, "sha256")
+
+
+def diff_changed_trees(before: DataFrame, after: DataFrame, fingerprints_before: DataFrame, fingerprints_after: DataFrame) -> DataFrame:
+    """``diff_files`` of the trees whose fingerprints differ; of stored snapshots only those trees are read.
+
+    The trees are a broadcast list up to a measured size, and the partitions of a
+    ``write_snapshot`` table are pruned by it while the job runs.
+    """
+    state = F.when(F.col("changed"), "changed").otherwise("same").alias("state")
+    trees, small = measured(compare_snapshots(fingerprints_before, fingerprints_after).select("tree_id", state))
+    # The filter tells the optimizer that the list is worth pruning by.
+    moved = trees.filter(F.col("state") == "changed").select("tree_id")
+    moved = F.broadcast(moved) if small else moved
+    return diff_files(before.join(moved, "tree_id"), after.join(moved, "tree_id"))

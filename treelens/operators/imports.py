@@ -10,16 +10,19 @@ from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.functions.regex import jvm
 from treelens.operators.inventory import KEY, kept
 from treelens.operators.reading import readable
-from treelens.plans.materialize import small_side
+from treelens.plans.materialize import measured
+from treelens.plans.skew import left_join_spread
 
 
-def relative_imports(c: DataFrame, policy: Policy = DEFAULT_POLICY, granted: str | None = None) -> DataFrame:
+def relative_imports(
+    c: DataFrame, policy: Policy = DEFAULT_POLICY, granted: str | None = None, max_bytes_per_file: int | None = None
+) -> DataFrame:
     """Distinct relative specifiers per file: ``(tree_id, from_path, specifier, language, source_sha256)``."""
     lang = P.language("path")
     files = c.filter(lang.isin(*K.IMPORT_LANGUAGES))
     # Every specifier starts with ./ or ../, so other files need no pattern at all.
     files = files.filter(F.contains(F.col("content").cast("string"), F.lit("./")))
-    files = readable(files, policy)
+    files = readable(files, policy, max_bytes_per_file)
     if granted:
         head = F.slice(T.split_lines(F.col("text")), F.lit(1), F.col(granted).cast("int"))
         text = F.array_join(head, "\n")
@@ -97,14 +100,18 @@ def resolution_index(files: DataFrame) -> DataFrame:
 def resolve_imports(imports: DataFrame, files: DataFrame) -> DataFrame:
     """Adds ``to_path`` (null when nothing in the tree answers).
 
-    The index is written and measured first, so a file that most others import does not
-    meet all of them in one task.
+    The index is written and measured first. One that is too large for a broadcast is joined
+    with its hot paths replicated, so a file that most others import does not meet all of them
+    in one task.
     """
-    index = small_side(resolution_index(files))
-    return with_import_path(imports).join(index, ["tree_id", "import_path"], "left").drop("import_path")
+    index, small = measured(resolution_index(files))
+    rows, keys = with_import_path(imports), ["tree_id", "import_path"]
+    if small:
+        return rows.join(F.broadcast(index), keys, "left").drop("import_path")
+    return left_join_spread(rows, index, keys, ["from_path", "specifier"]).drop("import_path")
 
 
-def import_edges(c: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
-    """Import graph of all trees, unresolved specifiers included."""
+def import_edges(c: DataFrame, policy: Policy = DEFAULT_POLICY, max_bytes_per_file: int | None = None) -> DataFrame:
+    """Import graph of all trees, unresolved specifiers included; files over the size cap are not read."""
     files = kept(c, policy).select(*KEY)
-    return resolve_imports(relative_imports(c, policy), files)
+    return resolve_imports(relative_imports(c, policy, max_bytes_per_file=max_bytes_per_file), files)

@@ -77,6 +77,28 @@ def _pruned(c: DataFrame, policy: Policy) -> DataFrame:
     return refused.withColumn("policy_class", reason)
 
 
+def scope_status(c: DataFrame, scopes: DataFrame, policy: Policy = DEFAULT_POLICY) -> DataFrame:
+    """What became of every scope ``(tree_id, path)`` that a caller names.
+
+    ``status`` is 'absolute-path' or 'outside-tree', 'refused-secret' or 'refused-generated' (the
+    scans give no rows then), 'missing' where the tree holds no such file or directory, else 'ok'.
+    """
+    asked = scopes.select("tree_id", "path", P.clean_path("path").alias("clean"), P.path_error("path").alias("error"))
+    asked = small_side(asked)
+    segs = P.segments("path")
+    above = F.transform(F.sequence(F.lit(1), F.size(segs)), lambda i: F.array_join(F.slice(segs, F.lit(1), i), "/"))
+    there = c.select("tree_id", F.explode(F.concat(F.array(F.lit(".")), above)).alias("clean"))
+    there = there.join(asked.select("tree_id", "clean").distinct(), ["tree_id", "clean"], "left_semi").distinct().withColumn("_there", F.lit(True))
+    status = (
+        F.when(F.col("error").isNotNull(), F.col("error"))
+        .when(policy.is_secret("clean"), "refused-secret")
+        .when(policy.is_generated("clean"), "refused-generated")
+        .when(F.col("_there").isNull(), "missing")
+        .otherwise("ok")
+    )
+    return asked.join(there, ["tree_id", "clean"], "left").select("tree_id", "path", status.alias("status"))
+
+
 def walk_cut(
     c: DataFrame,
     policy: Policy = DEFAULT_POLICY,

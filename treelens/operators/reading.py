@@ -8,8 +8,9 @@ from treelens import constants as K
 from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
 from treelens.operators.inventory import KEY, fits, kept
-from treelens.plans.materialize import small_side
-from treelens.plans.ordered import top_per_group
+from treelens.plans.keyset import key_filter
+from treelens.plans.materialize import materialize, measured, small_side
+from treelens.plans.ordered import greedy_fill, running_totals, top_per_group
 
 
 def decode(c: DataFrame) -> DataFrame:
@@ -85,6 +86,8 @@ def read_ranges(
     max_lines, expected_sha256)``; every request gets one row with a ``status``.
 
     ``request_id`` must be unique. ``max_range_lines`` bounds what one request may ask for.
+    Contents stay where they are scanned if the requests are few or the corpus is a table of
+    ``write_corpus``; of another corpus the requested files are shuffled.
     """
     return _answers(_range_rows(c, requests, policy, max_bytes_per_file, max_range_lines), "wanted", ["request_id"])
 
@@ -93,7 +96,7 @@ def read_batch(
     c: DataFrame,
     requests: DataFrame,
     policy: Policy = DEFAULT_POLICY,
-    max_ranges: int = K.MAX_BATCH_RANGES,
+    max_ranges: int | None = None,
     max_total_lines: int | None = None,
     max_total_bytes: int | None = None,
     max_bytes_per_file: int | None = None,
@@ -106,48 +109,52 @@ def read_batch(
     whether more were asked for. A file that does not fit the bytes left is
     skipped, and every read spends bytes even when its content is refused.
     """
-    served = top_per_group(
-        requests, ["batch_id"], [F.col("seq")], max_ranges, ["request_id"], "_rank", "result_limit_reached"
-    ).drop("_rank")
-    rows = _range_rows(c, served, policy, max_bytes_per_file, max_range_lines, ("batch_id", "seq"))
-    # A batch holds at most max_ranges rows, so folding it in one row is bounded.
-    batch = rows.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("seq", F.struct("*").alias("row")))).alias("items"))
-    step_type = "array<struct<status:string,lines:bigint>>"
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("lines"), F.lit(0).cast("bigint").alias("bytes"), F.array().cast(step_type).alias("out")
-    )
-
-    def serve(acc, item):
-        row = item["row"]
-        no_lines = F.lit(False) if max_total_lines is None else acc["lines"] >= max_total_lines
-        reads = row["reads"] & ~no_lines
-        no_bytes = F.lit(False) if max_total_bytes is None else reads & (acc["bytes"] + row["size"] > max_total_bytes)
-        status = F.when(no_lines, "line-limit-reached").when(no_bytes, "byte-limit-reached").otherwise(row["status"])
-        left = row["wanted"] if max_total_lines is None else F.least(row["wanted"], F.lit(max_total_lines) - acc["lines"])
-        ok = status == "ok"
-        granted = F.when(ok, left).otherwise(F.lit(0)).cast("bigint")
-        shown = F.when(ok, F.least(granted, row["total_lines"] - row["start"] + 1)).otherwise(F.lit(0))
-        spent = F.when(reads & ~no_bytes, row["size"]).otherwise(F.lit(0))
-        return F.struct(
-            (acc["lines"] + shown).cast("bigint").alias("lines"),
-            (acc["bytes"] + spent).cast("bigint").alias("bytes"),
-            F.concat(acc["out"], F.array(F.struct(status.alias("status"), granted.alias("lines")))).alias("out"),
-        )
-
-    served_items = F.aggregate("items", start, serve)["out"]
-    joined = batch.select(F.explode(F.arrays_zip(F.col("items").alias("item"), served_items.alias("served"))).alias("x"))
-    flat = joined.select("x.item.row.*", F.col("x.served.status").alias("_status"), F.col("x.served.lines").alias("granted"))
-    flat = flat.withColumn("status", F.col("_status")).withColumn(
-        "line_limit_reached", (F.col("_status") == "line-limit-reached") | ((F.col("_status") == "ok") & (F.col("granted") < F.col("wanted")))
-    )
-    return _answers(flat, "granted", ["batch_id", "seq", "request_id"], ["line_limit_reached", "result_limit_reached"])
+    rows = served_batch(c, requests, policy, max_ranges, max_total_lines, max_total_bytes, max_bytes_per_file, max_range_lines)
+    return _answers(rows, "granted", ["batch_id", "seq", "request_id"], ["line_limit_reached", "result_limit_reached"])
 
 
-def _range_rows(c, requests, policy, max_bytes_per_file, max_range_lines=None, key=("request_id",)):
-    """Requests, told apart by ``key``, with the facts and the selected lines of their files.
+def served_batch(
+    c, requests, policy=DEFAULT_POLICY, max_ranges=None, max_total_lines=None, max_total_bytes=None, max_bytes_per_file=None, max_range_lines=None
+) -> DataFrame:
+    """The requests of ``read_batch`` with file facts, selected lines, ``status``, ``granted`` lines, and the ``limit`` that refused bytes.
 
-    Requests are broadcast while their measured size allows; beyond it the join shuffles
-    the contents of the files. Only the selected lines travel on.
+    The selected lines are written once. Budgets are settled on narrow rows, by ordered
+    passes over a batch of any length.
+    """
+    key = ["batch_id", "seq"]
+    if max_ranges is None:
+        asked = requests.withColumn("result_limit_reached", F.lit(False))
+    else:
+        asked = top_per_group(requests, ["batch_id"], [F.col("seq")], max_ranges, ["request_id"], "_rank", "result_limit_reached").drop("_rank")
+    rows = materialize(_range_rows(c, asked, policy, max_bytes_per_file, max_range_lines))
+    facts = rows.select(*key, "size", "wanted", "status", "reads", (F.col("total_lines") - F.col("start") + 1).alias("_left"))
+    too_large = F.lit(False)
+    if max_total_bytes is not None:
+        fit = greedy_fill(facts.filter("reads").select(*key, "size"), "batch_id", [F.col("seq")], "size", max_total_bytes)
+        facts = facts.join(fit.select(*key, F.lit(True).alias("_fits")), key, "left")
+        too_large = F.col("reads") & F.col("_fits").isNull()
+    ok = (F.col("status") == "ok") & ~too_large
+    facts = facts.select(*key, "wanted", "status", too_large.alias("_no_bytes"), ok.alias("_ok"), F.when(ok, F.least("wanted", "_left")).otherwise(F.lit(0)).alias("_shown"))
+    spent, left = F.lit(False), F.col("wanted")
+    if max_total_lines is not None:
+        facts = running_totals(facts, ["batch_id"], [F.col("seq")], {"_upto": F.col("_shown")})
+        before = F.col("_upto") - F.col("_shown")
+        spent, left = before >= max_total_lines, F.least(F.col("wanted"), F.lit(max_total_lines) - before)
+    status = F.when(spent, "line-limit-reached").when(F.col("_no_bytes"), "byte-limit-reached").otherwise(F.col("status"))
+    granted = F.when(~spent & F.col("_ok"), left).otherwise(F.lit(0)).cast("bigint")
+    cut = spent | (F.col("_ok") & (left < F.col("wanted")))
+    limit = F.when(status == "byte-limit-reached", F.when(F.col("_no_bytes"), "maxTotalBytes").otherwise("maxBytesPerFile"))
+    grants = facts.select(*key, status.alias("status"), granted.alias("granted"), cut.alias("line_limit_reached"), limit.alias("limit"))
+    return rows.drop("status").join(small_side(grants), key)
+
+
+def _range_rows(c, requests, policy, max_bytes_per_file, max_range_lines=None):
+    """Requests with the facts and the selected lines of their files, one row each.
+
+    Few requests (by measured size) are broadcast to the scan of the contents. Many are
+    shuffled to the files: the contents of a bucketed corpus stay in place, those of any
+    other are first reduced to the files that may be asked for. Which requests no file
+    answers is found without reading contents.
     """
     types = {"start_line": "bigint", "max_lines": "bigint", "expected_sha256": "string"}
     for name, kind in types.items():
@@ -157,14 +164,21 @@ def _range_rows(c, requests, policy, max_bytes_per_file, max_range_lines=None, k
     req = requests.select(
         "*", P.clean_path("path").alias("clean"), P.path_error("path").alias("path_error"), wanted.cast("bigint").alias("wanted")
     )
-    small = fits(c, max_bytes_per_file)
-    files = kept(c, policy).select("tree_id", F.col("path").alias("clean"), "content", "size", small.alias("small"))
-    asked = req.filter(F.col("path_error").isNull()).select(*key, "tree_id", "clean", "start_line", "wanted")
+    req, few = measured(req)
+    files = kept(c, policy).select("tree_id", F.col("path").alias("clean"), "content", "size", fits(c, max_bytes_per_file).alias("small"))
+    at = ["tree_id", "clean"]
+    asked, wrong = req.filter(F.col("path_error").isNull()), req.filter(F.col("path_error").isNotNull())
+    if few:
+        found = files.join(F.broadcast(asked), at)
+        names = files.select(*at).join(F.broadcast(asked.select(*at).distinct()), at, "left_semi")
+        rest = wrong.unionByName(asked.join(names.distinct(), at, "left_anti"))
+    else:
+        found = asked.join(files.filter(key_filter(asked, *at)(*at)), at, "left")
+        rest = wrong
     small = F.col("small")
     refusal = T.refusal("content", T.is_binary(c))
-    found = files.join(small_side(asked), ["tree_id", "clean"]).select(
-        *key, "size", "wanted", "start_line",
-        "small",
+    read = found.select(
+        *req.columns, "size", "small",
         F.when(small, T.content_sha256(F.col("content"))).alias("sha256"),
         F.when(small, refusal).alias("refusal"),
         F.when(small & refusal.isNull(), T.encoding("content")).alias("encoding"),
@@ -173,11 +187,11 @@ def _range_rows(c, requests, policy, max_bytes_per_file, max_range_lines=None, k
     total = F.when(F.col("lines").isNotNull(), F.size("lines").cast("bigint"))
     begin = F.greatest(F.lit(1), F.least(F.coalesce("start_line", F.lit(1)), total)).cast("bigint")
     selected = F.slice("lines", begin.cast("int"), F.col("wanted").cast("int"))
-    picked = found.select(
-        *key, "size", "small", "sha256", "refusal", "encoding",
+    picked = read.select(
+        *req.columns, "size", "small", "sha256", "refusal", "encoding",
         total.alias("total_lines"), begin.alias("start"), selected.alias("selected"),
     )
-    rows = req.join(picked, list(key), "left")
+    rows = picked.unionByName(rest, allowMissingColumns=True)
     mismatch = F.lower("expected_sha256") != F.col("sha256")
     status = (
         F.when(F.col("path_error").isNotNull(), F.col("path_error"))

@@ -102,13 +102,23 @@ def _file_keys(files: DataFrame, kinds) -> DataFrame:
     return rows.select(*KEY, F.inline(F.concat(*(v for k, v in parts.items() if k in kinds))))
 
 
-def _name_relations(files: DataFrame, targets: DataFrame, kinds, hint=small_side) -> DataFrame:
-    """Relations by names: one join on (tree, relation, key) for all of them."""
+def _name_relations(files: DataFrame, targets: DataFrame, kinds, hint=small_side, max_per_target: int | None = None) -> DataFrame:
+    """Relations by names: one join on (tree, relation, key) for all of them.
+
+    With ``max_per_target`` a key keeps its first files only, as many as a target can need: so
+    many, the target itself and one that tells there are more. Targets meet just these, so
+    rows grow with the targets, also where all files share one name.
+    """
     stem = F.lower(P.stem("path"))
     keys = {"likely-test": stem, "same-basename": stem, "sibling": P.dirname("path")}
     wanted = F.array(*(F.struct(F.lit(k).alias("relationship"), v.alias("key")) for k, v in keys.items() if k in kinds))
     asked = _targets(targets, F.lower(P.extension("path")).alias("target_ext"), F.inline(wanted))
-    rows = _file_keys(files, kinds).join(hint(asked), ["tree_id", "relationship", "key"])
+    rows = _file_keys(files, kinds)
+    if max_per_target is not None:
+        order = [P.locale_key("path"), F.col("path")]
+        keyed = rows.withColumn("_ext", F.coalesce("ext", F.lit("")))
+        rows = top_per_group(keyed, ["tree_id", "relationship", "key", "_ext"], order, max_per_target + 2, ["path"], "_place").drop("_place", "_ext")
+    rows = rows.join(hint(asked), ["tree_id", "relationship", "key"])
     rows = rows.filter(F.col("ext").isNull() | (F.col("ext") == F.col("target_ext")))
     rows = rows.filter(F.col("path") != F.col("target_path"))
     kind = F.col("relationship")
@@ -117,10 +127,15 @@ def _name_relations(files: DataFrame, targets: DataFrame, kinds, hint=small_side
         .when(kind == "same-basename", F.concat(F.lit("same basename as "), P.basename("target_path")))
         .otherwise(F.concat(F.lit("same directory "), P.dirname("target_path")))
     )
-    return rows.select(
+    rows = rows.select(
         "tree_id", "target_path", "path", "relationship", evidence.alias("evidence"), _confidence().alias("confidence"),
         P.language("path").alias("language"), F.lit(None).cast("string").alias("source_sha256"),
     )
+    if max_per_target is None:
+        return rows
+    order = [P.locale_key("path"), F.col("path")]
+    group = ["tree_id", "target_path", "relationship"]
+    return top_per_group(rows, group, order, max_per_target, ["path"], "rank", "relationship_limit_reached")
 
 
 def direct_imports(edges: DataFrame, targets: DataFrame) -> DataFrame:
@@ -133,19 +148,19 @@ def imported_by(edges: DataFrame, targets: DataFrame) -> DataFrame:
     return _import_relations(edges, targets, ["imported-by"])
 
 
-def likely_tests(files: DataFrame, targets: DataFrame) -> DataFrame:
-    """Tests whose name points at a target."""
-    return _name_relations(files, targets, ["likely-test"])
+def likely_tests(files: DataFrame, targets: DataFrame, max_per_target: int | None = None) -> DataFrame:
+    """Tests whose name points at a target; with a cap the first of each target by path, ``rank`` and ``relationship_limit_reached``."""
+    return _name_relations(files, targets, ["likely-test"], max_per_target=max_per_target)
 
 
-def same_basename(files: DataFrame, targets: DataFrame) -> DataFrame:
-    """Files with the stem of a target, in any directory and with any extension."""
-    return _name_relations(files, targets, ["same-basename"])
+def same_basename(files: DataFrame, targets: DataFrame, max_per_target: int | None = None) -> DataFrame:
+    """Files with the stem of a target, in any directory and with any extension; the cap as in ``likely_tests``."""
+    return _name_relations(files, targets, ["same-basename"], max_per_target=max_per_target)
 
 
-def siblings(files: DataFrame, targets: DataFrame) -> DataFrame:
-    """Files in the directory of a target."""
-    return _name_relations(files, targets, ["sibling"])
+def siblings(files: DataFrame, targets: DataFrame, max_per_target: int | None = None) -> DataFrame:
+    """Files in the directory of a target; the cap as in ``likely_tests``."""
+    return _name_relations(files, targets, ["sibling"], max_per_target=max_per_target)
 
 
 def tested_stems(files: DataFrame) -> DataFrame:

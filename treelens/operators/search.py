@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from treelens.functions import paths as P, text as T
 from treelens.functions.policy import DEFAULT_POLICY, Policy
+from treelens.operators.cuts import Cuts, cuts_of, within_cuts
 from treelens.operators.inventory import KEY, before_cut, fits, kept, path_filter, walk_cut
 from treelens.operators.reading import readable
 from treelens.plans.materialize import materialize, small_side
@@ -54,18 +55,55 @@ def _match_rows(files: DataFrame, query: str, case_sensitive: bool, context: int
         hits = F.filter(numbered, lambda i: i.isNotNull())
 
         def around(i):
-            first = F.greatest(F.lit(0), i - context)
-            before = F.slice("lines", first + 1, i - first)
-            after = F.slice("lines", i + 2, F.lit(context))
-            return F.struct(
-                i.alias("pos"),
-                F.get("lines", i).alias("line"),
-                F.transform(before, lambda l, j: _clipped(l, first + j + 1)).alias("context_before"),
-                F.transform(after, lambda l, j: _clipped(l, i + j + 2)).alias("context_after"),
-            )
+            return F.struct(i.alias("pos"), F.get("lines", i).alias("line"), *_neighbours(i, context))
 
         rows = files.select(*KEY, "size", "file_sha256", F.inline(F.transform(hits, around)))
         extra = [F.col("context_before"), F.col("context_after")]
+    return _shown(rows, query, case_sensitive, extra)
+
+
+def _first_matches(files: DataFrame, query: str, case_sensitive: bool, context: int, max_matches: int) -> DataFrame:
+    """The first ``max_matches`` rows of each tree, with ``rank`` and ``match_limit_reached``.
+
+    A file gives at most ``max_matches`` + 1 line numbers, and only these narrow rows are ranked.
+    Excerpts and context are built for the lines that are left, where their file is scanned
+    again; the lines of a file come to it as one list, so contents are not shuffled.
+    """
+    lines = T.split_lines(F.col("text"))
+    numbered = F.transform(lines, lambda l, i: F.when(_has(l, query, case_sensitive), (i + 1).cast("bigint")))
+    first = F.slice(F.filter(numbered, lambda i: i.isNotNull()), 1, max_matches + 1)
+    narrow = files.select(*KEY, F.explode(first).alias("line"))
+    order = [P.locale_key("path"), F.col("path"), F.col("line")]
+    top = top_per_group(narrow, ["tree_id"], order, max_matches, ["path", "line"], "rank", "match_limit_reached")
+    # At most max_matches of them.
+    picks = top.groupBy(*KEY).agg(F.collect_list(F.struct("line", "rank", "match_limit_reached")).alias("picks"))
+    found = files.join(small_side(picks), KEY).select(*KEY, "size", "file_sha256", lines.alias("lines"), "picks")
+
+    def around(pick):
+        at = (pick["line"] - 1).cast("int")
+        fields = [pick["rank"].alias("rank"), pick["match_limit_reached"].alias("match_limit_reached"), *_neighbours(at, context)]
+        return F.struct(at.alias("pos"), F.get("lines", at).alias("line"), *fields)
+
+    rows = found.select(*KEY, "size", "file_sha256", F.inline(F.transform("picks", around)))
+    extra = ["context_before", "context_after"] if context else []
+    return _shown(rows, query, case_sensitive, [F.col(n) for n in (*extra, "rank", "match_limit_reached")])
+
+
+def _neighbours(i: Column, context: int) -> list[Column]:
+    """Lines of the array ``lines`` before and after position ``i``."""
+    if not context:
+        return []
+    first = F.greatest(F.lit(0), i - context)
+    before = F.slice("lines", first + 1, i - first)
+    after = F.slice("lines", i + 2, F.lit(context))
+    return [
+        F.transform(before, lambda l, j: _clipped(l, first + j + 1)).alias("context_before"),
+        F.transform(after, lambda l, j: _clipped(l, i + j + 2)).alias("context_after"),
+    ]
+
+
+def _shown(rows: DataFrame, query: str, case_sensitive: bool, extra: list[Column]) -> DataFrame:
+    line = F.col("line")
     return rows.select(
         *KEY,
         (F.col("pos") + 1).cast("bigint").alias("line"),
@@ -106,11 +144,9 @@ def search(
         agreed = expected.join(fingerprints, ["tree_id", "fingerprint"]).select("tree_id")
         files = files.join(small_side(agreed), "tree_id", "left_semi")
     files = files.select(*KEY, "text", "size", T.content_sha256(F.col("content")).alias("file_sha256"))
-    matches = _match_rows(files, query, case_sensitive, context)
     if max_matches is None:
-        return matches
-    order = [P.locale_key("path"), F.col("path"), F.col("line")]
-    return top_per_group(matches, ["tree_id"], order, max_matches, ["path", "line"], "rank", "match_limit_reached")
+        return _match_rows(files, query, case_sensitive, context)
+    return _first_matches(files, query, case_sensitive, context, max_matches)
 
 
 def snapshot_check(expected: DataFrame, fingerprints: DataFrame) -> DataFrame:
@@ -199,13 +235,29 @@ def scan_plan(
     )
 
 
-def budgeted_search(c: DataFrame, query: str, plan: DataFrame, case_sensitive: bool = False, context: int = 0,
-                    max_matches: int | None = None) -> DataFrame:
-    """Matches within the files and lines granted by ``scan_plan``."""
+def plan_cuts(plan: DataFrame) -> Cuts:
+    """A ``scan_plan`` as one cut per tree, beside the files it passed over."""
+    scanned = F.col("scanned") & (F.col("granted_lines") > 0)
+    return cuts_of(plan.filter(scanned).select(*KEY, "granted_lines"), plan.filter(F.col("reached") & ~scanned).select(*KEY))
+
+
+def budgeted_search(c: DataFrame, query: str, plan: DataFrame | Cuts, case_sensitive: bool = False, context: int = 0,
+                    max_matches: int | None = None, policy: Policy = DEFAULT_POLICY, **filters) -> DataFrame:
+    """Matches within the files and lines granted by ``scan_plan``.
+
+    The plan's rows name every file. Its ``plan_cuts`` do not: with them the policy and the
+    filters of the plan have to be given again, and contents are not shuffled however many
+    files a tree has.
+    """
     context = max(0, context)
-    scanned = plan.filter(F.col("scanned") & (F.col("granted_lines") > 0)).select(*KEY, "granted_lines", F.col("sha256").alias("file_sha256"))
-    hit_files = c.filter(_has(F.col("content").cast("string"), query, case_sensitive)).select(*KEY, "content", "size")
-    files = hit_files.join(small_side(scanned), KEY).withColumn("text", T.decoded("content"))
+    hit_files = c.filter(_has(F.col("content").cast("string"), query, case_sensitive))
+    if isinstance(plan, Cuts):
+        files = kept(hit_files, policy).filter(path_filter(**filters)).select(*KEY, "content", "size")
+        files = within_cuts(files, plan).withColumn("file_sha256", T.content_sha256(F.col("content")))
+    else:
+        scanned = plan.filter(F.col("scanned") & (F.col("granted_lines") > 0)).select(*KEY, "granted_lines", F.col("sha256").alias("file_sha256"))
+        files = hit_files.select(*KEY, "content", "size").join(small_side(scanned), KEY)
+    files = files.withColumn("text", T.decoded("content"))
     matches = _match_rows(files, query, case_sensitive, context, "granted_lines")
     if max_matches is None:
         return matches

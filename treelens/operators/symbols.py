@@ -42,6 +42,7 @@ def symbols(
     max_per_tree: int | None = None,
     policy: Policy = DEFAULT_POLICY,
     granted: str | None = None,
+    max_bytes_per_file: int | None = None,
     **filters,
 ) -> DataFrame:
     """Symbols of all trees, one row per (line, kind).
@@ -51,7 +52,7 @@ def symbols(
     """
     lang = P.language("path")
     files = c.filter(lang.isin(*K.SYMBOL_LANGUAGES)).filter(path_filter(**filters))
-    files = readable(files, policy).withColumn("language", lang)
+    files = readable(files, policy, max_bytes_per_file).withColumn("language", lang)
     lines = T.split_lines(F.col("text"))
     if granted:
         lines = F.slice(lines, F.lit(1), F.col(granted).cast("int"))

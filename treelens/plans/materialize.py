@@ -31,7 +31,7 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def small_side(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """A narrow join side: broadcast when its measured size allows.
 
     Spark estimates the size of derived frames from their input, so a table of one
@@ -44,8 +44,9 @@ def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(pinned) if small else pinned
 
 
-def measured(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> tuple[DataFrame, bool]:
-    """The written rows, and whether they take at most ``max_bytes``."""
+def measured(df: DataFrame, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """The written rows, and whether they take at most ``max_bytes`` (``BROADCAST_BYTES`` by default)."""
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
     pinned = materialize(df)
     text = F.concat_ws("", *(F.col(c).cast("string") for c in pinned.columns))
     size = pinned.agg(F.coalesce(F.sum(F.octet_length(text) + 16 * len(pinned.columns)), F.lit(0))).first()[0]

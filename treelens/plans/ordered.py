@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from treelens.plans.materialize import materialize, small_side
 
 SALTS = 32
-TOP_LIMIT = 100_000  # larger k goes through running_totals
+TOP_LIMIT = 10_000  # larger k goes through running_totals
 GREEDY_GROUP_ROWS = 100_000  # groups up to this size finish in one grouped fold
 
 
@@ -56,13 +56,20 @@ def top_per_group(
     keep = k + 1 if overflow else k
     if keep > TOP_LIMIT:
         top = running_totals(df, by, order, {rank: F.lit(1)}).filter(F.col(rank) <= keep)
+        if overflow is None:
+            return top
+        # One row of each group that holds more is enough to flag the others.
+        top = materialize(top)
+        more = small_side(top.filter(F.col(rank) == keep).select(*by, F.lit(True).alias(overflow)))
+        flagged = top.filter(F.col(rank) <= k).join(more, list(by), "left")
+        return flagged.withColumn(overflow, F.coalesce(F.col(overflow), F.lit(False)))
     else:
         sliced = df.withColumn("_salt", F.pmod(F.xxhash64(*salt), F.lit(SALTS)))
         sliced = _ranked(sliced, [*by, "_salt"], order, keep, "_slice_rank")
         top = _ranked(sliced.drop("_salt", "_slice_rank"), by, order, keep, rank)
     if overflow is None:
         return top
-    # The group is already cut to k + 1 rows, so this window is small.
+    # The group is already cut to k + 1 rows, at most TOP_LIMIT, so this window is small.
     more = F.max(rank).over(Window.partitionBy(*by)) > k
     return top.withColumn(overflow, more).filter(F.col(rank) <= k)
 

@@ -7,107 +7,96 @@ are separate steps, so the path policy removes rows before any byte is read.
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from treelens.functions.policy import DEFAULT_POLICY, Policy
+from treelens.plans.materialize import materialize
 
 LISTING = "tree_id string, path string, location string, size bigint, mtime timestamp, dev string, ino string, unread string"
 CONTENT_BATCH_BYTES = 32 << 20
+ENTRIES_PER_TASK = 50_000
+_CHUNK_ROWS = 10_000
 
 
-def tree_listing_source():
-    """The data source class; built here so that workers get it by value."""
-
-    class TreeListing(DataSource):
-        """Options ``roots`` = JSON list of [tree id, directory]; ``slices`` = directories to aim for.
-
-        Ids are values, since Spark ignores the case of option names.
-        """
+def _visitor(limit: int):
+    """Rows of files below the directories of a frame, and of directories left for a later round."""
 
-        @classmethod
-        def name(cls):
-            return "tree_listing"
+    def visit(frames):
+        import datetime
+        import os
+        import stat
 
-        def schema(self):
-            return LISTING
-
-        def reader(self, schema):
-            return Reader(dict(self.options))
+        import pandas as pd
 
-    class Slice(InputPartition):
-        def __init__(self, tree_id, root, start, deep):
-            super().__init__((tree_id, start, deep))
-            self.tree_id, self.root, self.start, self.deep = tree_id, root, start, deep
+        columns = ["tree_id", "path", "location", "size", "mtime", "dev", "ino", "unread", "root", "below"]
+        rows, listed = [], 0
 
-    class Reader(DataSourceReader):
-        def __init__(self, options):
-            self.roots = json.loads(options["roots"])
-            self.slices = int(options.get("slices", 64))
+        def written():
+            # A column without any value would lose its type.
+            frame = pd.DataFrame(rows, columns=columns).astype({"tree_id": object, "below": object, "root": object, "location": object, "unread": object})
+            rows.clear()
+            return frame
 
-        def partitions(self):
-            """Split the top levels only; the walk below them runs in the tasks."""
-            import os
+        def left(tree, root, here):
+            return (tree, None, None, None, None, None, None, None, root, here)
 
-            shallow, frontier = [], [(t, r, r) for t, r in sorted(self.roots)]
-            while frontier and len(frontier) < self.slices:
-                below = []
-                for tree, root, here in frontier:
-                    shallow.append(Slice(tree, root, here, False))
-                    with os.scandir(here) as entries:
-                        below += [(tree, root, e.path) for e in entries if e.is_dir(follow_symlinks=False)]
-                    if len(below) > self.slices * 64:
-                        break
-                else:
-                    frontier = below
-                    continue
-                # Wide level: hand the directories over whole instead of listing on.
-                done = {(s.tree_id, s.start) for s in shallow}
-                frontier = below + [f for f in frontier if (f[0], f[2]) not in done]
-                break
-            return shallow + [Slice(t, r, here, True) for t, r, here in frontier]
-
-        def read(self, part):
-            import datetime
-            import os
-            import stat
-
-            pending = [part.start]
+        for frame in frames:
+            pending = list(frame[["tree_id", "root", "here"]].itertuples(index=False, name=None))
             while pending:
-                here = pending.pop()
-                with os.scandir(here) as entries:
-                    for entry in entries:
-                        info = entry.stat(follow_symlinks=False)
-                        if stat.S_ISDIR(info.st_mode):
-                            if part.deep:
-                                pending.append(entry.path)
-                            continue
-                        regular = stat.S_ISREG(info.st_mode)
-                        if not regular and not stat.S_ISLNK(info.st_mode):
-                            continue
-                        yield (
-                            part.tree_id,
-                            os.path.relpath(entry.path, part.root).replace(os.sep, "/"),
-                            entry.path if regular else None,  # links are listed, never followed
-                            info.st_size if regular else 0,
-                            datetime.datetime.fromtimestamp(info.st_mtime, datetime.timezone.utc),
-                            str(info.st_dev),
-                            str(info.st_ino),
-                            None if regular else "link",
-                        )
-
-    return TreeListing
-
-
-def list_tree(spark: SparkSession, roots: dict[str, str], slices: int = 64) -> DataFrame:
+                tree, root, here = pending.pop()
+                if listed >= limit:
+                    rows.append(left(tree, root, here))
+                else:
+                    with os.scandir(here) as entries:
+                        for entry in entries:
+                            listed += 1
+                            info = entry.stat(follow_symlinks=False)
+                            if stat.S_ISDIR(info.st_mode):
+                                if len(pending) < limit:
+                                    pending.append((tree, root, entry.path))
+                                else:
+                                    rows.append(left(tree, root, entry.path))
+                            elif stat.S_ISREG(info.st_mode) or stat.S_ISLNK(info.st_mode):
+                                regular = stat.S_ISREG(info.st_mode)
+                                rows.append((
+                                    tree, os.path.relpath(entry.path, root).replace(os.sep, "/"),
+                                    entry.path if regular else None,  # links are listed, never followed
+                                    info.st_size if regular else 0,
+                                    datetime.datetime.fromtimestamp(info.st_mtime, datetime.timezone.utc),
+                                    str(info.st_dev), str(info.st_ino), None if regular else "link", root, None,
+                                ))
+                            if len(rows) >= _CHUNK_ROWS:
+                                yield written()
+                if len(rows) >= _CHUNK_ROWS:
+                    yield written()
+        if rows:
+            yield written()
+
+    return visit
+
+
+def list_tree(spark: SparkSession, roots: dict[str, str], slices: int = 64, entries_per_task: int = ENTRIES_PER_TASK) -> DataFrame:
     """Files and links below each root, hidden names included, without reading them.
 
+    The listing runs in rounds of ``slices`` tasks. A task lists the directories it is given
+    and those below, and after ``entries_per_task`` entries hands the directories it has not
+    come to over to the next round, so neither a deep nor a wide tree stays in one task and no
+    list of names is on the driver. A directory's own entries are streamed in chunks.
+
     ``unread`` is 'link' for links: no inventory lists them, coverage counts them as unreadable.
     """
-    spark.dataSource.register(tree_listing_source())
-    return spark.read.format("tree_listing").option("slices", slices).option("roots", json.dumps(list(roots.items()))).load()
+    frontier = spark.createDataFrame([(t, r, r) for t, r in sorted(roots.items())], "tree_id string, root string, here string")
+    visit, found = _visitor(entries_per_task), []
+    while True:
+        rounds = materialize(frontier.repartition(slices, "here").mapInPandas(visit, f"{LISTING}, root string, below string"))
+        found.append(rounds.filter("below IS NULL").drop("root", "below"))
+        frontier = rounds.filter("below IS NOT NULL").select("tree_id", "root", F.col("below").alias("here"))
+        if frontier.isEmpty():
+            break
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def load_content(listing: DataFrame, max_bytes: int | None = None) -> DataFrame:
