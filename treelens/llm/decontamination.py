@@ -115,7 +115,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, seed_word
 
     Null or empty text: no words, no hits. An item without words has no window. The windows
     of an item whose id is null count in n_hit and hits, but not among the items. Repeated
-    documents are judged one by one, repeated items count once.
+    documents are judged one by one, repeated items count once. A text of any length is read
+    whole, by one task; its hits are merged in one pass. Empty tables give no rows.
     """
     added = ("n_words", "n_hit", "n_items", "items", "hits", "row")
     items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")

@@ -86,6 +86,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, postin
 
     Null and blank texts have fingerprint zero and link like others. A row whose doc_id is
     null gets the component of its fingerprint, which may be null if no row in it has an id.
+    A text of any length is read whole, by one task. Empty tables give no rows.
     """
     if not 0 <= max_bits <= 8 - postings:
         raise ValueError("max_bits may be at most 8 - postings")

@@ -157,7 +157,8 @@ def remove_repeats(docs: DataFrame, window: int = 50, seed_words: int = SEED_WOR
 
     Null text: no words, empty kept text. Null doc_id: the text is kept whole and repeats
     nothing for others. Texts under ``window`` words are kept whole. Repeats within
-    one document, or among rows of one doc_id, stay.
+    one document, or among rows of one doc_id, stay. A text of any length is read whole, by one
+    task, with arrays of some 100 bytes a word. Empty tables give no rows.
     """
     if not 1 <= seed_words <= window <= seed_words + 63:
         raise ValueError("seed_words must lie between window - 63 and window")
