@@ -35,7 +35,7 @@ class Vocabulary:
     """Tables of one vocabulary file."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -63,7 +63,7 @@ class Vocabulary:
         self.token_start = np.cumsum(self.token_length) - self.token_length
         self.token_flat = np.frombuffer(b"".join(flat), np.uint8)
         self.kind = np.full(0x110000, _UNKNOWN, np.uint8)
-        self.pre = Tokenizer.from_file(path).pre_tokenizer
+        self.pre = ByteLevel(add_prefix_space=False)  # what the file names; the model itself is not loaded
 
     def kinds(self, points: np.ndarray) -> np.ndarray:
         """Class of each code point."""

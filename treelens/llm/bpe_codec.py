@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from treelens.llm import arrays, bpe, frames
 
-REMEMBERED_IDS = 2_000_000
+REMEMBERED_IDS = 1_500_000
 
 
 class _Fragments:
@@ -76,13 +76,13 @@ def _encode_slice(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.
 
 def _encoder(path: str):
     def of(text: pa.Array) -> pa.Array:
-        ids, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for _, data, offsets in arrays.slices(*arrays.text_bytes(text)):
             found, bounds = _encode_slice(path, data, offsets)
-            ids.append(found)
+            ids.append(found.astype(np.int32))  # a batch holds many: half the memory
             sizes.append(np.diff(bounds))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
 
     return of
 
