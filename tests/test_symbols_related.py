@@ -7,7 +7,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import treelens as tl
-from treelens.plans.materialize import measured
 from helpers import corpus, rows
 
 
@@ -209,8 +208,7 @@ def test_grouped_sides_above_the_broadcast_limit_give_the_same_rows(spark, monke
     c = corpus(spark, {f"m/f{i}.ts": "import './hub'\n" for i in range(60)} | {"m/hub.ts": "", "n/hub.ts": "import '../m/hub'"})
     files = c.select("tree_id", "path")
     expected = rows(tl.import_edges(c), "from_path", "to_path"), rows(tl.name_groups(files))
-    for module in ("imports", "related"):
-        monkeypatch.setattr(f"treelens.operators.{module}.small_side", lambda df: measured(df, -1)[0])
+    monkeypatch.setattr("treelens.plans.materialize.BROADCAST_BYTES", -1)
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
