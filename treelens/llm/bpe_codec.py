@@ -5,8 +5,8 @@ merged over, so wherever it occurs the encoding is certain to be cut. Pre-tokens
 split there, every distinct fragment is encoded on its own, and the ids are
 concatenated. Decoding lays the bytes of the ids end to end.
 
-Fragments are remembered per task by their bytes until ``REMEMBERED_IDS`` ids or bytes are
-held; then the memory starts anew. Texts and fragments of any length are encoded whole.
+Fragments are remembered by their bytes, in two generations of up to ``REMEMBERED`` fragments and
+``REMEMBERED_IDS`` ids. Texts and fragments of any length are encoded whole.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from treelens.llm import arrays, bpe, frames
 
-REMEMBERED_IDS = 1_500_000
+REMEMBERED, REMEMBERED_IDS = 200_000, 2_000_000
 
 
 class _Fragments:
@@ -27,23 +27,50 @@ class _Fragments:
 
     def __init__(self):
         self.number: dict[bytes, int] = {}
-        self.size = 0
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
 
-    def add(self, fragments: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
-        self.number.update(zip(fragments, range(len(self.length), len(self.length) + len(counts))))
-        self.size += max(len(ids), sum(map(len, fragments)))
+    def add(self, fragments: list[bytes], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The numbers of the added fragments."""
+        numbers = np.arange(len(self.length), len(self.length) + len(counts))
+        self.number.update(zip(fragments, numbers.tolist()))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(counts) - counts])
         self.length = np.concatenate([self.length, counts])
-        self.ids = np.concatenate([self.ids, ids])
+        self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        return numbers
 
+    def find(self, fragments: list[bytes]) -> np.ndarray:
+        return np.fromiter((self.number.get(f, -1) for f in fragments), np.int64, len(fragments))
 
-_memory: dict[str, _Fragments] = {}
+
+class _Memory:
+    """Fragments met lately, and those met before them; one that comes again moves to the first."""
+
+    def __init__(self):
+        self.late, self.before = _Fragments(), _Fragments()
+
+    def numbers(self, vocab: bpe.Vocabulary, fragments: list[bytes], flat) -> np.ndarray:
+        """Numbers in ``late`` of different fragments; ``flat(which)`` gives the bytes and lengths of some of them."""
+        if len(self.late.number) > REMEMBERED or len(self.late.ids) > REMEMBERED_IDS:
+            self.late, self.before = _Fragments(), self.late
+        known = self.late.find(fragments)
+        gone = np.flatnonzero(known < 0)
+        at = self.before.find([fragments[i] for i in gone.tolist()])
+        again, at = gone[at >= 0], at[at >= 0]
+        if len(again):
+            length = self.before.length[at]
+            known[again] = self.late.add([fragments[i] for i in again.tolist()], arrays.ragged_take(self.before.ids, self.before.start[at], length), length)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            known[new] = self.late.add([fragments[i] for i in new.tolist()], *bpe.merge(vocab, *flat(new)))
+        return known
+
+
+_memory: dict[str, _Memory] = {}
 
 
 def _encode_slice(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts of a slice, end to end, and the offsets of each text's ids."""
+    """Ids (32 bits: a batch holds many) of all texts of a slice, end to end, and the offsets of each text's ids."""
     vocab = bpe.vocabulary(path)
     begins, special, _ = bpe.pre_tokens(vocab, data, offsets)
     start = np.zeros(len(data) + 1, bool)
@@ -56,16 +83,14 @@ def _encode_slice(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.
     code = np.full(len(fragments), -1, np.int64)
     code[np.searchsorted(fragments, begins)] = special
     listed, where, number = bpe.distinct_ranges(data, fragments, ends)
-    memory = _memory.setdefault(path, _Fragments())
-    if memory.size > REMEMBERED_IDS:
-        memory = _memory[path] = _Fragments()
-    known = np.fromiter((memory.number.get(f, -1) for f in listed), np.int64, len(listed))
-    new = np.flatnonzero(known < 0)
-    if len(new):
-        at, length = fragments[where[new]], (ends - fragments)[where[new]]
-        first = len(memory.length)
-        memory.add([listed[i] for i in new.tolist()], *bpe.merge(vocab, arrays.ragged_take(data, at, length), length))
-        known[new] = np.arange(first, first + len(new))
+    memory = _memory.setdefault(path, _Memory())
+
+    def flat(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        length = (ends - fragments)[where[which]]
+        return arrays.ragged_take(data, fragments[where[which]], length), length
+
+    known = memory.numbers(vocab, listed, flat)
+    memory = memory.late
     which = known[number]
     length = np.where(code >= 0, 1, memory.length[which])
     ids = arrays.ragged_take(memory.ids, memory.start[which], length)
@@ -79,7 +104,7 @@ def _encoder(path: str):
         ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for _, data, offsets in arrays.slices(*arrays.text_bytes(text)):
             found, bounds = _encode_slice(path, data, offsets)
-            ids.append(found.astype(np.int32))  # a batch holds many: half the memory
+            ids.append(found)
             sizes.append(np.diff(bounds))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
