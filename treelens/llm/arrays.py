@@ -230,7 +230,8 @@ def winnow(grams: Grams, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """The k-gram that each window of ``window`` words selects: its smallest hash.
 
     Returns the window starts and the word at which the selected k-gram begins.
-    Equal windows select k-grams of equal hash, which is the winnowing guarantee.
+    Equal windows select k-grams of equal hash, which is the winnowing guarantee. Which of
+    several equal ones depends on their places in the text, never on the texts around it.
     """
     at = grams.starts(window)
     span = window - k + 1
@@ -240,7 +241,7 @@ def winnow(grams: Grams, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
         raise ValueError("a window may hold at most 64 k-grams")
     n = grams.words - k + 1
     every = np.arange(n)
-    packed = grams.hashes(every, k) & ~np.uint64(63) | (np.uint64(63) - (every % 64).astype(np.uint64))
+    packed = grams.hashes(every, k) & ~np.uint64(63) | (np.uint64(63) - ((every - grams.begin[:n]) % 64).astype(np.uint64))
     padded = np.full(-(-n // span) * span, np.iinfo(np.uint64).max, np.uint64)
     padded[:n] = packed
     rows = padded.reshape(-1, span)
@@ -248,7 +249,7 @@ def winnow(grams: Grams, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(behind[at], ahead[at + span - 1])
     slot = 63 - (least & np.uint64(63)).astype(np.int64)
-    return at, at + (slot - at) % 64
+    return at, at + (slot - (at - grams.begin[at])) % 64
 
 
 def signed(h: np.ndarray) -> np.ndarray:

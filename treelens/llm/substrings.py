@@ -17,9 +17,9 @@ the unions of overlapping repeated windows, so each has at least ``window`` word
 3. Keep. Each document gets the contexts and windows that a smaller document has; their
    words are merged into maximal repeats.
 
-Words are equal by their 64-bit XXH3; sequences by two independent hashes modulo 2**61 - 1,
-one of the anchor and one of the window or context around it, 122 bits together. Anchors
-bring few sequences together, so chance makes no two of them equal at any size of corpus.
+Anchors come from fast hashes, which may bring different sequences together but never keep
+equal ones apart. What decides is a BLAKE2b of the words of a context or window, with a salt
+drawn for each run, beside the fast hash: some 125 bits that no text can be made to collide on.
 
 Everything is keyed by content and ``doc_id``: rows that repeat a ``doc_id`` are judged
 each by its own text and do not count as smaller than one another.
@@ -27,6 +27,10 @@ each by its own text and do not count as smaller than one another.
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import secrets
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -36,8 +40,27 @@ from treelens.llm import arrays, frames
 SEED_WORDS = 16
 
 
-def _anchors(data, offsets, window: int, k: int):
-    """Words, first words of texts, anchors, their bounds of extension, and windows with their anchors."""
+def _digester(data, starts, ends, salt: bytes):
+    """A function giving a salted 64-bit digest of words[lo:hi], one blank between, for arrays of bounds."""
+
+    @functools.cache
+    def spelled():
+        length = ends - starts
+        at = np.concatenate([[0], np.cumsum(length + 1)])
+        out = np.full(at[-1], 0x20, np.uint8)
+        out[np.repeat(np.arange(len(length)), length) + np.arange(length.sum())] = arrays.ragged_take(data, starts, length)
+        return out.tobytes(), at
+
+    def digests(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        raw, at = spelled()
+        blake = hashlib.blake2b
+        return np.frombuffer(b"".join([blake(raw[a:b], digest_size=8, salt=salt).digest() for a, b in zip(at[lo].tolist(), (at[hi] - 1).tolist())]), "<u8")
+
+    return digests
+
+
+def _anchors(data, offsets, window: int, k: int, salt: bytes):
+    """First words of texts, their grams, windows with their anchors, anchors, their bounds of extension, and digests of contexts and of words."""
     starts, ends, first = arrays.word_bounds(data, offsets, arrays.WHITE_SPACE)
     grams = arrays.Grams(arrays.word_hashes(data, starts, ends), first)
     at, chosen = arrays.winnow(grams, k, window)
@@ -46,46 +69,48 @@ def _anchors(data, offsets, window: int, k: int):
     anchors = np.flatnonzero(mark)
     low = np.maximum(anchors - (window - k), grams.begin[anchors])
     high = np.minimum(anchors + window, grams.end[anchors])
-    # The place of the anchor in its context is part of the context.
-    context = arrays.mix(grams.second(low, high) + (anchors - low).astype(np.uint64))
-    return starts, ends, first, grams, at, chosen, anchors, low, high, context
+    digests = _digester(data, starts, ends, salt)
+
+    def context(j=slice(None)) -> np.ndarray:
+        # The place of the anchor in its context is part of the context.
+        return arrays.mix(digests(low[j], high[j]) + (anchors[j] - low[j]).astype(np.uint64))
+
+    return first, grams, at, chosen, anchors, low, high, context, digests
 
 
-def _seed_rows(window: int, k: int):
+def _seed_rows(window: int, k: int, salt: bytes):
     def rows(batches):
         for batch in batches:
             ids = batch.column("doc_id")
             for begin, data, offsets in arrays.slices(*arrays.text_bytes(batch.column("text"))):
-                _, _, first, grams, _, _, anchors, _, _, context = _anchors(data, offsets, window, k)
+                first, grams, _, _, anchors, _, _, context, _ = _anchors(data, offsets, window, k, salt)
                 owner = np.searchsorted(first, anchors, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(arrays.signed(grams.hashes(anchors, k))), pa.array(arrays.signed(context)), ids.take(pa.array(owner + begin))],
+                    [pa.array(arrays.signed(grams.hashes(anchors, k))), pa.array(arrays.signed(context())), ids.take(pa.array(owner + begin))],
                     names=["anchor", "context", "doc_id"],
                 )
 
     return rows
 
 
-def _window_rows(window: int, k: int):
+def _window_rows(window: int, k: int, salt: bytes):
     """Windows around the anchors whose contexts a document has to extend word by word."""
 
     def rows(batches):
         for batch in batches:
             ids, asked = batch.column("doc_id"), batch.column("contexts")
             for begin, data, offsets in arrays.slices(*arrays.text_bytes(batch.column("text"))):
-                _, _, first, grams, at, chosen, anchors, _, _, context = _anchors(data, offsets, window, k)
+                first, grams, at, chosen, anchors, _, _, context, digests = _anchors(data, offsets, window, k, salt)
                 open_anchor = np.zeros(grams.words + 1, bool)
-                bounds = np.searchsorted(anchors, first)
+                bounds, contexts = np.searchsorted(anchors, first), context()
                 for i in range(len(offsets) - 1):
                     lo, hi = bounds[i], bounds[i + 1]
-                    wanted = np.asarray(asked[begin + i].values, dtype=np.int64).view(np.uint64)
-                    open_anchor[anchors[lo:hi][np.isin(context[lo:hi], wanted)]] = True
-                wanted = open_anchor[chosen]
-                at, chosen = at[wanted], chosen[wanted]
+                    open_anchor[anchors[lo:hi][np.isin(contexts[lo:hi], _wanted(asked, begin + i))]] = True
+                at = at[open_anchor[chosen]]
                 owner = np.searchsorted(first, at, side="right") - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(arrays.signed(grams.hashes(chosen, k))), pa.array(arrays.signed(grams.second(at, at + window))), ids.take(pa.array(owner + begin))],
-                    names=["anchor", "window", "doc_id"],
+                    [pa.array(arrays.signed(grams.second(at, at + window))), pa.array(arrays.signed(digests(at, at + window))), ids.take(pa.array(owner + begin))],
+                    names=["window", "digest", "doc_id"],
                 )
 
     return rows
@@ -94,12 +119,14 @@ def _window_rows(window: int, k: int):
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _wanted(column, i: int) -> np.ndarray:
+def _wanted(column, i: int, field: str | None = None) -> np.ndarray:
     value = column[i]
-    return np.asarray(value.values, dtype=np.int64).view(np.uint64) if value.is_valid else np.zeros(0, np.uint64)
+    if not value.is_valid:
+        return np.zeros(0, np.uint64)
+    return np.asarray(value.values.field(field) if field else value.values, dtype=np.int64).view(np.uint64)
 
 
-def _keep(window: int, k: int):
+def _keep(window: int, k: int, salt: bytes):
     """Per document: kept text, number of words, removed words, maximal repeats."""
 
     def rows(batches):
@@ -107,22 +134,25 @@ def _keep(window: int, k: int):
             contexts, windows = batch.column("contexts"), batch.column("windows")
             kept, counts, removed, spans = [], [], [], []
             for begin, data, offsets in arrays.slices(*arrays.text_bytes(batch.column("text"))):
-                starts, ends, first, grams, at, _, anchors, low, high, context = _anchors(data, offsets, window, k)
+                first, grams, at, _, anchors, low, high, context, digests = _anchors(data, offsets, window, k, salt)
                 raw = data.tobytes()
                 by_anchor, by_window = np.searchsorted(anchors, first), np.searchsorted(at, first)
                 for i in range(len(offsets) - 1):
-                    own, other = _wanted(contexts, begin + i), _wanted(windows, begin + i)
+                    own, other = _wanted(contexts, begin + i), _wanted(windows, begin + i, "window")
                     words = raw[offsets[i] : offsets[i + 1]].split()
                     if len(own) or len(other):
                         steps = np.zeros(len(words) + 1, np.int64)
-                        j = slice(by_anchor[i], by_anchor[i + 1])
-                        hit = np.isin(context[j], own)
-                        np.add.at(steps, low[j][hit] - first[i], 1)
-                        np.add.at(steps, high[j][hit] - first[i], -1)
-                        own_at = at[by_window[i] : by_window[i + 1]]
-                        hit = np.isin(grams.second(own_at, own_at + window), other)
-                        np.add.at(steps, own_at[hit] - first[i], 1)
-                        np.add.at(steps, own_at[hit] + window - first[i], -1)
+                        if len(own):
+                            j = slice(by_anchor[i], by_anchor[i + 1])
+                            hit = np.isin(context(j), own)
+                            np.add.at(steps, low[j][hit] - first[i], 1)
+                            np.add.at(steps, high[j][hit] - first[i], -1)
+                        if len(other):
+                            own_at = at[by_window[i] : by_window[i + 1]]
+                            own_at = own_at[np.isin(grams.second(own_at, own_at + window), other)]
+                            own_at = own_at[np.isin(digests(own_at, own_at + window), _wanted(windows, begin + i, "digest"))]
+                            np.add.at(steps, own_at - first[i], 1)
+                            np.add.at(steps, own_at + window - first[i], -1)
                         covered = np.concatenate([[False], np.cumsum(steps)[:-1] > 0, [False]])
                         edges = np.flatnonzero(covered[1:] != covered[:-1])
                         spans.append([{"start": int(a), "end": int(b)} for a, b in edges.reshape(-1, 2)])
@@ -162,9 +192,10 @@ def remove_repeats(docs: DataFrame, window: int = 50, seed_words: int = SEED_WOR
     """
     if not 1 <= seed_words <= window <= seed_words + 63:
         raise ValueError("seed_words must lie between window - 63 and window")
+    salt = secrets.token_bytes(hashlib.blake2b.SALT_SIZE)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     known = docs.filter("doc_id is not null")
-    seeds = frames.stored(known.mapInArrow(_seed_rows(window, seed_words), "anchor bigint, context bigint, doc_id bigint"))
+    seeds = frames.stored(known.mapInArrow(_seed_rows(window, seed_words, salt), "anchor bigint, context bigint, doc_id bigint"))
 
     contexts = seeds.groupBy("anchor", "context").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
     shared = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n_contexts"), F.min("least").alias("a"), F.max("most").alias("b"))
@@ -175,16 +206,16 @@ def remove_repeats(docs: DataFrame, window: int = 50, seed_words: int = SEED_WOR
     settled = settled.groupBy("doc_id").agg(F.collect_set("context").alias("contexts"))
     open_ = contexts.filter("n_contexts > 1").groupBy(F.col("least").alias("doc_id")).agg(F.collect_set("context").alias("contexts"))
 
-    windows = frames.stored(known.join(open_, "doc_id").mapInArrow(_window_rows(window, seed_words), "anchor bigint, window bigint, doc_id bigint"))
-    first = windows.groupBy("anchor", "window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
-    covered = windows.join(first, ["anchor", "window"]).filter("doc_id > least").groupBy("doc_id").agg(F.collect_set("window").alias("windows"))
+    windows = frames.stored(known.join(open_, "doc_id").mapInArrow(_window_rows(window, seed_words, salt), "window bigint, digest bigint, doc_id bigint"))
+    first = windows.groupBy("window", "digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+    covered = windows.join(first, ["window", "digest"]).filter("doc_id > least").groupBy("doc_id").agg(F.collect_set(F.struct("window", "digest")).alias("windows"))
 
     return (
         docs.join(settled, "doc_id", "left")
         .join(covered, "doc_id", "left")
         .select("doc_id", "text", "contexts", "windows")
         .mapInArrow(
-            _keep(window, seed_words),
+            _keep(window, seed_words, salt),
             "doc_id bigint, kept_text string, n_words bigint, n_removed bigint, repeats array<struct<start: bigint, end: bigint>>",
         )
     )
