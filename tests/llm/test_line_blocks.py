@@ -212,3 +212,21 @@ def test_share_of_the_links_of_the_complete_search():
     share = {k: (found[k], links[k]) for k in sorted(links)}
     print(share)
     assert sum(links.values()) > 300 and all(f >= 0.9 * k for f, k in share.values())
+
+
+def test_crowded_blocks_lose_no_link(spark, make):
+    """Pairs of lines that share nothing but a crowded block; the result does not depend on what counts as crowded."""
+    rng = random.Random(9)
+    passage = [word(rng, 4) for _ in range(9)]
+    texts = []
+    for n in (16, 30, 70):
+        for _ in range(12):
+            own = [*(word(rng, 3) for _ in range(n // 2)), *passage[:n], *(word(rng, 3) for _ in range(n // 2))]
+            other = list(own)
+            for at in rng.sample([i for i, w in enumerate(own) if w not in passage], len(own) // 5 - 1):
+                other[at] = word(rng, 5)
+            texts += [" ".join(own), " ".join(other)]
+    want_left = want(texts, model(texts))
+    assert sum(n for _, n in want_left.values()) > 20
+    for hot in (1, 4, 1024):
+        assert got(B.dedupe_similar_lines(make(texts), hot=hot)) == want_left

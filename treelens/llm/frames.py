@@ -88,10 +88,10 @@ def bitmap(df: DataFrame, column: str, bits: int = 24) -> np.ndarray:
         df.select(F.shiftright(low, 6).cast("int").alias("slot"), bit.alias("bit"))
         .groupBy("slot")
         .agg(F.bit_or("bit").alias("bit"))
-        .toPandas()
+        .toArrow()
     )
     out = np.zeros(1 << (bits - 6), np.uint64)
-    out[words["slot"].to_numpy(np.int64)] = words["bit"].to_numpy(np.int64).view(np.uint64)
+    out[words["slot"].to_numpy()] = words["bit"].to_numpy().view(np.uint64)
     return out
 
 

@@ -16,10 +16,11 @@ Lines of up to nine words, where one edit is allowed, have the SimHashes of the
 the line without each of its words as blocks; there any two linked lines share one.
 
 1. One scan files every line: key, place, SimHash and blocks. Lines are joined on equal blocks.
-   A block shared by more than ``hot`` lines is joined together with its neighbour instead.
 2. One more scan reads the words of the lines that share a block with another.
 3. Candidates within ``max_bits`` bits are verified: every line of a block with one of them;
-   then, where a block still holds several components, the lines of different components.
+   then, where a block still holds several components, the lines of different components. In a
+   block shared by more than ``hot`` lines these meet on their rarest words besides: enough of
+   them, by the pigeonhole principle, that no two similar lines miss each other.
 
 Lines have 128-bit keys. Half a key is a line's number while lines are joined; should two lines
 ever share a number, they are linked with no other (equal lines still collapse).
@@ -32,11 +33,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from treelens.llm import arrays, components, frames
-from treelens.llm.lines import _NORMAL, _PARITIES, _edits, _remove, _texts, _within, _word_points
+from treelens.llm.lines import _LEVEL_BITS, _NORMAL, _PARITIES, _edits, _gram_words, _remove, _texts, _within, _word_points
 from treelens.plans.materialize import measured
 
 MAX_BITS = 20
@@ -221,26 +223,66 @@ def _words_of(wanted: np.ndarray):
     return rows
 
 
-def _shared(rows: DataFrame, scratch: frames.Scratch) -> DataFrame:
-    """(block, id, hub, lines) of blocks that several lines have; the exchange by block is made once."""
-    rows = rows.repartition("block")
-    hubs = rows.groupBy("block").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("lines")).filter("hub < last").drop("last")
+def _filed(lines: DataFrame, hot: int, scratch: frames.Scratch) -> DataFrame:
+    """(block, id, crowded): lines under the blocks they share, the exchange by block is made once. A line may stand there several times."""
+    rows = lines.select("id", F.explode("blocks").alias("block")).repartition("block")
+    hubs = rows.groupBy("block").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("lines")).filter("hub < last")
+    piece = F.col("block").bitwiseAND(F.lit(1)) == 0  # any two lines under a block of short lines are similar
+    hubs = hubs.select("block", ((F.col("lines") > hot) & piece).alias("crowded"))
     return frames.stored(rows.join(hubs.hint("shuffle_hash"), "block"), scratch)
 
 
-def _filed(lines: DataFrame, hot: int, scratch: frames.Scratch) -> DataFrame:
-    """(block, id, hub): lines under the blocks they share. A line may stand there several times."""
-    filed = _shared(lines.select("id", F.explode("blocks").alias("block")), scratch)
-    piece = F.col("block").bitwiseAND(F.lit(1)) == 0
-    crowded, small = measured(filed.filter((F.col("lines") > hot) & piece).select("block").distinct())
-    if crowded.isEmpty():
-        return filed.select("block", "id", "hub")
-    crowded = F.broadcast(crowded) if small else crowded
-    at = F.col("at")
-    beside = F.coalesce(F.get("blocks", at + 1), F.get("blocks", F.greatest(at - 1, F.lit(0))))
-    spread = lines.select("id", "blocks", F.posexplode("blocks").alias("at", "block")).join(crowded, "block", "left_semi")
-    spread = spread.select("id", F.xxhash64("block", beside).alias("block"))
-    return filed.filter((F.col("lines") <= hot) | ~piece).unionByName(_shared(spread, scratch)).select("block", "id", "hub")
+def _grams(plain: pa.Array, q: int):
+    """Words and grams of q words (a number each) of lines of one character a word: words per line, grams, the line of each."""
+    n = np.asarray(pc.utf8_length(plain), np.int64)
+    words = np.frombuffer("".join(plain.to_pylist()).encode("utf-32-le"), "<u4").astype(np.uint64)
+    owner = np.repeat(np.arange(len(n)), n)
+    if q == 1:
+        return n, arrays.mix(words), owner
+    at = np.flatnonzero(owner[1:] == owner[:-1])
+    return n, arrays.mix(words[at] << np.uint64(32) | words[at + 1]), owner[at]
+
+
+def _gram_counts(q: int):
+    def rows(batches):
+        total = np.zeros(1 << _LEVEL_BITS, np.int64)
+        for batch in batches:
+            grams = _grams(batch.column("plain"), q)[1]
+            total += np.bincount((grams & np.uint64(len(total) - 1)).astype(np.int64), minlength=len(total))
+        slots = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(slots, pa.int32()), pa.array(total[slots])], names=["slot", "n"])
+
+    return rows
+
+
+def _rare_rows(levels: np.ndarray, similarity: float):
+    """(id, rare): the q * (e + 1) rarest grams of a line, where e edits are allowed. An edit changes q grams at most, so similar lines share one."""
+    q = _gram_words(similarity)
+
+    def rows(batches):
+        for batch in batches:
+            n, grams, owner = _grams(batch.column("plain"), q)
+            order = np.lexsort((grams, levels[(grams & np.uint64(len(levels) - 1)).astype(np.int64)], owner))
+            grams, owner = grams[order], owner[order]
+            place = np.arange(len(owner)) - np.searchsorted(owner, owner)
+            taken = place < (q * (_edits(n, similarity) + 1))[owner]
+            taken[1:] &= (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+            grams, owner = grams[taken], owner[taken]
+            offsets = pa.array(np.searchsorted(owner, np.arange(len(n) + 1)), pa.int32())
+            rare = pa.ListArray.from_arrays(offsets, pa.array(arrays.signed(grams)))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), rare], names=["id", "rare"])
+
+    return rows
+
+
+def _rare(plain: DataFrame, similarity: float) -> DataFrame:
+    """(id, rare) of the lines ``plain (id, plain)``. Which grams are common decides the cost only; 2**_LEVEL_BITS counts reach the driver at most."""
+    counts = plain.select("plain").mapInArrow(_gram_counts(_gram_words(similarity)), "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = counts.select("slot", F.floor(1 + 2 * F.log2("n")).cast("tinyint").alias("level")).toArrow()
+    levels = np.zeros(1 << _LEVEL_BITS, np.uint8)
+    levels[counts["slot"].to_numpy()] = counts["level"].to_numpy()
+    shared = plain.sparkSession.sparkContext.broadcast(levels)
+    return plain.mapInArrow(lambda batches: _rare_rows(shared.value, similarity)(batches), "id bigint, rare array<bigint>")
 
 
 def _near(x: str, y: str, similarity: float, max_bits: int):
@@ -259,15 +301,16 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     its copies counted: in a group of near copies that is a line near its middle, with which
     most others are linked.
     Only in blocks that are in several components after that are the lines of different
-    components compared with one another, if lengths, word parities and SimHashes allow it. A
+    components compared with one another, if lengths, word parities and SimHashes allow it, and
+    in crowded blocks if they share one of their rare grams, as all similar lines do. A
     pair is made in the first of the blocks it shares: a line carries its ``_CARRIED`` first
     blocks, and where two lines have one of them in common, they leave it to that one.
     """
     # Repeated lines stand there several times: of a group of near copies, the one copied most is near the middle.
     degree = filed.groupBy("id").agg(F.count(F.lit(1)).alias("degree"), F.slice(F.array_sort(F.collect_set("block")), 1, _CARRIED).alias("low"))
-    filed = filed.select("block", "id").distinct()
+    filed = filed.distinct()
     known = texts.drop("plain").join(degree, "id").select("id", F.struct("degree", "id", "n", "sim", *_PARITIES, "low").alias("l"))
-    rows = frames.stored(filed.join(known, "id").select("block", "l"), scratch)
+    rows = frames.stored(filed.join(known, "id").select("block", "crowded", "l"), scratch)
 
     def verified(pairs: DataFrame, every: bool = False) -> DataFrame:
         elsewhere = F.lit(False) if every else F.coalesce(F.array_min(F.array_intersect("l.low", "r.low")) < F.col("block"), F.lit(False))
@@ -280,11 +323,23 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     # Here every block counts: a pair's first block may have another hub.
     first = verified(rows.join(hubs, "block").filter("l.id <> r.id"), every=True)
     label = components.components(first, scratch)
-    rows = rows.join(label, F.col("l.id") == F.col("id"), "left").select("block", "l", F.coalesce("component", "l.id").alias("label"))
+    rows = rows.join(label, F.col("l.id") == F.col("id"), "left").select("block", "crowded", "l", F.coalesce("component", "l.id").alias("label"))
     mixed = rows.groupBy("block").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("block")
     rows = frames.stored(rows.join(mixed, "block"), scratch)
-    other = rows.select("block", F.col("l").alias("r"), F.col("label").alias("r_label"))
-    return first.union(verified(rows.join(other, "block").filter("label < r_label")))
+    few = rows.filter("not crowded").drop("crowded")
+    pairs = few.join(few.select("block", F.col("l").alias("r"), F.col("label").alias("r_label")), "block").filter("label < r_label").select("block", "l", "r")
+    many = rows.filter("crowded")
+    if not many.isEmpty():
+        plain = frames.stored(texts.select("id", "plain").join(many.select("l.id").distinct(), "id"), scratch)
+        rare = frames.stored(_rare(plain, similarity), scratch)
+        spread = many.join(rare, F.col("l.id") == rare["id"]).select("block", "l", "label", "rare", F.explode("rare").alias("gram"))
+        mixed = spread.groupBy("block", "gram").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("block", "gram")
+        spread = frames.stored(spread.join(mixed, ["block", "gram"]), scratch)
+        other = spread.select("block", "gram", F.col("l").alias("r"), F.col("label").alias("r_label"), F.col("rare").alias("r_rare"))
+        # A pair is made under the first of the grams it shares.
+        once = (F.col("label") < F.col("r_label")) & _near("l", "r", similarity, max_bits) & (F.array_min(F.array_intersect("rare", "r_rare")) == F.col("gram"))
+        pairs = pairs.union(spread.join(other, ["block", "gram"]).filter(once).select("block", "l", "r"))
+    return first.union(verified(pairs))
 
 
 def _dropped_lines(source: DataFrame, similarity: float, max_bits: int, hot: int, scratch: frames.Scratch) -> DataFrame:
