@@ -230,3 +230,22 @@ def test_crowded_blocks_lose_no_link(spark, make):
     assert sum(n for _, n in want_left.values()) > 20
     for hot in (1, 4, 1024):
         assert got(B.dedupe_similar_lines(make(texts), hot=hot)) == want_left
+
+
+def test_pipeline_stage_loses_no_link_of_crowded_blocks(spark, make, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(10)
+    passage = [word(rng, 4) for _ in range(9)]
+    texts = []
+    for _ in range(8):
+        own = [*(word(rng, 3) for _ in range(15)), *passage, *(word(rng, 3) for _ in range(15))]
+        other = list(own)
+        for at in rng.sample([i for i, w in enumerate(own) if w not in passage], 6):
+            other[at] = word(rng, 5)
+        texts += [" ".join(own), " ".join(other)]
+    left = {i: t for i, (t, _) in want(texts, model(texts)).items()}
+    assert "" in left.values()
+    monkeypatch.setattr(B.dedupe_similar_lines, "__defaults__", (0.8, B.MAX_BITS, 1))
+    docs = make(texts, extra="lang string, source string, n_chars long, a int, b int")
+    assert {r.doc_id: r.text for r in corpus_pipeline.dedupe_lines(spark, docs, "").collect()} == left
