@@ -249,3 +249,24 @@ def test_pipeline_stage_loses_no_link_of_crowded_blocks(spark, make, monkeypatch
     monkeypatch.setattr(B.dedupe_similar_lines, "__defaults__", (0.8, B.MAX_BITS, 1))
     docs = make(texts, extra="lang string, source string, n_chars long, a int, b int")
     assert {r.doc_id: r.text for r in corpus_pipeline.dedupe_lines(spark, docs, "").collect()} == left
+
+
+def test_simhashes_far_apart_lose_no_link(spark, make):
+    """Similar lines of a block whose SimHashes as a whole differ in many bits; alone, and as the pipeline's stage."""
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    texts, far = [], 0
+    while far < 8:
+        own = [word(rng, 4) for _ in range(12)]
+        other = list(own)
+        other[0], other[3] = word(rng, 5), word(rng, 5)
+        split = [[x.encode() for x in w] for w in (own, other)]
+        if (simhash(split[0]) ^ simhash(split[1])).bit_count() > 20 and set(plain_blocks(split[0])) & set(plain_blocks(split[1])):
+            texts += [" ".join(own), " ".join(other)]
+            far += 1
+    left = [t if i % 2 == 0 else "" for i, t in enumerate(texts)]
+    for hot in (1, 1024):
+        assert [t for _, (t, _) in sorted(got(B.dedupe_similar_lines(make(texts), hot=hot)).items())] == left
+    docs = make(texts, extra="lang string, source string, n_chars long, a int, b int")
+    assert [r.text for r in corpus_pipeline.dedupe_lines(spark, docs, "").sort("doc_id").collect()] == left

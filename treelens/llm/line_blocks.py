@@ -17,10 +17,12 @@ the line without each of its words as blocks; there any two linked lines share o
 
 1. One scan files every line: key, place, SimHash and blocks. Lines are joined on equal blocks.
 2. One more scan reads the words of the lines that share a block with another.
-3. Candidates within ``max_bits`` bits are verified: every line of a block with one of them;
-   then, where a block still holds several components, the lines of different components. In a
-   block shared by more than ``hot`` lines these meet on their rarest words besides: enough of
-   them, by the pigeonhole principle, that no two similar lines miss each other.
+3. Candidates whose lengths and word parities allow the similarity are verified, whatever the
+   distance of their SimHashes as a whole (``max_bits`` below 64 bounds it): every line of a
+   block with one of them; then, where a block still holds several components, the lines of
+   different components. In a block shared by more than ``hot`` lines these meet on their rarest
+   word pairs instead: enough of them, by the pigeonhole principle, that no two similar lines
+   miss each other. No line of a block is left out.
 
 Lines have 128-bit keys. Half a key is a line's number while lines are joined; should two lines
 ever share a number, they are linked with no other (equal lines still collapse).
@@ -41,7 +43,7 @@ from treelens.llm import arrays, components, frames
 from treelens.llm.lines import _LEVEL_BITS, _NORMAL, _PARITIES, _edits, _gram_words, _remove, _texts, _within, _word_points
 from treelens.plans.materialize import measured
 
-MAX_BITS = 20
+MAX_BITS = 64  # all: 12 words of which two differ can be 24 bits apart
 HOT_LINES = 1024
 _CARRIED = 32
 _SHORT = 9  # lines of at most so many words are filed without each of their words
@@ -291,7 +293,8 @@ def _near(x: str, y: str, similarity: float, max_bits: int):
     edits = F.floor(m * (1 - similarity) + 1e-9)
     turned = sum((F.bit_count(F.col(f"{x}.{p}").bitwiseXOR(F.col(f"{y}.{p}"))) for p in _PARITIES), F.lit(0))
     bits = F.bit_count(F.col(f"{x}.sim").bitwiseXOR(F.col(f"{y}.sim")))
-    return (m - n <= edits) & (turned <= 2 * edits - (m - n)) & ((m <= _SHORT) | (bits <= max_bits))
+    allowed = (m - n <= edits) & (turned <= 2 * edits - (m - n))
+    return allowed & ((m <= _SHORT) | (bits <= max_bits)) if max_bits < 64 else allowed
 
 
 def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits: int, scratch: frames.Scratch) -> DataFrame:
