@@ -226,12 +226,17 @@ def _words_of(wanted: np.ndarray):
 
 
 def _filed(lines: DataFrame, hot: int, scratch: frames.Scratch) -> DataFrame:
-    """(block, id, crowded): lines under the blocks they share, the exchange by block is made once. A line may stand there several times."""
+    """(block, id, crowded, copies): lines under the blocks they share, the exchange by block is made once.
+
+    ``copies`` counts the slices of texts that hold the line. No block and no line of it is left
+    out; ``crowded`` only says how its lines are compared.
+    """
     rows = lines.select("id", F.explode("blocks").alias("block")).repartition("block")
     hubs = rows.groupBy("block").agg(F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("lines")).filter("hub < last")
     piece = F.col("block").bitwiseAND(F.lit(1)) == 0  # any two lines under a block of short lines are similar
     hubs = hubs.select("block", ((F.col("lines") > hot) & piece).alias("crowded"))
-    return frames.stored(rows.join(hubs.hint("shuffle_hash"), "block"), scratch)
+    shared = rows.join(hubs.hint("shuffle_hash"), "block").groupBy("block", "id", "crowded").agg(F.count(F.lit(1)).alias("copies"))
+    return frames.stored(shared, scratch)
 
 
 def _grams(plain: pa.Array, q: int):
@@ -306,29 +311,38 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     Only in blocks that are in several components after that are the lines of different
     components compared with one another, if lengths, word parities and SimHashes allow it, and
     in crowded blocks if they share one of their rare grams, as all similar lines do. A
-    pair is made in the first of the blocks it shares: a line carries its ``_CARRIED`` first
+    pair of these is made in the first of the blocks it shares: a line carries its ``_CARRIED`` first
     blocks, and where two lines have one of them in common, they leave it to that one.
     """
-    # Repeated lines stand there several times: of a group of near copies, the one copied most is near the middle.
-    degree = filed.groupBy("id").agg(F.count(F.lit(1)).alias("degree"), F.slice(F.array_sort(F.collect_set("block")), 1, _CARRIED).alias("low"))
-    filed = filed.distinct()
-    known = texts.drop("plain").join(degree, "id").select("id", F.struct("degree", "id", "n", "sim", *_PARITIES, "low").alias("l"))
-    rows = frames.stored(filed.join(known, "id").select("block", "crowded", "l"), scratch)
-
-    def verified(pairs: DataFrame, every: bool = False) -> DataFrame:
-        elsewhere = F.lit(False) if every else F.coalesce(F.array_min(F.array_intersect("l.low", "r.low")) < F.col("block"), F.lit(False))
-        pairs = pairs.filter(_near("l", "r", similarity, max_bits) & ~elsewhere).select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b")).distinct()
+    facts = texts.select("id", F.struct("id", "n", "sim", *_PARITIES).alias("l"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         both = pairs.join(texts.select(F.col("id").alias("a"), F.col("plain").alias("x")), "a").join(texts.select(F.col("id").alias("b"), F.col("plain").alias("y")), "b")
         both = both.withColumn("allowed", F.floor(F.greatest(F.length("x"), F.length("y")) * (1 - similarity) + 1e-9).cast("int"))
         return frames.stored(both.filter(_within(F.col("allowed"))).select("a", "b"), scratch)
 
-    hubs = rows.groupBy("block").agg(F.max_by("l", F.struct("l.degree", "l.id")).alias("r"))
+    # Rows of lines and blocks carry numbers only; what filters need is joined to pairs of lines.
+    of_line = filed.repartition("id")
+    degree = of_line.groupBy("id").agg(F.sum("copies").alias("degree"))
+    rows = of_line.join(degree.hint("shuffle_hash"), "id").select("block", "id", "degree")
+    hubs = rows.groupBy("block").agg(F.max_by("id", F.struct("degree", "id")).alias("hub"))
     # Here every block counts: a pair's first block may have another hub.
-    first = verified(rows.join(hubs, "block").filter("l.id <> r.id"), every=True)
+    stars = rows.join(hubs, "block").filter("id <> hub").select("id", "hub").distinct()
+    stars = stars.join(facts, "id").join(facts.select(F.col("id").alias("hub"), F.col("l").alias("r")), "hub")
+    first = verified(stars.filter(_near("l", "r", similarity, max_bits)).select(F.col("id").alias("x"), F.col("hub").alias("y")))
     label = components.components(first, scratch)
-    rows = rows.join(label, F.col("l.id") == F.col("id"), "left").select("block", "crowded", "l", F.coalesce("component", "l.id").alias("label"))
+    rows = filed.drop("copies").join(label, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     mixed = rows.groupBy("block").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("block")
     rows = frames.stored(rows.join(mixed, "block"), scratch)
+    low = filed.join(rows.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("block")), 1, _CARRIED).alias("low"))
+    known = texts.join(low, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "low").alias("l"))
+    rows = frames.stored(rows.join(known, "id").select("block", "crowded", "l", "label"), scratch)
+
+    def here(pairs: DataFrame) -> DataFrame:
+        elsewhere = F.coalesce(F.array_min(F.array_intersect("l.low", "r.low")) < F.col("block"), F.lit(False))
+        return pairs.filter(_near("l", "r", similarity, max_bits) & ~elsewhere).select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))
+
     few = rows.filter("not crowded").drop("crowded")
     pairs = few.join(few.select("block", F.col("l").alias("r"), F.col("label").alias("r_label")), "block").filter("label < r_label").select("block", "l", "r")
     many = rows.filter("crowded")
@@ -342,17 +356,19 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
         # A pair is made under the first of the grams it shares.
         once = (F.col("label") < F.col("r_label")) & _near("l", "r", similarity, max_bits) & (F.array_min(F.array_intersect("rare", "r_rare")) == F.col("gram"))
         pairs = pairs.union(spread.join(other, ["block", "gram"]).filter(once).select("block", "l", "r"))
-    return first.union(verified(pairs))
+    return first.union(verified(here(pairs)))
 
 
 def _dropped_lines(source: DataFrame, similarity: float, max_bits: int, hot: int, scratch: frames.Scratch) -> DataFrame:
     """(doc_id, _dropped): the numbers of the lines that go."""
-    lines = frames.stored(source.mapInArrow(lambda batches: _line_rows(similarity)(batches), _LINES), scratch)
-    filed = _filed(lines, hot, scratch)
-    involved = filed.select("id").distinct().withColumn("filed", F.lit(True))
-    facts = lines.groupBy("id").agg(F.count(F.lit(1)).alias("copies"), F.min("rest").alias("x"), F.max("rest").alias("y"), F.max("n").alias("n"), F.max("sim").alias("sim"))
-    facts = facts.join(involved, "id", "left").filter("filed or copies > 1")
-    asked = frames.stored(facts.select("id", "n", "sim", F.expr("coalesce(filed, false) AND x = y").alias("filed")), scratch)
+    with frames.Scratch(source.sparkSession) as early:  # the blocks of all lines are the largest table
+        lines = frames.stored(source.mapInArrow(lambda batches: _line_rows(similarity)(batches), _LINES), early)
+        filed = _filed(lines, hot, scratch)
+        involved = filed.select("id").distinct().withColumn("filed", F.lit(True))
+        facts = lines.groupBy("id").agg(F.count(F.lit(1)).alias("copies"), F.min("rest").alias("x"), F.max("rest").alias("y"), F.max("n").alias("n"), F.max("sim").alias("sim"))
+        facts = facts.join(involved, "id", "left").filter("filed or copies > 1")
+        asked = frames.stored(facts.select("id", "n", "sim", F.expr("coalesce(filed, false) AND x = y").alias("filed")), scratch)
+        lines = frames.stored(lines.select("id", "rest", "doc_id", "line").join(asked.select("id"), "id"), scratch)
     linkable = asked.filter("filed").drop("filed")
     wanted = source.sparkSession.sparkContext.broadcast(frames.bitmap(linkable, "id"))
     kind = "id bigint, plain string, " + ", ".join(f"{p} bigint" for p in _PARITIES)
@@ -361,7 +377,7 @@ def _dropped_lines(source: DataFrame, similarity: float, max_bits: int, hot: int
     links = block_links(filed, texts, similarity, max_bits, scratch)
     group = components.components(links, scratch)
     # Equal lines are a group of their own where no link joins them to others.
-    places = lines.select("id", "rest", "doc_id", "line").join(asked.select("id"), "id").join(group, "id", "left")
+    places = lines.join(group, "id", "left")
     own = F.when(F.col("component").isNotNull(), F.struct(F.col("component").alias("a"), F.lit(None).cast("bigint").alias("b"))).otherwise(F.struct(F.col("id").alias("a"), F.col("rest").alias("b")))
     places = frames.stored(places.select(own.alias("own"), F.struct("doc_id", "line").alias("place")), scratch)
     least = places.groupBy("own").agg(F.min("place").alias("least"), F.max("place").alias("last")).filter("least < last").drop("last")
