@@ -309,10 +309,10 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     its copies counted: in a group of near copies that is a line near its middle, with which
     most others are linked.
     Only in blocks that are in several components after that are the lines of different
-    components compared with one another, if lengths, word parities and SimHashes allow it, and
-    in crowded blocks if they share one of their rare grams, as all similar lines do. A
-    pair of these is made in the first of the blocks it shares: a line carries its ``_CARRIED`` first
-    blocks, and where two lines have one of them in common, they leave it to that one.
+    components compared with one another, if lengths, word parities and SimHashes allow it. A
+    pair is made in the first of the blocks it shares: a line carries its ``_CARRIED`` first
+    blocks, and where two lines have one of them in common, they leave it to that one. Lines of
+    crowded blocks meet on their rare grams instead, of which all similar lines share one.
     """
     facts = texts.select("id", F.struct("id", "n", "sim", *_PARITIES).alias("l"))
 
@@ -335,28 +335,32 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     rows = filed.drop("copies").join(label, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     mixed = rows.groupBy("block").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("block")
     rows = frames.stored(rows.join(mixed, "block"), scratch)
-    low = filed.join(rows.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.slice(F.array_sort(F.collect_set("block")), 1, _CARRIED).alias("low"))
-    known = texts.join(low, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "low").alias("l"))
-    rows = frames.stored(rows.join(known, "id").select("block", "crowded", "l", "label"), scratch)
-
-    def here(pairs: DataFrame) -> DataFrame:
-        elsewhere = F.coalesce(F.array_min(F.array_intersect("l.low", "r.low")) < F.col("block"), F.lit(False))
-        return pairs.filter(_near("l", "r", similarity, max_bits) & ~elsewhere).select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))
-
     few = rows.filter("not crowded").drop("crowded")
-    pairs = few.join(few.select("block", F.col("l").alias("r"), F.col("label").alias("r_label")), "block").filter("label < r_label").select("block", "l", "r")
-    many = rows.filter("crowded")
-    if not many.isEmpty():
-        plain = frames.stored(texts.select("id", "plain").join(many.select("l.id").distinct(), "id"), scratch)
-        rare = frames.stored(_rare(plain, similarity), scratch)
-        spread = many.join(rare, F.col("l.id") == rare["id"]).select("block", "l", "label", "rare", F.explode("rare").alias("gram"))
-        mixed = spread.groupBy("block", "gram").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("block", "gram")
-        spread = frames.stored(spread.join(mixed, ["block", "gram"]), scratch)
-        other = spread.select("block", "gram", F.col("l").alias("r"), F.col("label").alias("r_label"), F.col("rare").alias("r_rare"))
-        # A pair is made under the first of the grams it shares.
-        once = (F.col("label") < F.col("r_label")) & _near("l", "r", similarity, max_bits) & (F.array_min(F.array_intersect("rare", "r_rare")) == F.col("gram"))
-        pairs = pairs.union(spread.join(other, ["block", "gram"]).filter(once).select("block", "l", "r"))
-    return first.union(verified(here(pairs)))
+    low = few.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("block")), 1, _CARRIED).alias("low"))
+    known = texts.join(low, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "low").alias("l"))
+    few = frames.stored(few.join(known, "id").select("block", "l", "label"), scratch)
+    other = few.select("block", F.col("l").alias("r"), F.col("label").alias("r_label"))
+    elsewhere = F.coalesce(F.array_min(F.array_intersect("l.low", "r.low")) < F.col("block"), F.lit(False))
+    pairs = few.join(other, "block").filter((F.col("label") < F.col("r_label")) & _near("l", "r", similarity, max_bits) & ~elsewhere)
+    links = first.union(verified(pairs.select(F.col("l.id").alias("x"), F.col("r.id").alias("y"))))
+    many = rows.filter("crowded").select("block", "id", "label")
+    if many.isEmpty():
+        return links
+    # Here a line has one row a gram, however many crowded blocks it is in; pairs that share none of these go again.
+    member = many.select("id", "label").distinct()
+    plain = frames.stored(texts.join(member.select("id"), "id"), scratch)
+    rare = frames.stored(_rare(plain.select("id", "plain"), similarity), scratch)
+    spread = member.join(rare, "id").select("id", "label", F.explode("rare").alias("gram"))
+    mixed = spread.groupBy("gram").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("gram")
+    known = plain.join(rare, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "rare").alias("l"))
+    spread = frames.stored(spread.join(mixed, "gram").join(known, "id").select("gram", "label", "l"), scratch)
+    other = spread.select("gram", F.col("label").alias("r_label"), F.col("l").alias("r"))
+    # A pair is made under the first of the grams it shares.
+    once = (F.col("label") < F.col("r_label")) & _near("l", "r", similarity, max_bits) & (F.array_min(F.array_intersect("l.rare", "r.rare")) == F.col("gram"))
+    pairs = spread.join(other, "gram").filter(once)
+    similar = verified(pairs.select(F.col("l.id").alias("x"), F.col("r.id").alias("y")))
+    shared = similar.join(many.select(F.col("id").alias("a"), "block"), "a").join(many.select(F.col("id").alias("b"), "block"), ["b", "block"])
+    return links.union(shared.select("a", "b").distinct())
 
 
 def _dropped_lines(source: DataFrame, similarity: float, max_bits: int, hot: int, scratch: frames.Scratch) -> DataFrame:
