@@ -102,3 +102,33 @@ def test_long_runs_take_seconds():
     took = time.time() - begin
     assert got == len(library([text])[0])
     assert took < 30
+
+
+def test_remembered_fragments_take_little_and_their_bytes_decide(monkeypatch):
+    import gc
+    import tracemalloc
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(40000)]
+    texts = pa.array([" ".join(words[i : i + 500]) for i in range(0, len(words), 500)] * 2)
+    library = Tokenizer.from_file(path)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts.to_pylist()]
+    monkeypatch.setattr(bpe_codec, "_memory", {})
+    tracemalloc.start()
+    right = bpe_codec._encoder(path)(texts).to_pylist() == want
+    memory = bpe_codec._memory.pop(path)
+    known = len(memory.late.length) + len(memory.before.length)
+    gc.collect()
+    before = tracemalloc.get_traced_memory()[0]
+    del memory
+    gc.collect()
+    taken = before - tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert right and known > 30000 and taken < 100 * known
+    # Every fragment has one of three hashes.
+    monkeypatch.setattr(bpe_codec, "_memory", {})
+    monkeypatch.setattr(arrays, "range_hashes", lambda data, starts, ends: (ends - starts).astype(np.uint64) % np.uint64(3))
+    some = texts.slice(0, 3)
+    for _ in range(2):
+        assert bpe_codec._encoder(path)(some).to_pylist() == want[:3]

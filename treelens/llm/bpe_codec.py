@@ -23,24 +23,46 @@ REMEMBERED, REMEMBERED_IDS = 200_000, 2_000_000
 
 
 class _Fragments:
-    """Ids of known fragments: a dictionary from bytes to number, and ragged arrays."""
+    """Ids of known fragments in flat arrays: bytes, ids, and hashes in order to find a fragment by.
+
+    A hash only leads to one fragment, whose bytes then decide; another one of the same hash is not found.
+    """
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.int32)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.data = np.zeros(0, np.uint8)
 
-    def add(self, fragments: list[bytes], ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """The numbers of the added fragments."""
+    def add(self, keys: np.ndarray, flat: np.ndarray, size: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The numbers of the added fragments, whose bytes lie end to end in ``flat``."""
         numbers = np.arange(len(self.length), len(self.length) + len(counts))
-        self.number.update(zip(fragments, numbers.tolist()))
         self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(counts) - counts])
         self.length = np.concatenate([self.length, counts])
         self.ids = np.concatenate([self.ids, ids.astype(np.int32)])
+        self.begin = np.concatenate([self.begin, len(self.data) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.data = np.concatenate([self.data, flat])
+        self.keys, first = np.unique(np.concatenate([self.keys, keys]), return_index=True)
+        self.numbers = np.concatenate([self.numbers, numbers.astype(np.int32)])[first]
         return numbers
 
-    def find(self, fragments: list[bytes]) -> np.ndarray:
-        return np.fromiter((self.number.get(f, -1) for f in fragments), np.int64, len(fragments))
+    def find(self, keys: np.ndarray, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Their numbers; -1 for those not known."""
+        out = np.full(len(keys), -1, np.int64)
+        if not len(self.keys) or not len(keys):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        number = self.numbers[at].astype(np.int64)
+        maybe = np.flatnonzero((self.keys[at] == keys) & (self.size[number] == size))
+        begin = np.cumsum(size) - size
+        same = arrays.ragged_take(flat, begin[maybe], size[maybe]) == arrays.ragged_take(self.data, self.begin[number[maybe]], size[maybe])
+        ends = np.cumsum(size[maybe])
+        right = np.concatenate([[0], np.cumsum(same)])
+        maybe = maybe[right[ends] - right[ends - size[maybe]] == size[maybe]]
+        out[maybe] = number[maybe]
+        return out
 
 
 class _Memory:
@@ -49,20 +71,27 @@ class _Memory:
     def __init__(self):
         self.late, self.before = _Fragments(), _Fragments()
 
-    def numbers(self, vocab: bpe.Vocabulary, fragments: list[bytes], flat) -> np.ndarray:
-        """Numbers in ``late`` of different fragments; ``flat(which)`` gives the bytes and lengths of some of them."""
-        if len(self.late.number) > REMEMBERED or len(self.late.ids) > REMEMBERED_IDS:
+    def numbers(self, vocab: bpe.Vocabulary, flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers in ``late`` of different fragments, whose bytes lie end to end in ``flat``."""
+        if len(self.late.length) > REMEMBERED or len(self.late.ids) > REMEMBERED_IDS:
             self.late, self.before = _Fragments(), self.late
-        known = self.late.find(fragments)
+        begin = np.cumsum(size) - size
+        keys = arrays.range_hashes(flat, begin, begin + size)
+        known = self.late.find(keys, flat, size)
+
+        def some(which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            return keys[which], arrays.ragged_take(flat, begin[which], size[which]), size[which]
+
         gone = np.flatnonzero(known < 0)
-        at = self.before.find([fragments[i] for i in gone.tolist()])
+        at = self.before.find(*some(gone))
         again, at = gone[at >= 0], at[at >= 0]
         if len(again):
             length = self.before.length[at]
-            known[again] = self.late.add([fragments[i] for i in again.tolist()], arrays.ragged_take(self.before.ids, self.before.start[at], length), length)
+            known[again] = self.late.add(*some(again), arrays.ragged_take(self.before.ids, self.before.start[at], length), length)
         new = np.flatnonzero(known < 0)
         if len(new):
-            known[new] = self.late.add([fragments[i] for i in new.tolist()], *bpe.merge(vocab, *flat(new)))
+            part = some(new)
+            known[new] = self.late.add(*part, *bpe.merge(vocab, *part[1:]))
         return known
 
 
@@ -82,14 +111,11 @@ def _encode_slice(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.
     ends = np.append(fragments[1:], len(data))
     code = np.full(len(fragments), -1, np.int64)
     code[np.searchsorted(fragments, begins)] = special
-    listed, where, number = bpe.distinct_ranges(data, fragments, ends)
+    _, where, number = bpe.distinct_ranges(data, fragments, ends)
     memory = _memory.setdefault(path, _Memory())
 
-    def flat(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        length = (ends - fragments)[where[which]]
-        return arrays.ragged_take(data, fragments[where[which]], length), length
-
-    known = memory.numbers(vocab, listed, flat)
+    size = (ends - fragments)[where]
+    known = memory.numbers(vocab, arrays.ragged_take(data, fragments[where], size), size)
     memory = memory.late
     which = known[number]
     length = np.where(code >= 0, 1, memory.length[which])
@@ -106,6 +132,7 @@ def _encoder(path: str):
             found, bounds = _encode_slice(path, data, offsets)
             ids.append(found)
             sizes.append(np.diff(bounds))
+        pa.default_memory_pool().release_unused()  # what earlier batches took
         ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
 
