@@ -8,6 +8,7 @@ word. All work is done in slices of whole texts; a slice holds about
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Iterator
 
@@ -17,6 +18,7 @@ import pyarrow.compute as pc
 import xxhash
 
 SLICE_BYTES = 1 << 20
+_RELEASE_BYTES = 4 << 20
 _BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 2  # odd and 3 modulo 4
@@ -53,14 +55,34 @@ def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     return flat[at[0] : at[-1]], at - at[0]
 
 
+def release() -> None:
+    """Give memory that is free in this worker back to the system; the executor's other worker and its JVM share the limit.
+
+    Arrow's pool and the C library keep it otherwise, for as long as the worker lives.
+    """
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):  # glibc only
+        _LIBC.malloc_trim(0)
+
+
+_LIBC = ctypes.CDLL(None)
+
+
 def slices(data: np.ndarray, offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Runs of whole texts: number of the first text, its bytes, its offsets."""
-    first, n = 0, len(offsets) - 1
+    """Runs of whole texts: number of the first text, its bytes, its offsets.
+
+    What work on them took is released every ``_RELEASE_BYTES`` and after the last.
+    """
+    first, n, kept = 0, len(offsets) - 1, 0
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(max(last, first + 1), n)
         yield first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
+        kept += int(offsets[last] - offsets[first])
         first = last
+        if kept >= _RELEASE_BYTES or first == n:
+            release()
+            kept = 0
 
 
 def pieces(raw: bytes, size: int = SLICE_BYTES) -> Iterator[bytes]:

@@ -132,7 +132,6 @@ def _encoder(path: str):
             found, bounds = _encode_slice(path, data, offsets)
             ids.append(found)
             sizes.append(np.diff(bounds))
-        pa.default_memory_pool().release_unused()  # what earlier batches took
         ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
 
@@ -149,7 +148,10 @@ def _decoder(path: str):
             numbers = numbers[(numbers >= 0) & (numbers < vocab.size)]
             flat = arrays.ragged_take(vocab.token_flat, vocab.token_start[numbers], vocab.token_length[numbers])
             out.append(flat.tobytes().decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
+        decoded = pa.array(out, pa.string())
+        out.clear()
+        arrays.release()
+        return decoded
 
     return of
 
