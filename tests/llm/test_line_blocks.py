@@ -270,3 +270,15 @@ def test_simhashes_far_apart_lose_no_link(spark, make):
         assert [t for _, (t, _) in sorted(got(B.dedupe_similar_lines(make(texts), hot=hot)).items())] == left
     docs = make(texts, extra="lang string, source string, n_chars long, a int, b int")
     assert [r.text for r in corpus_pipeline.dedupe_lines(spark, docs, "").sort("doc_id").collect()] == left
+
+
+def test_lines_of_crowded_blocks_grow_with_the_input(spark, make, monkeypatch):
+    """A passage in 200 and in 1,000 otherwise different lines: as many times the lines meet on rare word pairs, and nothing goes."""
+    rng = random.Random(13)
+    passage = [word(rng, 4) for _ in range(40)]
+    texts = [" ".join([*(word(rng, 5) for _ in range(15)), *passage, *(word(rng, 5) for _ in range(15))]) for _ in range(1200)]
+    met, rare = [], B._rare
+    monkeypatch.setattr(B, "_rare", lambda plain, similarity: met.append(plain.count()) or rare(plain, similarity))
+    for part in (texts[:200], texts[200:]):
+        assert {n for _, n in got(B.dedupe_similar_lines(make(part))).values()} == {0}
+    assert met == [200, 1000]

@@ -44,7 +44,9 @@ from treelens.llm.lines import _LEVEL_BITS, _NORMAL, _PARITIES, _edits, _gram_wo
 from treelens.plans.materialize import measured
 
 MAX_BITS = 64  # all: 12 words of which two differ can be 24 bits apart
-HOT_LINES = 1024
+#: A line meets fewer than so many others in a block, and has some rows of rare word pairs otherwise. With a
+#: greater number more and more blocks pass it as the input grows, and rows with them.
+HOT_LINES = 64
 _CARRIED = 32
 _SHORT = 9  # lines of at most so many words are filed without each of their words
 #: (fewest words, most words, words on both sides of a cut that have greater hashes). Lines near a border are cut both ways.
@@ -328,13 +330,13 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     rows = of_line.join(degree.hint("shuffle_hash"), "id").select("block", "id", "degree")
     hubs = rows.groupBy("block").agg(F.max_by("id", F.struct("degree", "id")).alias("hub"))
     # Here every block counts: a pair's first block may have another hub.
-    stars = rows.join(hubs, "block").filter("id <> hub").select("id", "hub").distinct()
+    stars = rows.join(hubs.hint("shuffle_hash"), "block").filter("id <> hub").select("id", "hub").distinct()
     stars = stars.join(facts, "id").join(facts.select(F.col("id").alias("hub"), F.col("l").alias("r")), "hub")
     first = verified(stars.filter(_near("l", "r", similarity, max_bits)).select(F.col("id").alias("x"), F.col("hub").alias("y")))
     label = components.components(first, scratch)
-    rows = filed.drop("copies").join(label, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
+    rows = filed.drop("copies").join(label.hint("shuffle_hash"), "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     mixed = rows.groupBy("block").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("block")
-    rows = frames.stored(rows.join(mixed, "block"), scratch)
+    rows = frames.stored(rows.join(mixed.hint("shuffle_hash"), "block"), scratch)
     few = rows.filter("not crowded").drop("crowded")
     low = few.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("block")), 1, _CARRIED).alias("low"))
     known = texts.join(low, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "low").alias("l"))
@@ -350,10 +352,10 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     member = many.select("id", "label").distinct()
     plain = frames.stored(texts.join(member.select("id"), "id"), scratch)
     rare = frames.stored(_rare(plain.select("id", "plain"), similarity), scratch)
-    spread = member.join(rare, "id").select("id", "label", F.explode("rare").alias("gram"))
+    spread = frames.stored(member.join(rare, "id").select("id", "label", F.explode("rare").alias("gram")), scratch)
     mixed = spread.groupBy("gram").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("gram")
     known = plain.join(rare, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "rare").alias("l"))
-    spread = frames.stored(spread.join(mixed, "gram").join(known, "id").select("gram", "label", "l"), scratch)
+    spread = frames.stored(spread.join(mixed.hint("shuffle_hash"), "gram").join(known, "id").select("gram", "label", "l"), scratch)
     other = spread.select("gram", F.col("label").alias("r_label"), F.col("l").alias("r"))
     # A pair is made under the first of the grams it shares.
     once = (F.col("label") < F.col("r_label")) & _near("l", "r", similarity, max_bits) & (F.array_min(F.array_intersect("l.rare", "r.rare")) == F.col("gram"))
