@@ -316,7 +316,8 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     blocks, and where two lines have one of them in common, they leave it to that one. Lines of
     crowded blocks meet on their rare grams instead, of which all similar lines share one.
     """
-    facts = texts.select("id", F.struct("id", "n", "sim", *_PARITIES).alias("l"))
+    told = ["id", "n", *_PARITIES, *(["sim"] if max_bits < 64 else [])]  # what ``_near`` asks for
+    facts = texts.select("id", F.struct(*told).alias("l"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -339,7 +340,7 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     rows = frames.stored(rows.join(mixed.hint("shuffle_hash"), "block"), scratch)
     few = rows.filter("not crowded").drop("crowded")
     low = few.groupBy("id").agg(F.slice(F.array_sort(F.collect_set("block")), 1, _CARRIED).alias("low"))
-    known = texts.join(low, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "low").alias("l"))
+    known = texts.join(low, "id").select("id", F.struct(*told, "low").alias("l"))
     few = frames.stored(few.join(known, "id").select("block", "l", "label"), scratch)
     other = few.select("block", F.col("l").alias("r"), F.col("label").alias("r_label"))
     elsewhere = F.coalesce(F.array_min(F.array_intersect("l.low", "r.low")) < F.col("block"), F.lit(False))
@@ -352,10 +353,11 @@ def block_links(filed: DataFrame, texts: DataFrame, similarity: float, max_bits:
     member = many.select("id", "label").distinct()
     plain = frames.stored(texts.join(member.select("id"), "id"), scratch)
     rare = frames.stored(_rare(plain.select("id", "plain"), similarity), scratch)
-    spread = frames.stored(member.join(rare, "id").select("id", "label", F.explode("rare").alias("gram")), scratch)
-    mixed = spread.groupBy("gram").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("gram")
-    known = plain.join(rare, "id").select("id", F.struct("id", "n", "sim", *_PARITIES, "rare").alias("l"))
-    spread = frames.stored(spread.join(mixed.hint("shuffle_hash"), "gram").join(known, "id").select("gram", "label", "l"), scratch)
+    known = plain.join(rare, "id").select("id", F.struct(*told, "rare").alias("l"))
+    with frames.Scratch(filed.sparkSession) as early:
+        spread = frames.stored(member.join(rare, "id").select("id", "label", F.explode("rare").alias("gram")), early)
+        mixed = spread.groupBy("gram").agg(F.min("label").alias("p"), F.max("label").alias("q")).filter("p < q").select("gram")
+        spread = frames.stored(spread.join(mixed.hint("shuffle_hash"), "gram").join(known, "id").select("gram", "label", "l"), scratch)
     other = spread.select("gram", F.col("label").alias("r_label"), F.col("l").alias("r"))
     # A pair is made under the first of the grams it shares.
     once = (F.col("label") < F.col("r_label")) & _near("l", "r", similarity, max_bits) & (F.array_min(F.array_intersect("l.rare", "r.rare")) == F.col("gram"))
