@@ -184,10 +184,25 @@ def op10_bpe_codec(spark, sf_dir: str) -> DataFrame:
     return round_trip(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _round_trip(path: str):
+    encode, decode = _encoder(path), _decoder(path)
+
+    def of(text: pa.Array) -> pa.Array:
+        ids = encode(text)
+        return pa.StructArray.from_arrays([ids.value_lengths(), _digest(ids), decode(ids)], names=["n_tokens", "ids_sha256", "decoded"])
+
+    return of
+
+
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Encode, then decode what was encoded: doc_id, n_tokens and digests of ids and decoded text."""
-    rows = decode(encode(docs.select("doc_id", "text"), vocabulary).select("doc_id", "ids"), vocabulary)
+    """Encode, then decode what was encoded: doc_id, n_tokens and digests of ids and decoded text.
+
+    One function does what ``encode`` and ``decode`` do: Spark evaluates functions of a function's
+    result apart, so every column made of ids would encode the text again.
+    """
+    coded = F.arrow_udf(lambda text: _round_trip(vocabulary)(text), "struct<n_tokens: int, ids_sha256: string, decoded: string>")("text")
+    rows = docs.select("doc_id", coded.alias("coded"))
     return rows.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.arrow_udf(_digest, "string")("ids").alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "doc_id", F.col("coded.n_tokens").cast("bigint").alias("n_tokens"), F.col("coded.ids_sha256").alias("ids_sha256"),
+        F.sha2("coded.decoded", 256).alias("decoded_sha256"),
     )
